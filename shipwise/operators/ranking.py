@@ -149,7 +149,7 @@ def take_until(df: DataFrame, part_cols, ord_col: str, weight_col: str, cap_col:
     if max_part_rows <= limit or _depth >= 3:
         return take_until_window(df, part_cols, ord_col, weight_col, cap_col, out_col)
 
-    b = f"__b{_depth}"
+    b, st, bf, cap_in = f"__b{_depth}", f"__st{_depth}", f"__bf{_depth}", f"__cap{_depth}"
     with_b = df.withColumn(b, _eff_bucket(paid_col, neg_eff_col, res))
     per_bucket = with_b.groupBy(*part_cols, cap_col, b).agg(
         F.sum(weight_col).alias("__w"), F.count(F.lit(1)).alias("__n"))
@@ -157,21 +157,20 @@ def take_until(df: DataFrame, part_cols, ord_col: str, weight_col: str, cap_col:
               .rowsBetween(Window.unboundedPreceding, -1))
     status = per_bucket.select(
         *part_cols, b, "__n", "__w", cap_col,
-        F.coalesce(F.sum("__w").over(before), F.lit(0)).alias("__before"))
+        F.coalesce(F.sum("__w").over(before), F.lit(0)).alias(bf))
     status = status.select(
-        *part_cols, b, "__n", "__before",
-        F.when(F.col("__before") + F.col("__w") <= F.col(cap_col), F.lit("all"))
-         .when(F.col("__before") <= F.col(cap_col), F.lit("cross"))
-         .otherwise(F.lit("none")).alias("__status"))
+        *part_cols, b, "__n", bf,
+        F.when(F.col(bf) + F.col("__w") <= F.col(cap_col), F.lit("all"))
+         .when(F.col(bf) <= F.col(cap_col), F.lit("cross"))
+         .otherwise(F.lit("none")).alias(st))
     status = bounded_broadcast(status)
     joined = with_b.join(status.drop("__n"), on=[*part_cols, b])
 
-    settled = (joined.filter(F.col("__status") != "cross")
-               .withColumn(out_col, F.col("__status") == "all"))
-    crossing = joined.filter(F.col("__status") == "cross").withColumn(
-        "__cap_in", F.col(cap_col) - F.col("__before"))
-    max_cross = (status.filter(F.col("__status") == "cross").agg(F.max("__n")).first()[0] or 0)
-    inner = take_until(crossing, [*part_cols, b], ord_col, weight_col, "__cap_in",
+    settled = joined.filter(F.col(st) != "cross").withColumn(out_col, F.col(st) == "all")
+    crossing = (joined.filter(F.col(st) == "cross")
+                .select(*df.columns, b, (F.col(cap_col) - F.col(bf)).alias(cap_in)))
+    max_cross = (status.filter(F.col(st) == "cross").agg(F.max("__n")).first()[0] or 0)
+    inner = take_until(crossing, [*part_cols, b], ord_col, weight_col, cap_in,
                        paid_col, neg_eff_col, out_col, limit, res * 64,
                        max_part_rows=max_cross, _depth=_depth + 1)
     cols = list(df.columns) + [out_col]
