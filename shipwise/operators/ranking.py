@@ -77,22 +77,34 @@ def stratified_split(df: DataFrame, label: str = C.TARGET_COL, key: str = "row_k
 
     Within each class rows are ordered by md5(seed|key); the first k_class are
     test, k shared over classes by largest remainder; the train rows' fold is
-    their rank among train rows modulo n_folds. Class counts are a tiny
-    aggregate read back to size the test share and the bucket width.
+    their rank among train rows modulo n_folds.
+
+    Two passes over the input: (1) counts per (class, 4-hex-digit bucket),
+    a table bounded by 2 × 65,536 rows, from which the class sizes and the
+    bucket offsets are derived; (2) the rank inside (class, bucket).
     """
-    h = "__h"
-    counts = {r[0]: r[1] for r in
-              df.groupBy(label).agg(F.count(F.lit(1))).collect() if r[0] is not None}
+    h, fb = "__h", "__fb"
+    base = df.filter(F.col(label).isNotNull()).withColumn(h, seeded_hash(seed, key))
+    fine = materialize(base.groupBy(label, F.substring(h, 1, 4).alias(fb))
+                       .agg(F.count(F.lit(1)).alias("__n")))
+    counts = {r[0]: r[1] for r in fine.groupBy(label).agg(F.sum("__n")).collect()}
     k = largest_remainder(counts, num, den)
+    digits = min(4, hex_digits_for(sum(counts.values())))
+    b = "__bucket"
+    per_b = fine.groupBy(label, F.substring(fb, 1, digits).alias(b)).agg(F.sum("__n").alias("__n"))
+    before = Window.partitionBy(label).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = bounded_broadcast(per_b.select(
+        label, b, F.coalesce(F.sum("__n").over(before), F.lit(0)).cast("bigint").alias("__off")))
+    inner = Window.partitionBy(label, b).orderBy(h, key)
+    ranked = (base.withColumn(b, F.substring(h, 1, digits)).join(offsets, on=[label, b])
+              .withColumn("__rank", (F.col("__off") + F.row_number().over(inner) - 1).cast("bigint")))
     k_col = F.create_map(*[x for c, v in sorted(k.items()) for x in (F.lit(c), F.lit(v))])
-    ranked = rank_within(df.filter(F.col(label).isNotNull()).withColumn(h, seeded_hash(seed, key)),
-                         [label], h, key, hex_digits_for(sum(counts.values())), "__rank")
     kc = k_col[F.col(label)]
     return (ranked
             .withColumn("split", F.when(F.col("__rank") < kc, F.lit("test")).otherwise(F.lit("train")))
             .withColumn("fold", F.when(F.col("__rank") >= kc,
                                        F.pmod(F.col("__rank") - kc, F.lit(n_folds)).cast("int")))
-            .drop(h, "__rank"))
+            .drop(h, b, "__off", "__rank"))
 
 
 def sample_orders(df: DataFrame, n: int = C.DEFAULT_BATCH_ORDERS,

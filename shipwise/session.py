@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -55,7 +56,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df):
-    """Cut lineage at a reuse boundary: write the rows to the shared
-    checkpoint folder (survives lost executors; never a local checkpoint)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage at a reuse boundary: write the rows as a Parquet table in
+    the shared checkpoint folder and read it back (survives lost executors,
+    never a machine-local or local checkpoint; later reads prune columns and
+    push filters into the scan)."""
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark)
+    path = f"{base.rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -22,6 +22,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Scan parallelism floor: a table stored in fewer files than the cluster
+    has task slots (one file, one row group) would run every downstream
+    narrow stage in one task; spread it round-robin once. A large table in
+    many files is left alone (no extra shuffle)."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if len(df.inputFiles()) < slots else df
+
+
 def _d(x: float):
     """A double literal (so that p ± 0.03 is double arithmetic everywhere)."""
     return F.lit(float(x))
@@ -35,9 +44,18 @@ def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
     allow it); nation (25 rows) and region (5 rows) have a size fixed by the
     schema and are broadcast explicitly. Only the columns used are read.
     """
-    li = read_table(spark, sf_dir, "lineitem").select(
+    li = spread(read_table(spark, sf_dir, "lineitem")).select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_linestatus", "l_shipdate")
+    # the key and its hash-derived uniforms depend on lineitem alone: compute
+    # them before the joins, so filters pushed into join conditions refer to
+    # plain columns instead of re-evaluating md5 per reference
+    li = li.withColumn("row_key", F.md5(F.concat_ws(
+        "|", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"),
+        F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"),
+        F.col("l_shipdate").cast("date").cast("string"))))
+    li = li.withColumns({"__u1": hex_unit("row_key", 1), "__u2": hex_unit("row_key", 9),
+                         "__u3": hex_unit("row_key", 17)})
     od = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
     cu = read_table(spark, sf_dir, "customer").select(
@@ -53,12 +71,7 @@ def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
          .join(F.broadcast(rg), na.n_regionkey == rg.r_regionkey)
          .join(pa, li.l_partkey == pa.p_partkey))
 
-    row_key = F.md5(F.concat_ws(
-        "|", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"),
-        F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"),
-        F.col("l_shipdate").cast("date").cast("string")))
-    j = j.withColumn("row_key", row_key)
-    u1, u2, u3 = hex_unit("row_key", 1), hex_unit("row_key", 9), hex_unit("row_key", 17)
+    u1, u2, u3 = F.col("__u1"), F.col("__u2"), F.col("__u3")
 
     mode = F.col("o_orderpriority")
     base_p = (F.when(mode == "1-URGENT", _d(0.95)).when(mode == "2-HIGH", _d(0.76))
@@ -67,7 +80,8 @@ def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
     p_late = (F.when(F.col("p_type") == "PROMO", base_p + _d(0.03))
               .when(F.col("p_type") == "SMALL", base_p - _d(0.03))
               .otherwise(base_p))
-    late = F.when(u1 < p_late, F.lit(1)).otherwise(F.lit(0))
+    j = j.withColumn("__late", F.when(u1 < p_late, F.lit(1)).otherwise(F.lit(0)))
+    late = F.col("__late")
     days_scheduled = (F.when(mode == "1-URGENT", F.lit(0)).when(mode == "2-HIGH", F.lit(1))
                       .when(mode == "3-MEDIUM", F.lit(2)).otherwise(F.lit(4)))
 
