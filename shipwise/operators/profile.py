@@ -48,9 +48,10 @@ def class_share(df: DataFrame, column: str, digits: int = 6) -> DataFrame:
 
 
 def column_profile(df: DataFrame) -> DataFrame:
-    """Per column: type, null count, approximate distinct count, and how many
-    columns share its type (the reference's dtype histogram)."""
-    aggs = []
+    """Per column: type, null count, approximate distinct count, the table's
+    shape (rows, columns) and how many columns share its type (the
+    reference's dtype histogram), all from one scan."""
+    aggs = [F.count(F.lit(1)).alias("__rows")]
     for c in df.columns:
         aggs.append(F.count_if(F.col(c).isNull()).alias(f"n__{c}"))
         aggs.append(F.approx_count_distinct(c).alias(f"d__{c}"))
@@ -59,7 +60,8 @@ def column_profile(df: DataFrame) -> DataFrame:
         F.struct(F.lit(i).alias("position"), F.lit(c).alias("column_name"),
                  F.lit(df.schema[c].dataType.simpleString()).alias("data_type"),
                  F.col(f"n__{c}").alias("null_count"),
-                 F.col(f"d__{c}").alias("approx_distinct"))
+                 F.col(f"d__{c}").alias("approx_distinct"),
+                 F.col("__rows").alias("n_rows"), F.lit(len(df.columns)).alias("n_columns"))
         for i, c in enumerate(df.columns)])).alias("p")).select("p.*")
     type_counts = {}
     for f in df.schema.fields:

@@ -219,12 +219,18 @@ def q_allocate_multi_option(spark, d):
 
 def q_multi_option_summary(spark, d):
     dec = prescribed(spark, d)["decisions"]
-    return dec.groupBy("batch_id").agg(
+    agg = dec.groupBy("batch_id").agg(
         F.sum(F.when(F.col("decision") == "upgrade", F.col("cost"))).cast("double").alias("upgrade_spend"),
         F.sum(F.when(F.col("decision") == "discount", F.col("cost"))).cast("double").alias("discount_spend"),
         F.sum("cost").cast("double").alias("total_cost"),
-        round_half_up(F.sum("base_expected_loss"), 2).alias("loss_before"),
-        round_half_up(F.sum("expected_loss_after"), 2).alias("loss_after"))
+        F.sum("base_expected_loss").alias("__before"),
+        F.sum("expected_loss_after").alias("__after"))
+    return agg.select(
+        "batch_id", "upgrade_spend", "discount_spend", "total_cost",
+        round_half_up("__before", 2).alias("loss_before"),
+        round_half_up("__after", 2).alias("loss_after"),
+        round_half_up(F.try_divide((F.col("__before") - F.col("__after")) * F.lit(100.0),
+                                   F.col("__before")), 1).alias("loss_reduction_pct"))
 
 
 def q_prescription_records(spark, d):
@@ -294,6 +300,7 @@ def _model_queries():
         "model_comparison": mo.q_model_comparison,
         "tune_delay_model": mo.q_tune_delay_model,
         "score_batch": mo.q_score_batch,
+        "baseline_vs_tuned": mo.q_baseline_vs_tuned,
     }
 
 

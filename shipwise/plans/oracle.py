@@ -417,7 +417,9 @@ SELECT batch_id,
   CAST(sum(CASE WHEN decision = 'upgrade' THEN cost END) AS DOUBLE) AS upgrade_spend,
   CAST(sum(CASE WHEN decision = 'discount' THEN cost END) AS DOUBLE) AS discount_spend,
   CAST(sum(cost) AS DOUBLE) AS total_cost,
-  {r('sum(base_expected_loss)', 2)} AS loss_before, {r('sum(expected_loss_after)', 2)} AS loss_after
+  {r('sum(base_expected_loss)', 2)} AS loss_before, {r('sum(expected_loss_after)', 2)} AS loss_after,
+  {r('(sum(base_expected_loss) - sum(expected_loss_after)) * 100.0 / NULLIF(sum(base_expected_loss), 0)', 1)}
+    AS loss_reduction_pct
 FROM dec GROUP BY batch_id"""
     REC = MULTI + ", " + RECORDS.strip()
     q["prescription_records"] = REC + " SELECT * FROM flat"

@@ -163,3 +163,10 @@ def test_largest_remainder():
     assert largest_remainder({0: 3, 1: 4}, 1, 5) == {0: 1, 1: 1}  # k = ceil(7/5) = 2
     k = largest_remainder({0: 22503, 1: 35169}, 1, 5)
     assert sum(k.values()) == -(-57672 // 5)
+
+
+def test_money_text(spark):
+    from shipwise.operators.board import money_text
+    df = spark.createDataFrame([(4.8,), (1234.5,)], "x double")
+    assert [r.t for r in df.select(money_text("x").alias("t")).collect()] == ["4.80", "1234.50"]
+    assert df.select(money_text("x", 0).alias("t")).first().t == "5"
