@@ -133,12 +133,15 @@ def allocate(orders: DataFrame, budgets: DataFrame, part: str = "batch_id",
 
     # the order table is read once per round: land it once (lineage cut)
     with_steps = materialize(order_steps(orders, params, two_option, key))
-    steps = materialize(_explode_steps(with_steps, part))
-    sizes = steps.groupBy(part).agg(F.count(F.lit(1)).alias("n"))
+    steps = _explode_steps(with_steps, part)  # narrow, re-derived from the landed table
     budgets_b = bounded_broadcast(budgets)
-    if sizes.join(budgets_b, part, "left_anti").limit(1).count():
+    check = (steps.groupBy(part).agg(F.count(F.lit(1)).alias("n"))
+             .join(budgets_b, part, "left")
+             .agg(F.max("n").alias("max_rows"), F.count_if(F.col("budget").isNull()).alias("missing"))
+             .first())
+    if check["missing"]:
         raise ValueError("orders in a batch without a budget row")
-    max_rows = sizes.agg(F.max("n")).first()[0] or 0
+    max_rows = check["max_rows"] or 0
 
     def greedy(cands: DataFrame, cap: str) -> DataFrame:
         return take_until(cands, [part], "ord", "dc", cap, "paid", "neg_eff", "taken",
