@@ -301,6 +301,7 @@ def _model_queries():
         "tune_delay_model": mo.q_tune_delay_model,
         "score_batch": mo.q_score_batch,
         "baseline_vs_tuned": mo.q_baseline_vs_tuned,
+        "model_prescription_summary": mo.q_model_prescription_summary,
     }
 
 

@@ -7,6 +7,9 @@ order-insensitive comparison of values.
 from __future__ import annotations
 
 import math
+import os
+
+STRICT = os.environ.get("ORACLE_STRICT") == "1"  # exact float equality, no rounding
 
 import duckdb
 import pandas as pd
@@ -29,7 +32,7 @@ def _norm(v):
             return None
         if v.is_integer():
             return int(v)
-        return round(v, 9)
+        return v if STRICT else round(v, 9)
     if hasattr(v, "item"):
         return _norm(v.item())
     if isinstance(v, pd.Timestamp):
