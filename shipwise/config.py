@@ -80,6 +80,9 @@ SEARCH_SEED = 42
 # Budget per batch in the derived test setting: floor of 36 % of the
 # batch's full upgrade cost (800 of about 2,200 in the reference).
 BUDGET_SHARE = Decimal("0.36")
+# Upgrade slots per batch in the derived capacity setting (README's
+# "capacity" limit besides budget): floor(orders × num / den).
+UPGRADE_SLOTS_NUM, UPGRADE_SLOTS_DEN = 1, 20  # 5 % of the batch's orders
 # Prior weight of the deterministic cell scorer.
 SCORER_PRIOR_WEIGHT = 10.0
 

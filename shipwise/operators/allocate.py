@@ -35,6 +35,7 @@ from ..session import materialize
 from .ranking import bounded_broadcast, take_until
 
 MONEY = "decimal(20,4)"
+NO_LIMIT = 2 ** 62
 
 
 def _ord(paid, neg_eff, key, step) -> Column:
@@ -73,23 +74,33 @@ def _explode_steps(with_steps: DataFrame, part: str) -> DataFrame:
     return (with_steps.select(part, st.alias("x"))
             .select(part, F.col("x.s.act").alias("act"), F.col("x.s.dc").alias("dc"),
                     F.col("x.s.ds").alias("ds"), F.col("x.s.ord").alias("ord"),
-                    F.col("x.p.ord").alias("prev_ord"), F.col("x.p.dc").alias("prev_dc"))
+                    F.col("x.p.ord").alias("prev_ord"), F.col("x.p.dc").alias("prev_dc"),
+                    _upgrades(F.col("x.s")).alias("du"), _upgrades(F.col("x.p")).alias("prev_du"))
             .withColumn("paid", F.col("ord.paid"))
             .withColumn("neg_eff", F.col("ord.neg_eff")))
 
 
+def _upgrades(s: Column) -> Column:
+    """Upgrade slots a step uses: 1 when it ends in an upgrade (the
+    discount→upgrade step too), else 0; NULL for an absent step."""
+    return F.when(s.isNotNull(), F.when(s["act"] == "upgrade", F.lit(1)).otherwise(F.lit(0)))
+
+
 def _before(o: Column, k: int) -> Column:
     b = F.col(f"block{k}")
     return b.isNull() | (o < b)
 
 
 def with_status(df: DataFrame, o: Column, dc: Column, po: Column, pdc: Column,
-                rounds: int, tag: str, stop_at_candidate: int | None = None) -> DataFrame:
+                rounds: int, tag: str, stop_at_candidate: int | None = None,
+                du: Column | None = None, pdu: Column | None = None) -> DataFrame:
     """Adds ``{tag}tb``: is the step taken after rounds 0..``rounds``, given the
     per-batch round columns (block0, rem1, block1, …) on the same row.
 
     With ``stop_at_candidate=k`` it stops at round k and leaves ``{tag}c``:
-    is the step a round-k candidate. Built as chained projections (each
+    is the step a round-k candidate. With ``du``/``pdu`` (upgrade slots of
+    the step and its predecessor) a candidate must also fit the slots left
+    (``remu{k}``). Built as chained projections (each
     flag refers to the previous one by name) so the expression stays linear
     in the number of rounds.
     """
@@ -97,8 +108,12 @@ def with_status(df: DataFrame, o: Column, dc: Column, po: Column, pdc: Column,
     df = df.withColumns({tb: _before(o, 0), ptb: _before(po, 0)})
     for k in range(1, rounds + 1):
         rem = F.col(f"rem{k}")
-        df = df.withColumn(pc, ~F.col(ptb) & (pdc <= rem))
-        df = df.withColumn(c, ~F.col(tb) & (dc <= rem) & (po.isNull() | F.col(ptb) | F.col(pc)))
+        fits, pfits = dc <= rem, pdc <= rem
+        if du is not None:
+            fits = fits & (du <= F.col(f"remu{k}"))
+            pfits = pfits & (pdu <= F.col(f"remu{k}"))
+        df = df.withColumn(pc, ~F.col(ptb) & pfits)
+        df = df.withColumn(c, ~F.col(tb) & fits & (po.isNull() | F.col(ptb) | F.col(pc)))
         if stop_at_candidate == k:
             return df
         df = df.withColumns({tb: F.col(tb) | (F.col(c) & _before(o, k)),
@@ -112,24 +127,37 @@ def _round_summary(taken: DataFrame, part: str, k: int) -> DataFrame:
     return taken.groupBy(part).agg(
         F.sum(F.when(F.col("taken"), F.col("dc"))).alias(f"spent{k}"),
         F.sum(F.when(F.col("taken"), F.col("ds"))).alias(f"saved{k}"),
+        F.sum(F.when(F.col("taken"), F.col("du"))).alias(f"used{k}"),
         F.min(blocked).alias(f"__blk{k}"))
 
 
 def allocate(orders: DataFrame, budgets: DataFrame, part: str = "batch_id",
              params: C.PrescriptionParams = C.PARAMS, two_option: bool = False,
              fill_rounds: int | None = None, max_window_rows: int | None = None,
-             key: str = "row_key") -> tuple[DataFrame, DataFrame]:
+             key: str = "row_key", capacities: DataFrame | None = None
+             ) -> tuple[DataFrame, DataFrame]:
     """Returns (decisions, batch_report).
 
     ``orders`` needs part, key, upgrade_cost, discount_cost, base_expected_loss
     (no NULLs: reject those rows before). ``budgets`` needs (part, budget).
+    ``capacities`` (optional) needs (part, max_upgrades): a second limit, the
+    number of upgrades per batch (NULL or a missing row: no limit).
     decisions = orders + decision, cost, expected_loss_after;
     batch_report = per batch budget, spent, lp_bound, achieved saving, gap.
+    With capacities, lp_bound is the optimum of the budget-only relaxation,
+    still an upper bound of the optimum under both limits.
     """
     R = C.KNOBS.fill_rounds if fill_rounds is None else fill_rounds
+    capped = capacities is not None
     budgets = budgets.select(part, F.col("budget").cast(MONEY).alias("budget"))
     if budgets.filter(F.col("budget") < 0).limit(1).count():
         raise ValueError("negative budget")
+    if capped:
+        caps = capacities.select(part, F.col("max_upgrades").cast("bigint").alias("max_upgrades"))
+        if caps.filter(F.col("max_upgrades") < 0).limit(1).count():
+            raise ValueError("negative capacity")
+        budgets = (budgets.join(caps, part, "left")
+                   .withColumn("max_upgrades", F.coalesce("max_upgrades", F.lit(NO_LIMIT))))
 
     # the order table is read once per round: land it once (lineage cut)
     with_steps = materialize(order_steps(orders, params, two_option, key))
@@ -143,48 +171,72 @@ def allocate(orders: DataFrame, budgets: DataFrame, part: str = "batch_id",
         raise ValueError("orders in a batch without a budget row")
     max_rows = check["max_rows"] or 0
 
-    def greedy(cands: DataFrame, cap: str) -> DataFrame:
-        return take_until(cands, [part], "ord", "dc", cap, "paid", "neg_eff", "taken",
+    def greedy(cands: DataFrame, cap: str, capu: str | None = None) -> DataFrame:
+        ws, cs = (["dc", "du"], [cap, capu]) if capu else ("dc", cap)
+        return take_until(cands, [part], "ord", ws, cs, "paid", "neg_eff", "taken",
                           max_window_rows=max_window_rows, max_part_rows=max_rows)
 
     # round 0: greedy prefix over all steps
-    t0 = greedy(steps.join(budgets_b, part), "budget")
+    t0 = greedy(steps.join(budgets_b, part), "budget", "max_upgrades" if capped else None)
     r0 = _round_summary(t0, part, 0)
     P = (budgets_b.join(r0, part, "left")
-         .select(part, "budget",
+         .select(part, "budget", *(["max_upgrades"] if capped else []),
                  F.coalesce("spent0", F.lit(0).cast(MONEY)).alias("spent0"),
                  F.coalesce("saved0", F.lit(0.0)).alias("saved0"),
+                 F.coalesce("used0", F.lit(0).cast("bigint")).alias("used0"),
                  F.col("__blk0.o").alias("block0"), F.col("__blk0.dc").alias("bdc0"),
                  F.col("__blk0.ds").alias("bds0")))
-    P = bounded_broadcast(P.withColumn("rem1", F.col("budget") - F.col("spent0")))
+    P = P.withColumn("rem1", F.col("budget") - F.col("spent0"))
+    if capped:
+        P = P.withColumn("remu1", F.col("max_upgrades") - F.col("used0"))
+        # the bound comes from the budget-only prefix (a relaxation)
+        rb = _round_summary(greedy(steps.join(budgets_b, part), "budget"), part, 0)
+        P = P.drop("bdc0", "bds0").join(rb.select(
+            part, F.col("saved0").alias("lp_saved"), F.col("spent0").alias("lp_spent"),
+            F.col("__blk0.dc").alias("bdc0"), F.col("__blk0.ds").alias("bds0")), part, "left")
+    P = bounded_broadcast(P)
 
     o, dc, po, pdc = F.col("ord"), F.col("dc"), F.col("prev_ord"), F.col("prev_dc")
+    du, pdu = F.col("du"), F.col("prev_du")
     for k in range(1, R + 1):
-        joined = with_status(steps.join(P, part), o, dc, po, pdc, k, "__", stop_at_candidate=k)
-        cands = joined.filter(F.col("__c")).select(*steps.columns, f"rem{k}")
-        tk = greedy(cands, f"rem{k}")
+        joined = with_status(steps.join(P, part), o, dc, po, pdc, k, "__", stop_at_candidate=k,
+                             du=du if capped else None, pdu=pdu if capped else None)
+        cands = joined.filter(F.col("__c")).select(
+            *steps.columns, f"rem{k}", *([f"remu{k}"] if capped else []))
+        tk = greedy(cands, f"rem{k}", f"remu{k}" if capped else None)
         rk = _round_summary(tk, part, k)
         P = (P.join(rk, part, "left")
              .withColumn(f"spent{k}", F.coalesce(f"spent{k}", F.lit(0).cast(MONEY)))
              .withColumn(f"saved{k}", F.coalesce(f"saved{k}", F.lit(0.0)))
+             .withColumn(f"used{k}", F.coalesce(f"used{k}", F.lit(0).cast("bigint")))
              .withColumn(f"block{k}", F.col(f"__blk{k}.o")).drop(f"__blk{k}")
              .withColumn(f"rem{k + 1}", F.col(f"rem{k}") - F.col(f"spent{k}")))
+        if capped:
+            P = P.withColumn(f"remu{k + 1}", F.col(f"remu{k}") - F.col(f"used{k}"))
         P = bounded_broadcast(P)
 
     spent = sum((F.col(f"spent{k}") for k in range(R + 1)), F.lit(0).cast(MONEY))
     saved = sum((F.col(f"saved{k}") for k in range(R + 1)), F.lit(0.0))
-    lp = F.col("saved0") + F.coalesce(F.col("bds0") * (F.col("rem1").cast("double")
-                                                         / F.col("bdc0").cast("double")), F.lit(0.0))
+    if capped:  # the budget-only prefix and what it leaves of the budget
+        lp_saved = F.coalesce("lp_saved", F.lit(0.0))
+        lp_rem = F.col("budget") - F.coalesce("lp_spent", F.lit(0).cast(MONEY))
+    else:
+        lp_saved, lp_rem = F.col("saved0"), F.col("rem1")
+    lp = lp_saved + F.coalesce(F.col("bds0") * (lp_rem.cast("double")
+                                                / F.col("bdc0").cast("double")), F.lit(0.0))
     report = P.select(part, F.col("budget"), spent.alias("spent"), saved.alias("saving"),
                       lp.alias("lp_bound"), (lp - saved).alias("gap"))
 
     round_cols = [c for c in P.columns if c.startswith("block") or c.startswith("rem")]
     s1, s2 = F.col("s1"), F.col("s2")
+    up1 = _upgrades(s1) if capped else None
     ord_type = with_steps.schema["s1"].dataType["ord"].dataType
     no_ord, no_dc = F.lit(None).cast(ord_type), F.lit(None).cast(MONEY)
     dec = with_steps.join(P.select(part, *round_cols), part, "left")
-    dec = with_status(dec, s1["ord"], s1["dc"], no_ord, no_dc, R, "__s1")
-    dec = with_status(dec, s2["ord"], s2["dc"], s1["ord"], s1["dc"], R, "__s2")
+    dec = with_status(dec, s1["ord"], s1["dc"], no_ord, no_dc, R, "__s1",
+                      du=up1, pdu=F.lit(None).cast("int") if capped else None)
+    dec = with_status(dec, s2["ord"], s2["dc"], s1["ord"], s1["dc"], R, "__s2",
+                      du=_upgrades(s2) if capped else None, pdu=up1)
     decision = (F.when(s2.isNotNull() & F.col("__s2tb"), F.lit("upgrade"))
                 .when(s1.isNotNull() & F.col("__s1tb"), s1["act"])
                 .otherwise(F.lit("nothing")))

@@ -44,6 +44,13 @@ def derived_budgets(options: DataFrame, part: str = "batch_id",
             .agg(F.floor(F.sum("upgrade_cost") * F.lit(share)).cast(MONEY).alias("budget")))
 
 
+def derived_capacities(options: DataFrame, part: str = "batch_id",
+                       num: int = C.UPGRADE_SLOTS_NUM, den: int = C.UPGRADE_SLOTS_DEN) -> DataFrame:
+    """Upgrade slots per batch = floor(orders × num / den) (exact integers)."""
+    return (options.groupBy(part)
+            .agg((F.count(F.lit(1)) * F.lit(num) / F.lit(den)).cast("bigint").alias("max_upgrades")))
+
+
 def record_columns(decisions: DataFrame, params: C.PrescriptionParams = C.PARAMS) -> DataFrame:
     """Rounded per-order record values, flat (cents kept for exact sums)."""
     r = float(params.voucher_reduction)
@@ -139,12 +146,15 @@ def nested_summary(summary: DataFrame, part: str = "batch_id") -> DataFrame:
 
 def prescribe(scored: DataFrame, budgets: DataFrame | None = None, part: str = "batch_id",
               two_option: bool = False, fill_rounds: int | None = None,
-              params: C.PrescriptionParams = C.PARAMS):
+              params: C.PrescriptionParams = C.PARAMS, capacities: DataFrame | None = None):
     """Scored orders → options → allocation. Returns a dict of DataFrames:
-    decisions, report (per batch lp bound / gap), budgets, rejected."""
+    decisions, report (per batch lp bound / gap), budgets, rejected.
+    ``capacities`` (part, max_upgrades) adds the upgrade-slot limit."""
     options = build_options(scored, params)
     valid, rejected = split_rejected(options)
     if budgets is None:
         budgets = derived_budgets(valid, part)
-    decisions, report = allocate(valid, budgets, part, params, two_option, fill_rounds)
-    return {"decisions": decisions, "report": report, "budgets": budgets, "rejected": rejected}
+    decisions, report = allocate(valid, budgets, part, params, two_option, fill_rounds,
+                                 capacities=capacities)
+    return {"decisions": decisions, "report": report, "budgets": budgets, "rejected": rejected,
+            "capacities": capacities}

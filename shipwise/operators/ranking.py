@@ -135,54 +135,73 @@ def _eff_bucket(paid_col: str, neg_eff_col: str, res: int):
             .otherwise(-F.floor(F.log2(eff) * F.lit(float(res))))).cast("bigint")
 
 
-def take_until_window(df: DataFrame, part_cols, ord_col: str, weight_col: str,
-                      cap_col: str, out_col: str = "taken") -> DataFrame:
+def _as_list(x):
+    return [x] if isinstance(x, str) else list(x)
+
+
+def _within(run_cols, cap_cols):
+    ok = F.lit(True)
+    for r, c in zip(run_cols, cap_cols):
+        ok = ok & (r <= F.col(c))
+    return ok
+
+
+def take_until_window(df: DataFrame, part_cols, ord_col: str, weight_col, cap_col,
+                      out_col: str = "taken") -> DataFrame:
     w = (Window.partitionBy(*part_cols).orderBy(ord_col)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return df.withColumn(out_col, F.sum(weight_col).over(w) <= F.col(cap_col))
+    ws, cs = _as_list(weight_col), _as_list(cap_col)
+    return df.withColumn(out_col, _within([F.sum(x).over(w) for x in ws], cs))
 
 
-def take_until(df: DataFrame, part_cols, ord_col: str, weight_col: str, cap_col: str,
+def take_until(df: DataFrame, part_cols, ord_col: str, weight_col, cap_col,
                paid_col: str, neg_eff_col: str, out_col: str = "taken",
                max_window_rows: int | None = None, res: int = 64,
                max_part_rows: int | None = None, _depth: int = 0) -> DataFrame:
     """Rows (ordered by ``ord_col`` inside ``part_cols``) are taken while the
-    running sum of ``weight_col`` ≤ ``cap_col``.
+    running sum of ``weight_col`` ≤ ``cap_col``; with lists of weights and
+    caps, while every running sum is within its cap (still a prefix, since
+    weights are ≥ 0 and every running sum only grows).
 
     ``ord_col`` must start with (paid, neg_eff) so that the efficiency bucket
-    is monotone in it. Weights must be ≥ 0. ``max_part_rows`` (largest
-    partition), when known, saves the counting pass that picks the plan.
+    is monotone in it. ``max_part_rows`` (largest partition), when known,
+    saves the counting pass that picks the plan.
     """
     part_cols = list(part_cols)
+    ws, cs = _as_list(weight_col), _as_list(cap_col)
     limit = C.KNOBS.max_window_rows if max_window_rows is None else max_window_rows
     if max_part_rows is None:
         max_part_rows = (df.groupBy(*part_cols).agg(F.count(F.lit(1)).alias("n"))
                          .agg(F.max("n")).first()[0] or 0)
     if max_part_rows <= limit or _depth >= 3:
-        return take_until_window(df, part_cols, ord_col, weight_col, cap_col, out_col)
+        return take_until_window(df, part_cols, ord_col, ws, cs, out_col)
 
-    b, st, bf, cap_in = f"__b{_depth}", f"__st{_depth}", f"__bf{_depth}", f"__cap{_depth}"
+    b, st = f"__b{_depth}", f"__st{_depth}"
+    wsum = [f"__w{_depth}_{i}" for i in range(len(ws))]
+    bf = [f"__bf{_depth}_{i}" for i in range(len(ws))]
+    cap_in = [f"__cap{_depth}_{i}" for i in range(len(ws))]
     with_b = df.withColumn(b, _eff_bucket(paid_col, neg_eff_col, res))
-    per_bucket = with_b.groupBy(*part_cols, cap_col, b).agg(
-        F.sum(weight_col).alias("__w"), F.count(F.lit(1)).alias("__n"))
+    per_bucket = with_b.groupBy(*part_cols, *cs, b).agg(
+        *[F.sum(x).alias(y) for x, y in zip(ws, wsum)], F.count(F.lit(1)).alias("__n"))
     before = (Window.partitionBy(*part_cols).orderBy(b)
               .rowsBetween(Window.unboundedPreceding, -1))
     status = per_bucket.select(
-        *part_cols, b, "__n", "__w", cap_col,
-        F.coalesce(F.sum("__w").over(before), F.lit(0)).alias(bf))
+        *part_cols, b, "__n", *wsum, *cs,
+        *[F.coalesce(F.sum(y).over(before), F.lit(0)).alias(z) for y, z in zip(wsum, bf)])
     status = status.select(
-        *part_cols, b, "__n", bf,
-        F.when(F.col(bf) + F.col("__w") <= F.col(cap_col), F.lit("all"))
-         .when(F.col(bf) <= F.col(cap_col), F.lit("cross"))
+        *part_cols, b, "__n", *bf,
+        F.when(_within([F.col(z) + F.col(y) for y, z in zip(wsum, bf)], cs), F.lit("all"))
+         .when(_within([F.col(z) for z in bf], cs), F.lit("cross"))
          .otherwise(F.lit("none")).alias(st))
     status = bounded_broadcast(status)
     joined = with_b.join(status.drop("__n"), on=[*part_cols, b])
 
     settled = joined.filter(F.col(st) != "cross").withColumn(out_col, F.col(st) == "all")
     crossing = (joined.filter(F.col(st) == "cross")
-                .select(*df.columns, b, (F.col(cap_col) - F.col(bf)).alias(cap_in)))
+                .select(*df.columns, b,
+                        *[(F.col(c) - F.col(z)).alias(y) for c, z, y in zip(cs, bf, cap_in)]))
     max_cross = (status.filter(F.col(st) == "cross").agg(F.max("__n")).first()[0] or 0)
-    inner = take_until(crossing, [*part_cols, b], ord_col, weight_col, cap_in,
+    inner = take_until(crossing, [*part_cols, b], ord_col, ws, cap_in,
                        paid_col, neg_eff_col, out_col, limit, res * 64,
                        max_part_rows=max_cross, _depth=_depth + 1)
     cols = list(df.columns) + [out_col]

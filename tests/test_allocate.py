@@ -110,3 +110,69 @@ def test_rank_within_equals_row_number(spark):
     for digits in (1, 2):
         got = rank_within(df, ["part"], "h", "key", digits)
         assert got.select("key", "rank").exceptAll(want.select("key", "rank")).count() == 0
+
+
+def _brute_capped(rows, budget, slots):
+    best = 0.0
+    for combo in itertools.product(range(3), repeat=len(rows)):
+        if sum(1 for c in combo if c == 1) > slots:
+            continue
+        cost, save = Decimal(0), 0.0
+        for (b, k, u, d, L), c in zip(rows, combo):
+            if c == 1:
+                cost += u; save += L
+            elif c == 2:
+                cost += d; save += R * L
+        if cost <= Decimal(str(budget)) and save > best:
+            best = save
+    return best
+
+
+def _capacities(spark, budgets, seed=3):
+    rnd = random.Random(seed)
+    caps = [(b, rnd.choice([0, 1, 2, None])) for b, _ in budgets]
+    return caps, spark.createDataFrame(caps, "batch_id string, max_upgrades int")
+
+
+def test_capacity_limit_holds_and_bound_is_valid(spark):
+    rows, budgets, orders, bdf = _batches(spark, seed=7)
+    caps, cdf = _capacities(spark, budgets)
+    dec, report = allocate(orders, bdf, capacities=cdf)
+    got = dec.collect()
+    rep = {r.batch_id: r for r in report.collect()}
+    assert len(got) == len(rows)
+    for (b, budget), (_, slots) in zip(budgets, caps):
+        mine = [r for r in got if r.batch_id == b]
+        n_up = sum(1 for r in mine if r.decision == "upgrade")
+        if slots is not None:
+            assert n_up <= slots
+        assert sum(Decimal(r.cost) for r in mine) <= Decimal(str(budget))
+        saving = sum(r.base_expected_loss - r.expected_loss_after for r in mine)
+        mine_rows = [x for x in rows if x[0] == b]
+        opt = _brute_capped(mine_rows, budget, len(mine_rows) if slots is None else slots)
+        assert saving <= opt + 1e-9
+        assert opt <= rep[b].lp_bound + 1e-9
+        assert abs(rep[b].saving - saving) < 1e-9
+
+
+def test_capacity_without_limit_changes_nothing(spark):
+    _, budgets, orders, bdf = _batches(spark, seed=9)
+    free = spark.createDataFrame([(b, None) for b, _ in budgets], "batch_id string, max_upgrades int")
+    plain = {(r.row_key, r.decision) for r in allocate(orders, bdf)[0].collect()}
+    capped = {(r.row_key, r.decision) for r in allocate(orders, bdf, capacities=free)[0].collect()}
+    assert plain == capped
+
+
+def test_capacity_bucketed_plan_equals_window(spark):
+    rows, budgets, orders, bdf = _batches(spark, n_batches=3, n_orders=40, seed=4)
+    cdf = spark.createDataFrame([(b, 6) for b, _ in budgets], "batch_id string, max_upgrades int")
+    plain = {(r.row_key, r.decision) for r in allocate(orders, bdf, capacities=cdf)[0].collect()}
+    bucketed = {(r.row_key, r.decision) for r in
+                allocate(orders, bdf, capacities=cdf, max_window_rows=5)[0].collect()}
+    assert plain == bucketed
+    per_batch = {}
+    for k, d in plain:
+        if d == "upgrade":
+            b = next(x[0] for x in rows if x[1] == k)
+            per_batch[b] = per_batch.get(b, 0) + 1
+    assert all(v <= 6 for v in per_batch.values())
