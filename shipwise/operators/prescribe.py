@@ -146,14 +146,19 @@ def nested_summary(summary: DataFrame, part: str = "batch_id") -> DataFrame:
 
 def prescribe(scored: DataFrame, budgets: DataFrame | None = None, part: str = "batch_id",
               two_option: bool = False, fill_rounds: int | None = None,
-              params: C.PrescriptionParams = C.PARAMS, capacities: DataFrame | None = None):
+              params: C.PrescriptionParams = C.PARAMS, capacities: DataFrame | str | None = None):
     """Scored orders → options → allocation. Returns a dict of DataFrames:
     decisions, report (per batch lp bound / gap), budgets, rejected.
-    ``capacities`` (part, max_upgrades) adds the upgrade-slot limit."""
+    ``capacities`` (part, max_upgrades) adds the upgrade-slot limit;
+    ``"derived"`` derives it from the valid orders like the budgets."""
     options = build_options(scored, params)
     valid, rejected = split_rejected(options)
     if budgets is None:
         budgets = derived_budgets(valid, part)
+    if isinstance(capacities, str):
+        if capacities != "derived":
+            raise ValueError(f"unknown capacities: {capacities}")
+        capacities = derived_capacities(valid, part)
     decisions, report = allocate(valid, budgets, part, params, two_option, fill_rounds,
                                  capacities=capacities)
     return {"decisions": decisions, "report": report, "budgets": budgets, "rejected": rejected,

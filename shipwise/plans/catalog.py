@@ -53,6 +53,11 @@ def prescribed(spark, d, two_option: bool = False):
     return prescribe(batched(spark, d), two_option=two_option)
 
 
+def prescribed_with_capacity(spark, d):
+    """Budget plus upgrade slots per batch (the README's capacity limit)."""
+    return prescribe(batched(spark, d), capacities="derived")
+
+
 def records(spark, d) -> DataFrame:
     return flat_records(prescribed(spark, d)["decisions"])
 
@@ -233,6 +238,19 @@ def q_multi_option_summary(spark, d):
                                    F.col("__before")), 1).alias("loss_reduction_pct"))
 
 
+def q_allocate_with_capacity(spark, d):
+    dec = prescribed_with_capacity(spark, d)["decisions"]
+    return dec.select("row_key", "batch_id", "decision",
+                      F.col("cost").cast("double").alias("cost"),
+                      round_half_up("expected_loss_after", 6).alias("expected_loss_after"))
+
+
+def q_capacity_summary(spark, d):
+    out = prescribed_with_capacity(spark, d)
+    s = batch_summary(out["decisions"], out["budgets"], out["report"])
+    return s.join(out["capacities"], "batch_id", "left")
+
+
 def q_prescription_records(spark, d):
     return records(spark, d)
 

@@ -97,9 +97,14 @@ options AS (
 budgets AS (SELECT 'sample' AS batch_id, CAST({C.DEFAULT_BUDGET} AS DECIMAL(20,4)) AS budget)"""
 
 
-def allocation_ctes(two_option: bool = False, rounds: int = R_FILL) -> str:
-    """Greedy prefix + fill rounds with plain per-batch windows."""
+def allocation_ctes(two_option: bool = False, rounds: int = R_FILL,
+                    capacity: bool = False) -> str:
+    """Greedy prefix + fill rounds with plain per-batch windows. With
+    ``capacity`` a ``capacities(batch_id, max_upgrades)`` CTE must exist and
+    the count of upgrades is a second running-sum limit."""
     two = "FALSE" if two_option else f"(u > CAST({SWITCH} AS DECIMAL(20,4)))"
+    cumu = ("sum(du) OVER (PARTITION BY {t}batch_id ORDER BY pos "
+            "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cumu")
     parts = [f"""
 ord_in AS (
   SELECT batch_id, row_key, upgrade_cost AS u, discount_cost AS d, base_expected_loss AS L,
@@ -109,10 +114,11 @@ steps0 AS (
   SELECT batch_id, row_key, 1 AS step,
     CASE WHEN two THEN 'discount' ELSE 'upgrade' END AS act,
     CASE WHEN two THEN d ELSE u END AS dc,
-    CASE WHEN two THEN L * {dbl(R)} ELSE L END AS ds
+    CASE WHEN two THEN L * {dbl(R)} ELSE L END AS ds,
+    CASE WHEN two THEN 0 ELSE 1 END AS du
   FROM ord_in
   UNION ALL
-  SELECT batch_id, row_key, 2, 'upgrade', CAST(u - d AS DECIMAL(20,4)), L * {dbl(KEEP)}
+  SELECT batch_id, row_key, 2, 'upgrade', CAST(u - d AS DECIMAL(20,4)), L * {dbl(KEEP)}, 1
   FROM ord_in WHERE two),
 steps1 AS (
   SELECT *, CASE WHEN dc > 0 THEN 1 ELSE 0 END AS paid,
@@ -122,54 +128,72 @@ pos AS (
   SELECT *, row_number() OVER (PARTITION BY batch_id ORDER BY paid, neg_eff, row_key, step) AS pos
   FROM steps1),
 st AS (
-  SELECT a.batch_id, a.row_key, a.step, a.act, a.dc, a.ds, a.pos,
-         b.pos AS prev_pos, b.dc AS prev_dc
+  SELECT a.batch_id, a.row_key, a.step, a.act, a.dc, a.ds, a.du, a.pos,
+         b.pos AS prev_pos, b.dc AS prev_dc, b.du AS prev_du
   FROM pos a LEFT JOIN pos b
     ON a.step = 2 AND b.step = 1 AND a.row_key = b.row_key AND a.batch_id = b.batch_id),
+lim AS (
+  SELECT b.batch_id, b.budget, {"COALESCE(c.max_upgrades, " + str(2 ** 62) + ")" if capacity
+                                else str(2 ** 62)} AS capu
+  FROM budgets b {"LEFT JOIN capacities c USING (batch_id)" if capacity else ""}),
 r0 AS (
-  SELECT st.*, b.budget,
+  SELECT st.*, b.budget, b.capu,
     sum(dc) OVER (PARTITION BY st.batch_id ORDER BY pos
-                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum
-  FROM st JOIN budgets b USING (batch_id)),
-s0 AS (SELECT batch_id, row_key, step, act, dc, ds, pos, prev_pos, prev_dc,
-              cum <= budget AS taken FROM r0),
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
+    {cumu.format(t="st.")}
+  FROM st JOIN lim b USING (batch_id)),
+s0 AS (SELECT batch_id, row_key, step, act, dc, ds, du, pos, prev_pos, prev_dc, prev_du,
+              cum <= budget AND cumu <= capu AS taken FROM r0),
 g0 AS (SELECT batch_id, sum(CASE WHEN taken THEN dc END) AS spent,
               sum(CASE WHEN taken THEN ds END) AS saved,
-              min(CASE WHEN NOT taken THEN pos END) AS bpos
+              sum(CASE WHEN taken THEN du END) AS used
        FROM s0 GROUP BY batch_id),
-b0 AS (SELECT s0.batch_id, s0.dc AS bdc, s0.ds AS bds FROM s0 JOIN g0
-       ON s0.batch_id = g0.batch_id AND s0.pos = g0.bpos),
+lp0 AS (SELECT batch_id, budget, cum <= budget AS taken, dc, ds, pos FROM r0),
+lg0 AS (SELECT batch_id, sum(CASE WHEN taken THEN dc END) AS spent,
+               sum(CASE WHEN taken THEN ds END) AS saved,
+               min(CASE WHEN NOT taken THEN pos END) AS bpos
+        FROM lp0 GROUP BY batch_id),
+b0 AS (SELECT l.batch_id, l.dc AS bdc, l.ds AS bds FROM lp0 l JOIN lg0 g
+       ON l.batch_id = g.batch_id AND l.pos = g.bpos),
 p0 AS (
   SELECT b.batch_id, b.budget,
     COALESCE(g.spent, CAST(0 AS DECIMAL(20,4))) AS spent0, COALESCE(g.saved, 0.0) AS saved0,
+    COALESCE(lg.saved, 0.0) AS lp_saved,
+    b.budget - COALESCE(lg.spent, CAST(0 AS DECIMAL(20,4))) AS lp_rem,
     bb.bdc AS bdc0, bb.bds AS bds0,
-    b.budget - COALESCE(g.spent, CAST(0 AS DECIMAL(20,4))) AS rem1
-  FROM budgets b LEFT JOIN g0 g USING (batch_id) LEFT JOIN b0 bb USING (batch_id))"""]
+    b.budget - COALESCE(g.spent, CAST(0 AS DECIMAL(20,4))) AS rem1,
+    b.capu - COALESCE(g.used, 0) AS remu1
+  FROM lim b LEFT JOIN g0 g USING (batch_id) LEFT JOIN lg0 lg USING (batch_id)
+  LEFT JOIN b0 bb USING (batch_id))"""]
     for k in range(1, rounds + 1):
         parts.append(f"""
 c{k} AS (
-  SELECT s.*, p.taken AS ptaken, q.rem{k} AS cap
+  SELECT s.*, p.taken AS ptaken, q.rem{k} AS cap, q.remu{k} AS capu
   FROM s{k - 1} s JOIN p{k - 1} q USING (batch_id)
   LEFT JOIN s{k - 1} p ON s.batch_id = p.batch_id AND s.prev_pos = p.pos),
 k{k} AS (
-  SELECT batch_id, pos, dc, ds, cap,
+  SELECT batch_id, pos, dc, ds, du, cap, capu,
     sum(dc) OVER (PARTITION BY batch_id ORDER BY pos
-                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
+    {cumu.format(t="")}
   FROM c{k}
-  WHERE NOT taken AND dc <= cap AND (prev_pos IS NULL OR ptaken OR prev_dc <= cap)),
-t{k} AS (SELECT batch_id, pos, dc, ds, cum <= cap AS tk FROM k{k}),
+  WHERE NOT taken AND dc <= cap AND du <= capu
+    AND (prev_pos IS NULL OR ptaken OR (prev_dc <= cap AND prev_du <= capu))),
+t{k} AS (SELECT batch_id, pos, dc, ds, du, cum <= cap AND cumu <= capu AS tk FROM k{k}),
 g{k} AS (SELECT batch_id, sum(CASE WHEN tk THEN dc END) AS spent,
-               sum(CASE WHEN tk THEN ds END) AS saved FROM t{k} GROUP BY batch_id),
+               sum(CASE WHEN tk THEN ds END) AS saved,
+               sum(CASE WHEN tk THEN du END) AS used FROM t{k} GROUP BY batch_id),
 p{k} AS (
   SELECT q.*, COALESCE(g.spent, CAST(0 AS DECIMAL(20,4))) AS spent{k},
     COALESCE(g.saved, 0.0) AS saved{k},
-    q.rem{k} - COALESCE(g.spent, CAST(0 AS DECIMAL(20,4))) AS rem{k + 1}
+    q.rem{k} - COALESCE(g.spent, CAST(0 AS DECIMAL(20,4))) AS rem{k + 1},
+    q.remu{k} - COALESCE(g.used, 0) AS remu{k + 1}
   FROM p{k - 1} q LEFT JOIN g{k} g USING (batch_id)),
 s{k} AS (
   SELECT s.* REPLACE (s.taken OR COALESCE(t.tk, FALSE) AS taken)
   FROM s{k - 1} s LEFT JOIN t{k} t ON s.batch_id = t.batch_id AND s.pos = t.pos)""")
     saved = " + ".join(["0.0"] + [f"saved{k}" for k in range(rounds + 1)])
-    lp = f"(saved0 + COALESCE(bds0 * (CAST(rem1 AS DOUBLE) / CAST(bdc0 AS DOUBLE)), 0.0))"
+    lp = "(lp_saved + COALESCE(bds0 * (CAST(lp_rem AS DOUBLE) / CAST(bdc0 AS DOUBLE)), 0.0))"
     parts.append(f"""
 report AS (
   SELECT batch_id, budget, {lp} AS lp_bound, ({saved}) AS saving,
@@ -237,9 +261,17 @@ def _base(*more: str) -> str:
     return with_ctes(SHIPMENTS, CLEANED, *more)
 
 
-def _prescribed(two_option=False, sample=False) -> str:
+CAPACITIES = f"""
+capacities AS (
+  SELECT batch_id, CAST(count(*) * {C.UPGRADE_SLOTS_NUM} // {C.UPGRADE_SLOTS_DEN} AS BIGINT)
+         AS max_upgrades
+  FROM options GROUP BY batch_id)"""
+
+
+def _prescribed(two_option=False, sample=False, capacity=False) -> str:
     opts = SAMPLE_OPTIONS if sample else OPTIONS
-    return _base(SPLIT, SCORED, opts, allocation_ctes(two_option))
+    extra = (CAPACITIES,) if capacity else ()
+    return _base(SPLIT, SCORED, opts, *extra, allocation_ctes(two_option, capacity=capacity))
 
 
 def oracle_sql() -> dict[str, str]:
@@ -421,6 +453,14 @@ SELECT batch_id,
   {r('(sum(base_expected_loss) - sum(expected_loss_after)) * 100.0 / NULLIF(sum(base_expected_loss), 0)', 1)}
     AS loss_reduction_pct
 FROM dec GROUP BY batch_id"""
+    CAP = _prescribed(capacity=True)
+    q["allocate_with_capacity"] = CAP + f"""
+SELECT row_key, batch_id, decision, CAST(cost AS DOUBLE) AS cost,
+       {r('expected_loss_after', 6)} AS expected_loss_after FROM dec"""
+    q["capacity_summary"] = CAP + ", " + RECORDS.strip() + summary_select(True).replace(
+        "FROM agg a LEFT JOIN budgets b ON a.batch_id = b.batch_id",
+        ", c.max_upgrades FROM agg a LEFT JOIN budgets b ON a.batch_id = b.batch_id "
+        "LEFT JOIN capacities c ON c.batch_id = a.batch_id")
     REC = MULTI + ", " + RECORDS.strip()
     q["prescription_records"] = REC + " SELECT * FROM flat"
     q["prescription_summary"] = REC + summary_select(True)
