@@ -253,3 +253,54 @@ def allocate(orders: DataFrame, budgets: DataFrame, part: str = "batch_id",
     })
     tmp = [c for c in dec.columns if c.startswith("__s1") or c.startswith("__s2")]
     return dec.drop("s1", "s2", *round_cols, *tmp), report
+
+
+def voucher_fallback(decisions: DataFrame, report: DataFrame, part: str = "batch_id",
+                     params: C.PrescriptionParams = C.PARAMS, key: str = "row_key",
+                     max_window_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Second pass under an upgrade-slot limit: an order whose only step was
+    an upgrade cannot fall back to a voucher once the slots are gone, so
+    orders left with nothing (and a loss) get a voucher while the batch's
+    remaining budget allows, in order of saving per cost.
+
+    Same plan shape as the main pass: a greedy prefix per batch
+    (``take_until``), a per-batch table (first blocked step, spent, saved)
+    broadcast behind a size check, and the decision as a pure function of
+    the order's own step and that table — no join per order.
+    """
+    r = float(params.voucher_reduction)
+    L, d = F.col("base_expected_loss"), F.col("discount_cost").cast(MONEY)
+    idle = (F.col("decision") == "nothing") & (L > F.lit(0.0))
+    paid = F.when(d > 0, F.lit(1)).otherwise(F.lit(0))
+    neg_eff = F.when(d > 0, -((L * F.lit(r)) / d.cast("double"))).otherwise(F.lit(0.0))
+    v_ord = _ord(paid, neg_eff, F.col(key), F.lit(3))
+    rem = report.select(part, (F.col("budget") - F.col("spent")).alias("rem"))
+    cands = (decisions.filter(idle)
+             .select(part, v_ord.alias("ord"), d.alias("dc"), (L * F.lit(r)).alias("ds"))
+             .withColumns({"paid": F.col("ord.paid"), "neg_eff": F.col("ord.neg_eff"),
+                           "du": F.lit(0)}))
+    max_rows = (cands.groupBy(part).agg(F.count(F.lit(1)).alias("n"))
+                .agg(F.max("n")).first()[0] or 0)
+    taken = take_until(cands.join(bounded_broadcast(rem), part), [part], "ord", "dc", "rem",
+                       "paid", "neg_eff", "taken", max_window_rows=max_window_rows,
+                       max_part_rows=max_rows)
+    v = _round_summary(taken, part, 0).select(
+        part, F.col("spent0").alias("v_spent"), F.col("saved0").alias("v_saved"),
+        F.col("__blk0.o").alias("v_block"))
+    v = bounded_broadcast(report.select(part).join(v, part, "left"))
+
+    got = idle & (F.col("v_block").isNull() | (v_ord < F.col("v_block")))
+    dec = (decisions.join(v.select(part, "v_block"), part, "left")
+           .withColumn("__v", got)
+           .withColumns({
+               "decision": F.when(F.col("__v"), F.lit("discount")).otherwise(F.col("decision")),
+               "cost": F.when(F.col("__v"), d).otherwise(F.col("cost")),
+               "expected_loss_after": F.when(F.col("__v"), L * F.lit(1.0 - r))
+                                       .otherwise(F.col("expected_loss_after"))})
+           .drop("v_block", "__v"))
+    saving = F.col("saving") + F.coalesce("v_saved", F.lit(0.0))
+    rep = (report.join(v, part, "left")
+           .select(part, "budget",
+                   (F.col("spent") + F.coalesce("v_spent", F.lit(0).cast(MONEY))).alias("spent"),
+                   saving.alias("saving"), "lp_bound", (F.col("lp_bound") - saving).alias("gap")))
+    return dec, rep

@@ -193,11 +193,12 @@ s{k} AS (
   SELECT s.* REPLACE (s.taken OR COALESCE(t.tk, FALSE) AS taken)
   FROM s{k - 1} s LEFT JOIN t{k} t ON s.batch_id = t.batch_id AND s.pos = t.pos)""")
     saved = " + ".join(["0.0"] + [f"saved{k}" for k in range(rounds + 1)])
+    spent = " + ".join([f"spent{k}" for k in range(rounds + 1)])
     lp = "(lp_saved + COALESCE(bds0 * (CAST(lp_rem AS DOUBLE) / CAST(bdc0 AS DOUBLE)), 0.0))"
     parts.append(f"""
-report AS (
+report{"1" if capacity else ""} AS (
   SELECT batch_id, budget, {lp} AS lp_bound, ({saved}) AS saving,
-         {lp} - ({saved}) AS gap
+         {lp} - ({saved}) AS gap, ({spent}) AS spent
   FROM p{rounds}),
 decisions AS (
   SELECT o.*,
@@ -205,7 +206,7 @@ decisions AS (
   FROM options o
   LEFT JOIN s{rounds} t1 ON t1.batch_id = o.batch_id AND t1.row_key = o.row_key AND t1.step = 1
   LEFT JOIN s{rounds} t2 ON t2.batch_id = o.batch_id AND t2.row_key = o.row_key AND t2.step = 2),
-dec AS (
+dec{"1" if capacity else ""} AS (
   SELECT *,
     CASE decision WHEN 'upgrade' THEN upgrade_cost WHEN 'discount' THEN discount_cost
          ELSE CAST(0 AS DECIMAL(20,4)) END AS cost,
@@ -213,6 +214,31 @@ dec AS (
          WHEN 'discount' THEN base_expected_loss * {dbl(KEEP)}
          ELSE base_expected_loss END AS expected_loss_after
   FROM decisions)""")
+    if capacity:  # second pass: idle orders get a voucher within the budget left
+        parts.append(f"""
+vin AS (
+  SELECT batch_id, row_key, discount_cost AS dc, base_expected_loss * {dbl(R)} AS ds
+  FROM dec1 WHERE decision = 'nothing' AND base_expected_loss > 0),
+vrk AS (
+  SELECT v.*, rp.budget - rp.spent AS rem,
+    sum(dc) OVER (PARTITION BY v.batch_id
+                  ORDER BY CASE WHEN dc > 0 THEN 1 ELSE 0 END,
+                           CASE WHEN dc > 0 THEN -(ds / CAST(dc AS DOUBLE)) ELSE 0.0 END, row_key
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum
+  FROM vin v JOIN report1 rp USING (batch_id)),
+vt AS (SELECT batch_id, row_key, ds FROM vrk WHERE cum <= rem),
+vg AS (SELECT batch_id, sum(ds) AS v_saved FROM vt GROUP BY batch_id),
+report AS (
+  SELECT r.batch_id, r.budget, r.lp_bound, r.saving + COALESCE(g.v_saved, 0.0) AS saving,
+         r.lp_bound - (r.saving + COALESCE(g.v_saved, 0.0)) AS gap
+  FROM report1 r LEFT JOIN vg g USING (batch_id)),
+dec AS (
+  SELECT d.* REPLACE (
+    CASE WHEN t.row_key IS NOT NULL THEN 'discount' ELSE d.decision END AS decision,
+    CASE WHEN t.row_key IS NOT NULL THEN d.discount_cost ELSE d.cost END AS cost,
+    CASE WHEN t.row_key IS NOT NULL THEN d.base_expected_loss * {dbl(KEEP)}
+         ELSE d.expected_loss_after END AS expected_loss_after)
+  FROM dec1 d LEFT JOIN vt t ON d.batch_id = t.batch_id AND d.row_key = t.row_key)""")
     return ",\n".join(p.strip() for p in parts)
 
 

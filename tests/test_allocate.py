@@ -176,3 +176,27 @@ def test_capacity_bucketed_plan_equals_window(spark):
             b = next(x[0] for x in rows if x[1] == k)
             per_batch[b] = per_batch.get(b, 0) + 1
     assert all(v <= 6 for v in per_batch.values())
+
+
+def test_voucher_fallback_under_capacity(spark):
+    from shipwise.operators.allocate import voucher_fallback
+    rows, budgets, orders, bdf = _batches(spark, seed=13)
+    caps, cdf = _capacities(spark, budgets, seed=5)
+    dec1, rep1 = allocate(orders, bdf, capacities=cdf)
+    dec, rep = voucher_fallback(dec1, rep1)
+    got, first = dec.collect(), {r.row_key: r for r in dec1.collect()}
+    reps, reps1 = {r.batch_id: r for r in rep.collect()}, {r.batch_id: r for r in rep1.collect()}
+    for (b, budget), (_, slots) in zip(budgets, caps):
+        mine = [r for r in got if r.batch_id == b]
+        if slots is not None:
+            assert sum(1 for r in mine if r.decision == "upgrade") <= slots
+        assert sum(Decimal(r.cost) for r in mine) <= Decimal(str(budget))
+        for r in mine:  # the second pass only turns idle orders into vouchers
+            assert r.decision == first[r.row_key].decision or (
+                first[r.row_key].decision == "nothing" and r.decision == "discount")
+        saving = sum(r.base_expected_loss - r.expected_loss_after for r in mine)
+        mine_rows = [x for x in rows if x[0] == b]
+        opt = _brute_capped(mine_rows, budget, len(mine_rows) if slots is None else slots)
+        assert reps1[b].saving - 1e-9 <= saving <= opt + 1e-9
+        assert opt <= reps[b].lp_bound + 1e-9
+        assert abs(reps[b].saving - saving) < 1e-9
