@@ -101,6 +101,9 @@ class ScaleKnobs:
     take_until_buckets: int = 256
     # Extra fill rounds of the allocator after the greedy prefix.
     fill_rounds: int = 3
+    # A scanned table in at most this many files is spread over the task
+    # slots once (see sources.tables.spread); larger layouts are left alone.
+    spread_max_files: int = 4
 
 
 @dataclass(frozen=True)

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import config as C
 from ..functions.columns import hex_unit
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
@@ -22,13 +23,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Scan parallelism floor: a table stored in fewer files than the cluster
-    has task slots (one file, one row group) would run every downstream
-    narrow stage in one task; spread it round-robin once. A large table in
-    many files is left alone (no extra shuffle)."""
+def spread(df: DataFrame, max_files: int | None = None) -> DataFrame:
+    """Scan parallelism floor: a table in a handful of files (the test tables
+    are one file with one row group) would run every downstream narrow stage
+    in one task; spread it round-robin once. A table in more files than that
+    is left alone however many task slots there are: a large table lands in
+    many files and the scan already splits them by row group, so spreading
+    it would only add a full shuffle."""
+    limit = C.KNOBS.spread_max_files if max_files is None else max_files
     slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if len(df.inputFiles()) < slots else df
+    n_files = len(df.inputFiles())
+    return df.repartition(slots) if n_files <= limit and n_files < slots else df
 
 
 def _d(x: float):

@@ -40,3 +40,14 @@ def test_split_read_prunes_partitions(spark, tmp_dir):
     plan = test._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(split" in plan and "(split#" in plan
     assert test.count() == df.filter("split = 'test'").count()
+
+
+def test_spread_only_for_tables_in_a_handful_of_files(spark, tmp_dir):
+    from shipwise.sources.tables import read_table, spread
+    one = read_table(spark, SF001, "lineitem")
+    assert "RoundRobinPartitioning" in _plan(spread(one))
+    many = f"{tmp_dir}/many"
+    spark.range(0, 1000, numPartitions=6).write.parquet(many)
+    df = spark.read.parquet(many)
+    assert len(df.inputFiles()) == 6
+    assert "RoundRobinPartitioning" not in _plan(spread(df))
