@@ -17,25 +17,29 @@ from ..operators.prescribe import flat_records, prescribe
 from ..sources.files import write_back
 
 
-def prescribe_micro_batch(budgets: DataFrame, out_path: str, fill_rounds: int | None = None):
-    """foreachBatch function: allocate the micro-batch, write its records."""
+def prescribe_micro_batch(budgets: DataFrame, out_path: str, fill_rounds: int | None = None,
+                          capacities: DataFrame | None = None):
+    """foreachBatch function: allocate the micro-batch, write its records.
+    ``capacities`` (batch_id, max_upgrades) adds the upgrade-slot limit."""
     def run(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
         ids = batch.select("batch_id").distinct()
         b = budgets.join(ids, "batch_id")
-        out = prescribe(batch, budgets=b, fill_rounds=fill_rounds)
+        caps = capacities.join(ids, "batch_id") if capacities is not None else None
+        out = prescribe(batch, budgets=b, fill_rounds=fill_rounds, capacities=caps)
         write_back(flat_records(out["decisions"]), out_path, ("batch_id",))
     return run
 
 
 def start(spark: SparkSession, source_dir: str, schema: StructType, budgets: DataFrame,
           out_path: str, checkpoint_location: str, available_now: bool = True,
-          fill_rounds: int | None = None) -> StreamingQuery:
+          fill_rounds: int | None = None,
+          capacities: DataFrame | None = None) -> StreamingQuery:
     """Stream scored orders (Parquet files) → allocation → partitioned records."""
     stream = spark.readStream.schema(schema).parquet(source_dir)
     writer = (stream.writeStream
-              .foreachBatch(prescribe_micro_batch(budgets, out_path, fill_rounds))
+              .foreachBatch(prescribe_micro_batch(budgets, out_path, fill_rounds, capacities))
               .option("checkpointLocation", checkpoint_location))
     writer = writer.trigger(availableNow=True) if available_now else writer
     return writer.start()

@@ -46,3 +46,23 @@ def test_stream_prescriptions(spark, tmp_dir):
     assert out.count() == scored.filter(F.col("batch_id") < "NATION_2").count()
     spent = out.groupBy("batch_id").agg(F.sum("cost").alias("s")).collect()
     assert all(r.s <= 50.0 + 0.05 for r in spent)
+
+
+def test_stream_prescriptions_with_capacity(spark, tmp_dir):
+    scored = c.batched(spark, SF001).select("row_key", "order_id", "batch_id", "price", "profit",
+                                            "risk_score", "late_delivery_risk")
+    src = f"{tmp_dir}/src"
+    part = scored.filter(F.col("batch_id") < "NATION_2")
+    part.write.parquet(src + "/part1")
+    budgets = spark.createDataFrame([(f"NATION_{i}", 50.0) for i in range(25)],
+                                    "batch_id string, budget double")
+    caps = spark.createDataFrame([(f"NATION_{i}", 1) for i in range(25)],
+                                 "batch_id string, max_upgrades int")
+    q = prescribe_stream.start(spark, src + "/part1", scored.schema, budgets,
+                               f"{tmp_dir}/out", f"{tmp_dir}/ckpt", capacities=caps)
+    q.awaitTermination(300)
+    out = spark.read.parquet(f"{tmp_dir}/out")
+    assert out.count() == part.count()
+    per = out.groupBy("batch_id").agg(F.sum("cost").alias("s"),
+                                      F.count_if(F.col("decision") == "upgrade").alias("u")).collect()
+    assert all(r.s <= 50.0 + 0.05 and r.u <= 1 for r in per)
