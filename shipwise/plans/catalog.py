@@ -40,9 +40,16 @@ def split(spark, d) -> DataFrame:
     return rk.stratified_split(cleaned(spark, d))
 
 
+# what scoring and the prescription queries read of the split
+SCORING_COLS = ("row_key", "order_id", C.TARGET_COL, "split", *sc.CELL_KEYS,
+                "order_country", "price", "profit")
+
+
 def scored_test(spark, d) -> DataFrame:
-    # the split is read twice (cells from train, scores for test): land it once
-    return sc.score_with_cells(materialize(split(spark, d)))
+    # the split is read twice (cells from train, scores for test): land it
+    # once, with only the columns read later; the projection reaches below
+    # the rank window, so its shuffle, sort and the write carry only these
+    return sc.score_with_cells(materialize(split(spark, d).select(*SCORING_COLS)))
 
 
 def batched(spark, d) -> DataFrame:
