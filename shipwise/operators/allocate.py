@@ -162,7 +162,9 @@ def allocate(orders: DataFrame, budgets: DataFrame, part: str = "batch_id",
     # the order table is read once per round: land it once (lineage cut)
     with_steps = materialize(order_steps(orders, params, two_option, key))
     steps = _explode_steps(with_steps, part)  # narrow, re-derived from the landed table
-    budgets_b = bounded_broadcast(budgets)
+    budgets_m = materialize(budgets)
+    n_batches = budgets_m.count()
+    budgets_b = F.broadcast(budgets_m) if n_batches <= C.KNOBS.max_broadcast_rows else budgets_m
     check = (steps.groupBy(part).agg(F.count(F.lit(1)).alias("n"))
              .join(budgets_b, part, "left")
              .agg(F.max("n").alias("max_rows"), F.count_if(F.col("budget").isNull()).alias("missing"))
@@ -194,7 +196,8 @@ def allocate(orders: DataFrame, budgets: DataFrame, part: str = "batch_id",
         P = P.drop("bdc0", "bds0").join(rb.select(
             part, F.col("saved0").alias("lp_saved"), F.col("spent0").alias("lp_spent"),
             F.col("__blk0.dc").alias("bdc0"), F.col("__blk0.ds").alias("bds0")), part, "left")
-    P = bounded_broadcast(P)
+    # P is budgets left-joined with per-batch aggregates: one row per budget row
+    P = bounded_broadcast(P, rows=n_batches)
 
     o, dc, po, pdc = F.col("ord"), F.col("dc"), F.col("prev_ord"), F.col("prev_dc")
     du, pdu = F.col("du"), F.col("prev_du")
@@ -213,7 +216,7 @@ def allocate(orders: DataFrame, budgets: DataFrame, part: str = "batch_id",
              .withColumn(f"rem{k + 1}", F.col(f"rem{k}") - F.col(f"spent{k}")))
         if capped:
             P = P.withColumn(f"remu{k + 1}", F.col(f"remu{k}") - F.col(f"used{k}"))
-        P = bounded_broadcast(P)
+        P = bounded_broadcast(P, rows=n_batches)
 
     spent = sum((F.col(f"spent{k}") for k in range(R + 1)), F.lit(0).cast(MONEY))
     saved = sum((F.col(f"saved{k}") for k in range(R + 1)), F.lit(0.0))

@@ -26,12 +26,16 @@ from ..functions.columns import seeded_hash
 from ..session import materialize
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+def bounded_broadcast(df: DataFrame, max_rows: int | None = None,
+                      rows: int | None = None) -> DataFrame:
     """Materialise a small derived table (lineage cut) and broadcast it only if
-    its row count is within the bound; otherwise leave the join to a shuffle."""
+    its row count is within the bound; otherwise leave the join to a shuffle.
+    ``rows``: the row count when the caller already knows it exactly (saves
+    the counting job)."""
     max_rows = C.KNOBS.max_broadcast_rows if max_rows is None else max_rows
     df = materialize(df)
-    return F.broadcast(df) if df.count() <= max_rows else df
+    n = df.count() if rows is None else rows
+    return F.broadcast(df) if n <= max_rows else df
 
 
 def hex_digits_for(n_rows: int, rows_per_bucket: int | None = None) -> int:
