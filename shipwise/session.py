@@ -6,12 +6,16 @@ fills in what is unset (as in tests and local benches).
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+_SHIPPED: set[str] = set()
+
 LOCAL_DEFAULTS = {
     "spark.sql.shuffle.partitions": "8",
     "spark.sql.adaptive.enabled": "true",
@@ -38,21 +42,38 @@ def local_session(cores: int | str = "*", app: str = "shipwise",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the shared folder named in ``spark.checkpoint.dir``.
+    """The shared folder named in ``spark.checkpoint.dir``.
 
-    Only when the setting is missing (local tests) a fresh scratch folder is
-    created and registered.
+    Only a local session (tests, benches), whose driver is its only executor,
+    gets a scratch folder if the setting is missing; on a cluster that is an
+    error, because executors do not share a folder of the driver's machine.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="shipwise-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", conf_dir)
-    sc.setCheckpointDir(conf_dir)
-    return sc.getCheckpointDir() or conf_dir
+    wanted = spark.conf.get("spark.checkpoint.dir", None)
+    if not wanted:
+        if sc.getCheckpointDir():
+            return sc.getCheckpointDir()
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        wanted = tempfile.mkdtemp(prefix="shipwise-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", wanted)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(wanted)
+    return sc.getCheckpointDir() or wanted
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, which need not find it on their own path."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    top = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="shipwise-pkg-")).resolve() / "shipwise_pkg.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(top.rglob("*.py")):
+            z.write(p, str(p.relative_to(top.parent)))
+    sc.addPyFile(str(archive))
+    _SHIPPED.add(sc.applicationId)
 
 
 def materialize(df):
