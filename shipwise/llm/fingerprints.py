@@ -119,6 +119,7 @@ def with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = rows.withColumn("key", F.coalesce("id", F.lit(-(1 << 63)).cast("long")))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     cuts = sorted({float(c) for c in rows.select("key").approxQuantile("key", [i / n for i in range(1, n)], 0.1 / n)})
+    cuts = cuts or [0.0]
     inner = Bucketizer(splits=[-float("inf"), *cuts, float("inf")], inputCol="place", outputCol="part")
     rows = inner.transform(rows.withColumn("place", F.col("key").cast("double"))).withColumn("part", F.col("part").cast("int")).drop("place")
     heads = sorted(rows.groupBy("part").agg(F.max("key")).collect(), reverse=True)  # one row per part

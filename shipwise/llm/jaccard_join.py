@@ -303,8 +303,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     # one document of each class goes on; the others are taken out by id
     first = member.where("n > 1").groupBy("key").agg(F.min("id").alias("first"), F.count("*").alias("copies"))
-    again = land(member.join(first.where("copies > 1"), "key").where("id > first").select("id"))
-    firsts = rows.join(bounded(again), "id", "left_anti")
+    copies = land(member.join(first.where("copies > 1"), "key").select("id", "first"))
+    firsts = _once(rows.join(bounded(copies.where("id > first").select("id")), "id", "left_anti"),
+                   copies.where("id = first or id is null").groupBy("id").count().where("count > 1").select("id"))
     entries = firsts.select("text").mapInArrow(_index(p, frequent), "entry long, salt int, key long, n int")
     shared = land(entries.repartition("entry", "salt").sortWithinPartitions("entry")
                   .mapInArrow(_shared, "entry long, key long, n int"))
@@ -312,20 +313,22 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                                        F.min(F.struct("n", "key")).alias("pivot")).where("lo < hi"))
     shared = land(shared.join(met.select("entry", "pivot"), "entry")
                   .select("entry", "key", "n", F.col("pivot.key").alias("pivot"), F.col("pivot.n").alias("pivot_n")))
-    keys = shared.select("key").distinct()
-    ids = land(member.join(keys, "key", "left_semi").groupBy("key").agg(F.min("id").alias("id")).select("id"))
-    some_null = member.where("id is null").limit(1).count() > 0
-    wanted = rows.join(bounded(ids), "id", "left_semi").select("text")
-    if some_null:
-        wanted = wanted.unionByName(rows.where("id is null").select("text"))
-    sets = wanted.mapInArrow(_sets(p), "key long, set binary")
-    sets = land(sets.dropDuplicates(["key"]) if some_null else sets)
+    reps = land(member.join(shared.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.min("id").alias("id")))
+
+    def verify(pairs: DataFrame) -> DataFrame:
+        """The links among the pairs; only the sets of their classes are made and moved."""
+        pairs = land(pairs)
+        keys = pairs.select(F.col("u").alias("key")).union(pairs.select("v")).distinct()
+        ids = land(reps.join(keys, "key", "left_semi").select("id"))
+        wanted = rows.join(bounded(ids), rows["id"].eqNullSafe(ids["id"]), "left_semi")
+        sets = wanted.select("text").mapInArrow(_sets(p), "key long, set binary").dropDuplicates(["key"])
+        return land(verified(pairs, land(sets), p))
 
     # round 1: each class with its least pivot
     pairs = (shared.where("key <> pivot").where(_fits(p, "n", "pivot_n"))
              .groupBy(F.col("key").alias("u")).agg(F.min(F.struct("pivot_n", "pivot")).alias("p"))
              .select("u", F.col("p.pivot").alias("v")))
-    links = land(verified(pairs, sets, p))
+    links = verify(pairs)
     roots = components(links)
 
     # round 2: one pair for each two components that meet; round 3: every pair still apart
@@ -334,11 +337,22 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         if apart.isEmpty():
             break
         pairs = _all_pairs(apart, p) if last else _one_pair(apart, p)
-        links = land(links.unionByName(land(verified(pairs, sets, p))))
+        links = land(links.unionByName(verify(pairs)))
         roots = components(links)
     return JaccardResult(member, links, roots)
 
 
+def _once(rows: DataFrame, repeated: DataFrame) -> DataFrame:
+    """Rows of repeated ids only once for each text (most tables have none)."""
+    repeated = land(repeated)
+    if repeated.isEmpty():
+        return rows
+    same = F.broadcast(repeated) if repeated.count() <= 100_000 else repeated
+    on = rows["id"].eqNullSafe(repeated["id"])
+    return (rows.join(same, on, "left_anti")
+            .unionByName(rows.join(same, on, "left_semi").dropDuplicates(["id", "text"])))
+
+
 def _apart(shared: DataFrame, roots: DataFrame) -> DataFrame:
     """The rows of entries that hold classes of more than one component."""
     now = (shared.select("entry", "key", "n").join(roots.withColumnRenamed("node", "key"), "key", "left")

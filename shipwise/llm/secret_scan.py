@@ -149,9 +149,13 @@ def _joined(spans: Column, rules: tuple[SecretRule, ...]) -> Column:
 
 def digest_columns(found: DataFrame, rules: tuple[SecretRule, ...] = RULES) -> DataFrame:
     base = [k for k, r in enumerate(rules) if r.base]
-    of = {r.name: F.size(F.filter("found", lambda s, k=k: s["kind"] == k)).cast("long") for k, r in enumerate(rules)}
+    place = {r.name: k for k, r in enumerate(rules)}
+
+    def count(name: str) -> Column:
+        return F.size(F.filter("found", lambda s: s["kind"] == place[name])).cast("long")
+
     return found.select(
-        F.col("id").alias("doc_id"), of["assign"].alias("n_assign"), of["access"].alias("n_access"), of["hex"].alias("n_hex"),
+        F.col("id").alias("doc_id"), count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
         F.sha2(_joined(F.filter("found", lambda s: s["kind"].isin(base)), rules), 256).alias("base_sha256"),
         _joined(F.col("found"), rules).alias("spans"))
 
