@@ -77,6 +77,16 @@ def set_key(s: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
+SKETCH_BITS = 1024
+
+
+def sketch(s: np.ndarray) -> np.ndarray:
+    """Parities of the counts of shingles in 1024 hash buckets, as 16 longs: each shingle that two
+    sets do not share flips one bit at most, so differing bits are a lower bound of those."""
+    odd = np.bincount((s >> U64(54)).astype(np.int64), minlength=SKETCH_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 # ---- pass 1: sizes, keys and shingles that repeat within a block ---------------------------------
 
 def _profile(p: JaccardParams):
@@ -87,21 +97,23 @@ def _profile(p: JaccardParams):
         keep = counts >= p.block_df
         return values[keep], counts[keep]
 
-    def rows(ids, keys, sizes, kind):
+    def rows(ids, keys, sizes, kind, sketches=None):
         n = len(keys)
+        marks = pa.nulls(n, pa.list_(pa.int64())) if sketches is None else pa.array(sketches, pa.list_(pa.int64()))
         return pa.RecordBatch.from_arrays(
-            [ids, pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()), pa.array(np.full(n, kind, np.int32))],
-            names=["id", "key", "n", "kind"])
+            [ids, pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()), pa.array(np.full(n, kind, np.int32)), marks],
+            names=["id", "key", "n", "kind", "sketch"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, seen = [], 0, set()
         for batch in batches:
-            keys, sizes = [], []
+            keys, sizes, sketches = [], [], []
             for words in each_block(batch.column(1), NONSPACE):
                 for s in shingle_sets(words, p.width):
                     key = set_key(s)
                     keys.append(key)
                     sizes.append(len(s))
+                    sketches.append(sketch(s))
                     if key not in seen:
                         seen.add(key)
                         held.append(s)
@@ -110,7 +122,7 @@ def _profile(p: JaccardParams):
                     values, counts = repeated(held)
                     yield rows(pa.nulls(len(values), pa.int64()), values.view(np.int64), counts, 1)
                     held, size, seen = [], 0, set()
-            yield rows(batch.column(0), keys, sizes, 0)
+            yield rows(batch.column(0), keys, sizes, 0, sketches)
         values, counts = repeated(held)
         yield rows(pa.nulls(len(values), pa.int64()), values.view(np.int64), counts, 1)
     return run
@@ -268,6 +280,16 @@ def verified(pairs: DataFrame, sets: DataFrame, p: JaccardParams) -> DataFrame:
     return wide.select("u", "v", "x", "y").mapInArrow(_linked(p), "u long, v long")
 
 
+def _not_too_far(pairs: DataFrame, reps: DataFrame, p: JaccardParams) -> DataFrame:
+    """Drops pairs whose sketches differ in more bits than linked sets have unshared shingles."""
+    up, down = p.threshold.numerator, p.threshold.denominator
+    far = F.aggregate(F.zip_with("x", "y", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda a, b: a + b)
+    side = reps.select("key", "sketch", "n")
+    both = (pairs.join(side.select(F.col("key").alias("u"), F.col("sketch").alias("x"), F.col("n").alias("nx")), "u")
+            .join(side.select(F.col("key").alias("v"), F.col("sketch").alias("y"), F.col("n").alias("ny")), "v"))
+    return both.where(far * (up + down) <= (F.col("nx") + F.col("ny")) * (down - up)).select("u", "v")
+
+
 def _fits(p: JaccardParams, n: str, m: str) -> str:
     return (f"least({n}, {m}) * {p.threshold.denominator} >= greatest({n}, {m}) * {p.threshold.numerator}")
 
@@ -297,7 +319,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     p = params
     spark = docs.sparkSession
     rows = pick(docs, id=id_col, text=text_col).withColumn("id", F.col("id").cast("long"))
-    profile = land(rows.select("id", "text").mapInArrow(_profile(p), "id long, key long, n long, kind int"))
+    profile = land(rows.select("id", "text").mapInArrow(_profile(p), "id long, key long, n long, kind int, sketch array<long>"))
     member = profile.where("kind = 0").select("id", "key", "n")
     frequent = spark.sparkContext.broadcast(_frequent(profile, p))
 
@@ -313,11 +335,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                                        F.min(F.struct("n", "key")).alias("pivot")).where("lo < hi"))
     shared = land(shared.join(met.select("entry", "pivot"), "entry")
                   .select("entry", "key", "n", F.col("pivot.key").alias("pivot"), F.col("pivot.n").alias("pivot_n")))
-    reps = land(member.join(shared.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.min("id").alias("id")))
+    reps = land(profile.where("kind = 0").join(shared.select("key").distinct(), "key", "left_semi")
+                .groupBy("key").agg(F.min("id").alias("id"), F.first("sketch").alias("sketch"), F.first("n").alias("n")))
 
     def verify(pairs: DataFrame) -> DataFrame:
-        """The links among the pairs; only the sets of their classes are made and moved."""
-        pairs = land(pairs)
+        """The links among the pairs: first by sketches, then by the whole sets, which are made and
+        moved only for the classes still in question."""
+        pairs = land(_not_too_far(pairs, reps, p))
         keys = pairs.select(F.col("u").alias("key")).union(pairs.select("v")).distinct()
         ids = land(reps.join(keys, "key", "left_semi").select("id"))
         wanted = rows.join(bounded(ids), rows["id"].eqNullSafe(ids["id"]), "left_semi")
