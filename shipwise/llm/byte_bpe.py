@@ -10,7 +10,8 @@ it is.
 Spark partitions the texts; each task streams its rows.  A text is cut at
 single spaces where that cannot change the pre-tokens (no two spaces in a
 row), and the ids of such pieces are remembered in a bounded table, so common
-words are looked up and only new ones are merged.  Decoding goes from the ids
+words are looked up and only new ones are merged, all those of some megabytes
+of text in one queue.  Decoding goes from the ids
 back to bytes.
 
 Rows: null is the empty text and has no ids; texts of any length, ties and
@@ -22,7 +23,6 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
-from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +31,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from shipwise.llm.tables import kept, pick
+from shipwise.llm.words import blocks, string_buffers
+
+#: Text encoded at a time, in bytes (at least one whole text).
+BATCH_BYTES = 2 << 20
 
 
 def read_ranks(raw: bytes) -> dict[bytes, int]:
@@ -53,130 +57,168 @@ class RankQueue:
             self.leaves[hi] = self.leaves.get(hi, 0) | 1 << (rank & 255)
             self.root |= 1 << hi
         else:
-            heappush(bucket, position)
+            bucket.append(position)
 
-    def first(self) -> int:
-        """The lowest rank in use, or -1."""
+    def take(self) -> tuple[int, list[int]]:
+        """The lowest rank in use and its positions, which leave the queue; -1 if there are none."""
         if not self.root:
-            return -1
+            return -1, []
         hi = (self.root & -self.root).bit_length() - 1
         leaf = self.leaves[hi]
-        return hi << 8 | (leaf & -leaf).bit_length() - 1
-
-    def clear(self, rank: int) -> None:
-        del self.buckets[rank]
-        hi = rank >> 8
-        left = self.leaves[hi] ^ 1 << (rank & 255)
-        self.leaves[hi] = left
-        if not left:
+        low = leaf & -leaf
+        self.leaves[hi] = leaf ^ low
+        if leaf == low:
             self.root ^= 1 << hi
+        rank = hi << 8 | low.bit_length() - 1
+        return rank, self.buckets.pop(rank)
 
 
 class ByteBpe:
-    """Encoder and decoder of one vocabulary; ``remember`` bounds each of the two tables."""
+    """Encoder and decoder of one vocabulary; ``remember`` bounds each of its tables."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, remember: int = 300_000) -> None:
+    def __init__(self, ranks: dict[bytes, int], pattern: str, remember: int = 700_000) -> None:
         self.ranks = ranks
         self.bytes_of = {i: b for b, i in ranks.items()}
         self.single = [ranks[bytes([b])] for b in range(256)]
         self.pattern = regex.compile(pattern)
         self.remember = remember
-        self.pairs: dict[tuple[int, int], int] = {}
         self.spelled = {str(i): b for i, b in self.bytes_of.items()}
+        self.pairs: dict[int, int] = {}
         self.tokens: dict[str, str] = {}
         self.pieces: dict[str, str] = {}
 
-    def _rank(self, a: int, b: int) -> int:
-        r = self.pairs.get((a, b))
-        if r is None:
-            r = self.ranks.get(self.bytes_of[a] + self.bytes_of[b], -1)
-            if len(self.pairs) >= self.remember:
-                self.pairs.clear()
-            self.pairs[a, b] = r
-        return r
-
-    def merge(self, raw: bytes) -> list[int]:
-        """The ids of one pre-token."""
-        whole = self.ranks.get(raw)
-        if whole is not None:
-            return [whole]
-        n, rank_of = len(raw), self._rank
-        ids = [self.single[b] for b in raw]
+    def merge(self, raws: list[bytes]) -> list[list[int]]:
+        """The ids of each pre-token.  All of them lie in one linked list, with no pair across a
+        border, so they share the queue and each still merges its own lowest, leftmost pair."""
+        pairs, ranks, bytes_of = self.pairs, self.ranks, self.bytes_of
+        if len(pairs) > self.remember:
+            pairs.clear()
+
+        def rank_of(a: int, b: int) -> int:
+            r = pairs[a << 20 | b] = ranks.get(bytes_of[a] + bytes_of[b], -1)
+            return r
+
+        table = self.single
+        ids: list[int] = []
+        starts = []
+        for raw in raws:
+            starts.append(len(ids))
+            ids.extend([table[b] for b in raw])
+        n = len(ids)
+        starts.append(n)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        pair = [rank_of(a, b) for a, b in zip(ids, ids[1:])] + [-1]
+        pair = [-1] * n
         queue = RankQueue()
-        for i, r in enumerate(pair):
-            if r >= 0:
-                queue.put(r, i)
-        while (rank := queue.first()) >= 0:
-            bucket = queue.buckets[rank]
-            while bucket:
-                i = heappop(bucket)
+        put, known = queue.put, pairs.get
+        for lo, hi in zip(starts, starts[1:]):
+            if hi > lo:
+                before[lo], after[hi - 1] = -1, -1
+            for i in range(lo, hi - 1):
+                a, b = ids[i], ids[i + 1]
+                r = known(a << 20 | b)
+                if r is None:
+                    r = rank_of(a, b)
+                if r >= 0:
+                    pair[i] = r
+                    put(r, i)
+        while True:
+            rank, bucket = queue.take()
+            if rank < 0:
+                break
+            bucket.sort()
+            for at, i in enumerate(bucket):
                 if pair[i] != rank:
                     continue  # stale: one side was merged away
                 j = after[i]
                 k = after[j]
                 ids[i], after[i], pair[j] = rank, k, -1
-                lower = False
-                if k < n:
+                lowest = rank
+                if k >= 0:
                     before[k] = i
-                    pair[i] = r = rank_of(rank, ids[k])
+                    r = known(rank << 20 | ids[k])
+                    if r is None:
+                        r = rank_of(rank, ids[k])
+                    pair[i] = r
                     if r >= 0:
-                        queue.put(r, i)
-                        lower = r < rank
+                        put(r, i)
+                        if r < lowest:
+                            lowest = r
                 else:
                     pair[i] = -1
                 h = before[i]
                 if h >= 0:
-                    pair[h] = r = rank_of(ids[h], rank)
+                    r = known(ids[h] << 20 | rank)
+                    if r is None:
+                        r = rank_of(ids[h], rank)
+                    pair[h] = r
                     if r >= 0:
-                        queue.put(r, h)
-                        lower = lower or r < rank
-                if lower:
+                        put(r, h)
+                        if r < lowest:
+                            lowest = r
+                if lowest < rank:  # a new pair goes first; the rest of the bucket waits
+                    for rest in bucket[at + 1:]:
+                        put(rank, rest)
                     break
-            if not bucket:
-                queue.clear(rank)
-        out, i = [], 0
-        while i < n:
-            out.append(ids[i])
-            i = after[i]
+        out = []
+        for lo, hi in zip(starts, starts[1:]):
+            own, i = [], lo if hi > lo else -1
+            while i >= 0:
+                own.append(ids[i])
+                i = after[i]
+            out.append(own)
         return out
 
-    def _token(self, token: str) -> str:
-        found = self.tokens.get(token)
-        if found is None:
-            found = " ".join(map(str, self.merge(token.encode())))
-            if len(token) <= 64:
-                if len(self.tokens) >= self.remember:
-                    self.tokens.clear()
-                self.tokens[token] = found
-        return found
-
-    def _piece(self, piece: str) -> str:
-        found = self.pieces.get(piece)
-        if found is None:
-            found = " ".join(map(self._token, self.pattern.findall(piece)))
-            if len(piece) <= 64:
-                if len(self.pieces) >= self.remember:
-                    self.pieces.clear()
-                self.pieces[piece] = found
-        return found
-
-    def encode_text(self, text: str) -> str:
-        """The decimal ids of a text, joined by spaces."""
-        if "  " in text or not text:
-            return " ".join(map(self._token, self.pattern.findall(text)))
-        pieces = text.split(" ")
-        known, out = self.pieces.get, []
-        if pieces[0]:
-            out.append(self._piece(pieces[0]))
-        for p in pieces[1:]:
-            p = " " + p
-            out.append(known(p) or self._piece(p))
-        return " ".join(out)
+    def _learn(self, pieces: set[str]) -> None:
+        """Puts the ids of new pieces of text into the tables."""
+        if len(self.pieces) + len(pieces) > self.remember:
+            self.pieces.clear()
+        cut = {p: self.pattern.findall(p) for p in pieces}
+        if len(self.tokens) > self.remember:
+            self.tokens.clear()
+        new = list({t for ts in cut.values() for t in ts if t not in self.tokens})
+        todo = []
+        for t in new:
+            whole = self.ranks.get(raw := t.encode())
+            if whole is not None:
+                self.tokens[t] = str(whole)
+            else:
+                todo.append((t, raw))
+        for (t, _), ids in zip(todo, self.merge([raw for _, raw in todo]), strict=True):
+            self.tokens[t] = " ".join(map(str, ids))
+        spelled = self.tokens
+        for p, ts in cut.items():
+            self.pieces[p] = " ".join([spelled[t] for t in ts])
+        for t in [t for t in new if len(t) > 256]:
+            del spelled[t]
+
+    @staticmethod
+    def cut(text: str) -> list[str]:
+        """Pieces whose pre-tokens are those of the text: each space that is not beside another one
+        starts a piece, as it starts a pre-token."""
+        if not text:
+            return []
+        if "  " in text:
+            return [text]
+        first, *rest = text.split(" ")
+        return [first, *[" " + p for p in rest]] if first else [" " + p for p in rest]
+
+    def encode_texts(self, texts: list[str]) -> list[str]:
+        """The decimal ids of each text, joined by spaces."""
+        pieces = [self.cut(t) for t in texts]
+        known = self.pieces
+        missing = {p for ps in pieces for p in ps if p not in known}
+        if len(known) + len(missing) > self.remember:
+            known.clear()
+            missing = {p for ps in pieces for p in ps}
+        if missing:
+            self._learn(missing)
+        out = [" ".join([known[p] for p in ps]) for ps in pieces]
+        for p in [p for p in missing if len(p) > 256]:
+            del known[p]
+        return out
 
     def decode_text(self, ids: str) -> bytes:
-        return b"".join(map(self.spelled.__getitem__, ids.split(" "))) if ids else b""
+        return b"".join([self.spelled[i] for i in ids.split(" ")]) if ids else b""
 
 
 _CODERS: dict[str, ByteBpe] = {}
@@ -194,11 +236,11 @@ def _code(vocabulary, pattern: str, ids: bool, decoded: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = coder(vocabulary.value, pattern)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            _, offsets = string_buffers(batch.column("text"))
+            for rows in blocks(offsets, BATCH_BYTES):
+                part = batch.slice(rows.start, len(rows))
                 out: dict[str, list] = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": [], "ids": [], "decoded": []}
-                for text in part.column("text").to_pylist():
-                    spelled = c.encode_text(text or "")
+                for spelled in c.encode_texts([text or "" for text in part.column("text").to_pylist()]):
                     back = c.decode_text(spelled)
                     out["n_tokens"].append(spelled.count(" ") + 1 if spelled else 0)
                     out["ids_sha256"].append(hashlib.sha256(spelled.encode()).hexdigest())

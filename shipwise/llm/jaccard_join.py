@@ -331,8 +331,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     entries = firsts.select("text").mapInArrow(_index(p, frequent), "entry long, salt int, key long, n int")
     shared = land(entries.repartition("entry", "salt").sortWithinPartitions("entry")
                   .mapInArrow(_shared, "entry long, key long, n int"))
-    met = (shared.groupBy("entry").agg(F.min("key").alias("lo"), F.max("key").alias("hi"),
-                                       F.min(F.struct("n", "key")).alias("pivot")).where("lo < hi"))
+    met = shared.groupBy("entry").agg(
+        F.min("key").alias("lo"), F.max("key").alias("hi"), F.min(F.struct("n", "key")).alias("pivot"), F.count("*").alias("size"),
+        *[F.bit_xor(F.xxhash64("key", F.lit(seed))).alias(f"mark{seed}") for seed in (1, 2)])
+    # of entries that hold the same classes (by 128 bits over them) one is enough
+    met = met.where("lo < hi").groupBy("lo", "hi", "size", "mark1", "mark2").agg(
+        F.min("entry").alias("entry"), F.min("pivot").alias("pivot"))
     shared = land(shared.join(met.select("entry", "pivot"), "entry")
                   .select("entry", "key", "n", F.col("pivot.key").alias("pivot"), F.col("pivot.n").alias("pivot_n")))
     reps = land(profile.where("kind = 0").join(shared.select("key").distinct(), "key", "left_semi")
