@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shipwise.llm.tables import land
+from shipwise.llm.tables import discard, land
 
 
 def _least(links: DataFrame) -> DataFrame:
@@ -35,8 +35,12 @@ def components(links: DataFrame) -> DataFrame:
     only nodes with a link to another node appear."""
     links = links.where("u <> v").select("u", "v").distinct()
     seen = None
+    before = None
     while True:
         links = land(_small_star(_large_star(links)))
+        if before is not None:
+            discard(before)
+        before = links
         state = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(state) == seen:
             return links.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(

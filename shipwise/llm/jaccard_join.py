@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shipwise.llm.components import components
-from shipwise.llm.tables import bounded, land, pick
+from shipwise.llm.tables import bounded, discard, land, pick
 from shipwise.llm.words import NONSPACE, U64, each_block, mix, shingle_sets
 
 
@@ -77,13 +77,12 @@ def set_key(s: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-SKETCH_BITS = 1024
-
-
 def sketch(s: np.ndarray) -> np.ndarray:
-    """Parities of the counts of shingles in 1024 hash buckets, as 16 longs: each shingle that two
-    sets do not share flips one bit at most, so differing bits are a lower bound of those."""
-    odd = np.bincount((s >> U64(54)).astype(np.int64), minlength=SKETCH_BITS) & 1
+    """Parities of the counts of shingles in as many hash buckets as the set's size (the next power
+    of two, 256 at least), as longs: each shingle that two sets do not share flips one bit at
+    most.  XOR of its halves is the sketch of half the size."""
+    bits = max(256, 1 << (max(len(s), 1) - 1).bit_length())
+    odd = np.bincount((s & U64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
@@ -283,7 +282,15 @@ def verified(pairs: DataFrame, sets: DataFrame, p: JaccardParams) -> DataFrame:
 def _not_too_far(pairs: DataFrame, reps: DataFrame, p: JaccardParams) -> DataFrame:
     """Drops pairs whose sketches differ in more bits than linked sets have unshared shingles."""
     up, down = p.threshold.numerator, p.threshold.denominator
-    far = F.aggregate(F.zip_with("x", "y", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda a, b: a + b)
+
+    def halved(a, b):
+        half = (F.size(a) / 2).cast("int")
+        return F.when(F.size(a) > F.size(b), F.zip_with(F.slice(a, 1, half), F.slice(a, half + 1, half),
+                                                        lambda x, y: x.bitwiseXOR(y))).otherwise(a)
+
+    # the sizes of a fitting pair differ by one power of two at most
+    x, y = halved(F.col("x"), F.col("y")), halved(F.col("y"), F.col("x"))
+    far = F.aggregate(F.zip_with(x, y, lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda a, b: a + b)
     side = reps.select("key", "sketch", "n")
     both = (pairs.join(side.select(F.col("key").alias("u"), F.col("sketch").alias("x"), F.col("n").alias("nx")), "u")
             .join(side.select(F.col("key").alias("v"), F.col("sketch").alias("y"), F.col("n").alias("ny")), "v"))
@@ -329,16 +336,18 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     firsts = _once(rows.join(bounded(copies.where("id > first").select("id")), "id", "left_anti"),
                    copies.where("id = first or id is null").groupBy("id").count().where("count > 1").select("id"))
     entries = firsts.select("text").mapInArrow(_index(p, frequent), "entry long, salt int, key long, n int")
-    shared = land(entries.repartition("entry", "salt").sortWithinPartitions("entry")
-                  .mapInArrow(_shared, "entry long, key long, n int"))
-    met = shared.groupBy("entry").agg(
+    every = land(entries.repartition("entry", "salt").sortWithinPartitions("entry")
+                 .mapInArrow(_shared, "entry long, key long, n int"))
+    met = every.groupBy("entry").agg(
         F.min("key").alias("lo"), F.max("key").alias("hi"), F.min(F.struct("n", "key")).alias("pivot"), F.count("*").alias("size"),
         *[F.bit_xor(F.xxhash64("key", F.lit(seed))).alias(f"mark{seed}") for seed in (1, 2)])
     # of entries that hold the same classes (by 128 bits over them) one is enough
     met = met.where("lo < hi").groupBy("lo", "hi", "size", "mark1", "mark2").agg(
         F.min("entry").alias("entry"), F.min("pivot").alias("pivot"))
-    shared = land(shared.join(met.select("entry", "pivot"), "entry")
+    shared = land(every.join(met.select("entry", "pivot"), "entry")
                   .select("entry", "key", "n", F.col("pivot.key").alias("pivot"), F.col("pivot.n").alias("pivot_n")))
+    del entries, met
+    discard(every)
     reps = land(profile.where("kind = 0").join(shared.select("key").distinct(), "key", "left_semi")
                 .groupBy("key").agg(F.min("id").alias("id"), F.first("sketch").alias("sketch"), F.first("n").alias("n")))
 
@@ -349,8 +358,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         keys = pairs.select(F.col("u").alias("key")).union(pairs.select("v")).distinct()
         ids = land(reps.join(keys, "key", "left_semi").select("id"))
         wanted = rows.join(bounded(ids), rows["id"].eqNullSafe(ids["id"]), "left_semi")
-        sets = wanted.select("text").mapInArrow(_sets(p), "key long, set binary").dropDuplicates(["key"])
-        return land(verified(pairs, land(sets), p))
+        sets = land(wanted.select("text").mapInArrow(_sets(p), "key long, set binary").dropDuplicates(["key"]))
+        found = land(verified(pairs, sets, p))
+        discard(pairs, ids, sets)
+        return found
 
     # round 1: each class with its least pivot
     pairs = (shared.where("key <> pivot").where(_fits(p, "n", "pivot_n"))
@@ -365,8 +376,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         if apart.isEmpty():
             break
         pairs = _all_pairs(apart, p) if last else _one_pair(apart, p)
-        links = land(links.unionByName(verify(pairs)))
+        more = verify(pairs)
+        links = land(links.unionByName(more))
         roots = components(links)
+        del pairs
+        discard(apart, more)
     return JaccardResult(member, links, roots)
 
 
@@ -387,7 +401,10 @@ def _apart(shared: DataFrame, roots: DataFrame) -> DataFrame:
            .withColumn("root", F.coalesce("root", "key")))
     now = land(now)
     mixed = now.groupBy("entry").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("entry", "lo")
-    return land(now.join(mixed, "entry"))
+    out = land(now.join(mixed, "entry"))
+    del mixed
+    discard(now)
+    return out
 
 
 def _one_pair(apart: DataFrame, p: JaccardParams) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,7 +13,7 @@ from shipwise.session import materialize
 #: A side is broadcast only if it was counted and has at most so many rows (of a few longs each).
 BROADCAST_ROWS = 1_000_000
 
-__all__ = ["BROADCAST_ROWS", "bounded", "kept", "land", "pick", "unkept"]
+__all__ = ["BROADCAST_ROWS", "bounded", "discard", "kept", "land", "pick", "unkept"]
 
 
 def land(df: DataFrame) -> DataFrame:
@@ -20,6 +22,20 @@ def land(df: DataFrame) -> DataFrame:
     return materialize(df)
 
 
+def discard(*landed: DataFrame) -> None:
+    """Delete landed tables that no later plan reads, and let Spark delete the shuffle files of the
+    plans that made them (it does so when the driver's JVM finds them unused)."""
+    gc.collect()
+    for df in landed:
+        spark = df.sparkSession
+        folder = {f.rsplit("/", 1)[0] for f in df.inputFiles()}  # one folder of one table
+        for f in folder:
+            path = spark._jvm.org.apache.hadoop.fs.Path(f)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    if landed:
+        landed[0].sparkSession._jvm.System.gc()
+
+
 def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` (landed, narrow) marked for broadcast if its count is small, else as it is: the join
     then shuffles, and skewed keys are split by the adaptive planner."""
