@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import gc
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shipwise.session import materialize
+from shipwise.session import materialize, ship_package
 
+#: Rows per Arrow batch: texts are long rows, and a Python worker holds a few batches at a time.
+ARROW_ROWS = "2000"
 #: A side is broadcast only if it was counted and has at most so many rows (of a few longs each).
 BROADCAST_ROWS = 1_000_000
 
@@ -42,8 +44,16 @@ def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def prepare(spark: SparkSession) -> None:
+    """What the Python workers of the session need: this package, and batches of bounded size."""
+    ship_package(spark)
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > int(ARROW_ROWS):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+
+
 def pick(docs: DataFrame, **columns: str) -> DataFrame:
     """Only the named columns under fixed names, so that clashing extra columns cannot matter."""
+    prepare(docs.sparkSession)
     return docs.select(*[docs[old].alias(new) for new, old in columns.items()])
 
 
