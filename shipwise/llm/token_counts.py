@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shipwise.llm.tables import pick
+from shipwise.llm.tables import land, pick
 
 RULES_VERSION = "pieces-1"
 _TAIL = re.compile(r"[.,;:!?)]+$")
@@ -129,5 +129,7 @@ def count_tokens(docs: DataFrame, path: str, cache: str, id_col: str = "doc_id",
     counted = misses.mapInArrow(_count(spark.sparkContext.broadcast(spec)), "digest binary, n_tokens long")
     counted.write.mode("append").parquet(f"{cache.rstrip('/')}/version={version}")
     size = F.coalesce(F.octet_length("text").cast("long"), F.lit(0).cast("long"))
+    # landed, so that a hot content is a skewed join of two plain shuffles, which can be split
+    known = land(stored_counts(spark, cache, version))
     return (rows.select("id", size.alias("n_bytes"), "digest")
-            .join(stored_counts(spark, cache, version), "digest").select("id", "n_bytes", "n_tokens"))
+            .join(known, "digest").select("id", "n_bytes", "n_tokens"))
