@@ -147,7 +147,6 @@ def allocate(orders: DataFrame, budgets: DataFrame, part: str = "batch_id",
     With capacities, lp_bound is the optimum of the budget-only relaxation,
     still an upper bound of the optimum under both limits.
     """
-    R = C.KNOBS.fill_rounds if fill_rounds is None else fill_rounds
     capped = capacities is not None
     budgets = budgets.select(part, F.col("budget").cast(MONEY).alias("budget"))
     if budgets.filter(F.col("budget") < 0).limit(1).count():
@@ -201,13 +200,19 @@ def allocate(orders: DataFrame, budgets: DataFrame, part: str = "batch_id",
 
     o, dc, po, pdc = F.col("ord"), F.col("dc"), F.col("prev_ord"), F.col("prev_dc")
     du, pdu = F.col("du"), F.col("prev_du")
-    for k in range(1, R + 1):
+    # fill until no step fits: each round takes at least the best step that does
+    R = 0
+    while fill_rounds is None or R < fill_rounds:
+        k = R + 1
         joined = with_status(steps.join(P, part), o, dc, po, pdc, k, "__", stop_at_candidate=k,
                              du=du if capped else None, pdu=pdu if capped else None)
         cands = joined.filter(F.col("__c")).select(
             *steps.columns, f"rem{k}", *([f"remu{k}"] if capped else []))
         tk = greedy(cands, f"rem{k}", f"remu{k}" if capped else None)
-        rk = _round_summary(tk, part, k)
+        rk = materialize(_round_summary(tk, part, k))
+        if rk.where(F.col(f"spent{k}").isNotNull()).isEmpty():
+            break
+        R = k
         P = (P.join(rk, part, "left")
              .withColumn(f"spent{k}", F.coalesce(f"spent{k}", F.lit(0).cast(MONEY)))
              .withColumn(f"saved{k}", F.coalesce(f"saved{k}", F.lit(0.0)))

@@ -200,3 +200,17 @@ def test_voucher_fallback_under_capacity(spark):
         assert reps1[b].saving - 1e-9 <= saving <= opt + 1e-9
         assert opt <= reps[b].lp_bound + 1e-9
         assert abs(reps[b].saving - saving) < 1e-9
+
+
+def test_fill_goes_on_until_nothing_fits(spark):
+    """Costly steps between cheap ones: each blocks a round, and no affordable step may be left."""
+    costs = ["1", "9.5", "1", "8.5", "1", "7.5", "1", "6.5", "1", "1"]
+    orders = spark.createDataFrame(
+        [("b", f"r{i}", Decimal(c), Decimal("3.00"), 200.0 - 10 * i if c != "1" else 12.0 - i) for i, c in enumerate(costs)],
+        "batch_id string, row_key string, upgrade_cost decimal(20,4), discount_cost decimal(20,4), base_expected_loss double")
+    budget = spark.createDataFrame([("b", 10.0)], "batch_id string, budget double")
+    for two in (True, False):
+        got = allocate(orders, budget, two_option=two)[0].collect()
+        left = Decimal(10) - sum(Decimal(r.cost) for r in got)
+        assert left >= 0
+        assert all(Decimal(r.upgrade_cost) > left for r in got if r.decision == "nothing")

@@ -6,6 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from shipwise import config as C
 from shipwise.functions.columns import pad_label, risk_band
 from shipwise.operators import clean as cl, features as fe, metrics as me, rates as ra
 from shipwise.operators.allocate import order_steps
@@ -170,3 +171,10 @@ def test_money_text(spark):
     df = spark.createDataFrame([(4.8,), (1234.5,)], "x double")
     assert [r.t for r in df.select(money_text("x").alias("t")).collect()] == ["4.80", "1234.50"]
     assert df.select(money_text("x", 0).alias("t")).first().t == "5"
+
+
+def test_auc_leaves_out_rows_without_score(spark):
+    df = spark.createDataFrame([(1, 0.9), (0, 0.1), (0, None), (1, None)], f"{C.TARGET_COL} int, risk_score double")
+    r = me.roc_auc(df).first()
+    assert (r.roc_auc, r.n_pos, r.n_neg) == (1.0, 1, 1)
+
