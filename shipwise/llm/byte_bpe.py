@@ -76,7 +76,7 @@ class RankQueue:
 class ByteBpe:
     """Encoder and decoder of one vocabulary; ``remember`` bounds each of its tables."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, remember: int = 350_000) -> None:
+    def __init__(self, ranks: dict[bytes, int], pattern: str, remember: int = 450_000) -> None:
         self.ranks = ranks
         self.bytes_of = {i: b for b, i in ranks.items()}
         self.single = [ranks[bytes([b])] for b in range(256)]
