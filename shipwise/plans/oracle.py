@@ -12,7 +12,8 @@ from decimal import Decimal
 from .. import config as C
 from .oracle_base import CLEANED, SHIPMENTS, dbl, with_ctes
 
-R_FILL = C.KNOBS.fill_rounds
+#: Rounds stated in SQL; a round in which nothing fits changes nothing.
+R_FILL = 8
 SWITCH = Decimal(C.DISCOUNT_FLAT_COST) / Decimal(str(C.DISCOUNT_LOSS_REDUCTION))
 R = C.DISCOUNT_LOSS_REDUCTION
 KEEP = 1.0 - R
