@@ -99,7 +99,6 @@ class ScaleKnobs:
     rows_per_bucket: int = 1_000_000
     # Quantile buckets per partition for take-until on a double key.
     take_until_buckets: int = 256
-    # Extra fill rounds of the allocator after the greedy prefix.
     # A scanned table in at most this many files is spread over the task
     # slots once (see sources.tables.spread); larger layouts are left alone.
     spread_max_files: int = 4
