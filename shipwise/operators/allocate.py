@@ -21,6 +21,10 @@ own ``ord``/cost, its predecessor's and those numbers, so the final decision
 per order is one narrow projection with a broadcast join of the per-batch
 table — no self-join, no group-by per order. ``lp_bound`` (the relaxation's
 optimum) and ``gap`` make the distance to the optimum visible per batch.
+
+``allocate_best`` adds a voucher pass on the money left, and starts a batch
+from its best single order where that order alone saves more than the greedy
+choice. Without slot limits the result saves at least half the optimum.
 """
 
 from __future__ import annotations
@@ -52,18 +56,24 @@ def _step(act, dc, ds, key, step) -> Column:
 
 def order_steps(orders: DataFrame, params: C.PrescriptionParams = C.PARAMS,
                 two_option: bool = False, key: str = "row_key") -> DataFrame:
-    """Adds ``s1``/``s2`` step structs (NULL when absent) to each order."""
+    """Adds ``s1``/``s2`` step structs (NULL when absent) to each order.
+    With a ``budget`` column, actions dearer than it make no step."""
     u = F.col("upgrade_cost").cast(MONEY)
     d = F.col("discount_cost").cast(MONEY)
     L = F.col("base_expected_loss")
     r = float(params.voucher_reduction)
     switch = (Decimal(params.voucher_cost) / Decimal(str(r)))
     has = L > F.lit(0.0)
-    two = F.lit(False) if two_option else (u > F.lit(switch).cast(MONEY))
+    up_ok = disc_ok = F.lit(True)
+    if "budget" in orders.columns:
+        up_ok = F.coalesce(u <= F.col("budget"), F.lit(True))
+        disc_ok = F.coalesce(d <= F.col("budget"), F.lit(True))
+    two = F.lit(False) if two_option else ((u > F.lit(switch).cast(MONEY)) | ~up_ok)
     k = F.col(key)
-    s1 = F.when(has, F.when(two, _step(F.lit("discount"), d, L * F.lit(r), k, 1))
-                .otherwise(_step(F.lit("upgrade"), u, L, k, 1)))
-    s2 = F.when(has & two, _step(F.lit("upgrade"), (u - d).cast(MONEY), L * F.lit(1.0 - r), k, 2))
+    s1 = F.when(has, F.when(two & disc_ok, _step(F.lit("discount"), d, L * F.lit(r), k, 1))
+                .when(~two & up_ok, _step(F.lit("upgrade"), u, L, k, 1)))
+    s2 = F.when(has & two & up_ok & disc_ok,
+                _step(F.lit("upgrade"), (u - d).cast(MONEY), L * F.lit(1.0 - r), k, 2))
     return orders.withColumns({"s1": s1, "s2": s2})
 
 
@@ -158,12 +168,13 @@ def allocate(orders: DataFrame, budgets: DataFrame, part: str = "batch_id",
         budgets = (budgets.join(caps, part, "left")
                    .withColumn("max_upgrades", F.coalesce("max_upgrades", F.lit(NO_LIMIT))))
 
-    # the order table is read once per round: land it once (lineage cut)
-    with_steps = materialize(order_steps(orders, params, two_option, key))
-    steps = _explode_steps(with_steps, part)  # narrow, re-derived from the landed table
     budgets_m = materialize(budgets)
     n_batches = budgets_m.count()
     budgets_b = F.broadcast(budgets_m) if n_batches <= C.KNOBS.max_broadcast_rows else budgets_m
+    # the order table is read once per round: land it once (lineage cut)
+    with_steps = materialize(order_steps(orders.drop("budget").join(
+        budgets_b.select(part, "budget"), part, "left"), params, two_option, key).drop("budget"))
+    steps = _explode_steps(with_steps, part)  # narrow, re-derived from the landed table
     check = (steps.groupBy(part).agg(F.count(F.lit(1)).alias("n"))
              .join(budgets_b, part, "left")
              .agg(F.max("n").alias("max_rows"), F.count_if(F.col("budget").isNull()).alias("missing"))
@@ -266,8 +277,8 @@ def allocate(orders: DataFrame, budgets: DataFrame, part: str = "batch_id",
 def voucher_fallback(decisions: DataFrame, report: DataFrame, part: str = "batch_id",
                      params: C.PrescriptionParams = C.PARAMS, key: str = "row_key",
                      max_window_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """Second pass under an upgrade-slot limit: an order whose only step was
-    an upgrade cannot fall back to a voucher once the slots are gone, so
+    """Second pass: an order whose only step was an upgrade cannot fall back
+    to a voucher when the upgrade no longer fits the money or slots left, so
     orders left with nothing (and a loss) get a voucher while the batch's
     remaining budget allows, in order of saving per cost.
 
@@ -285,30 +296,122 @@ def voucher_fallback(decisions: DataFrame, report: DataFrame, part: str = "batch
     rem = report.select(part, (F.col("budget") - F.col("spent")).alias("rem"))
     cands = (decisions.filter(idle)
              .select(part, v_ord.alias("ord"), d.alias("dc"), (L * F.lit(r)).alias("ds"))
+             .join(bounded_broadcast(rem), part).filter(F.col("dc") <= F.col("rem"))
              .withColumns({"paid": F.col("ord.paid"), "neg_eff": F.col("ord.neg_eff"),
                            "du": F.lit(0)}))
     max_rows = (cands.groupBy(part).agg(F.count(F.lit(1)).alias("n"))
                 .agg(F.max("n")).first()[0] or 0)
-    taken = take_until(cands.join(bounded_broadcast(rem), part), [part], "ord", "dc", "rem",
+    taken = take_until(cands, [part], "ord", "dc", "rem",
                        "paid", "neg_eff", "taken", max_window_rows=max_window_rows,
                        max_part_rows=max_rows)
     v = _round_summary(taken, part, 0).select(
         part, F.col("spent0").alias("v_spent"), F.col("saved0").alias("v_saved"),
         F.col("__blk0.o").alias("v_block"))
-    v = bounded_broadcast(report.select(part).join(v, part, "left"))
+    v = bounded_broadcast(report.select(part, (F.col("budget") - F.col("spent")).alias("v_rem"))
+                          .join(v, part, "left"))
 
-    got = idle & (F.col("v_block").isNull() | (v_ord < F.col("v_block")))
-    dec = (decisions.join(v.select(part, "v_block"), part, "left")
+    got = (idle & (d <= F.col("v_rem"))
+           & (F.col("v_block").isNull() | (v_ord < F.col("v_block"))))
+    dec = (decisions.join(v.select(part, "v_rem", "v_block"), part, "left")
            .withColumn("__v", got)
            .withColumns({
                "decision": F.when(F.col("__v"), F.lit("discount")).otherwise(F.col("decision")),
                "cost": F.when(F.col("__v"), d).otherwise(F.col("cost")),
                "expected_loss_after": F.when(F.col("__v"), L * F.lit(1.0 - r))
                                        .otherwise(F.col("expected_loss_after"))})
-           .drop("v_block", "__v"))
+           .drop("v_rem", "v_block", "__v"))
     saving = F.col("saving") + F.coalesce("v_saved", F.lit(0.0))
     rep = (report.join(v, part, "left")
            .select(part, "budget",
                    (F.col("spent") + F.coalesce("v_spent", F.lit(0).cast(MONEY))).alias("spent"),
                    saving.alias("saving"), "lp_bound", (F.col("lp_bound") - saving).alias("gap")))
     return dec, rep
+
+
+#: A single order must save this much more than the greedy choice, relatively:
+#: sums of doubles differ in their last bits with the order of summation.
+SINGLE_MARGIN = 1e-9
+
+
+def best_single(orders: DataFrame, limits: DataFrame, part: str = "batch_id",
+                params: C.PrescriptionParams = C.PARAMS, two_option: bool = False,
+                key: str = "row_key") -> DataFrame:
+    """Per batch the one order and action that saves most within the limits
+    (part, budget[, max_upgrades]); ties go to the largest key. One partial
+    aggregate, one row per batch: part, pick(saving, key, act, cost)."""
+    u, d = F.col("upgrade_cost").cast(MONEY), F.col("discount_cost").cast(MONEY)
+    L, r = F.col("base_expected_loss"), float(params.voucher_reduction)
+    up_ok = u <= F.col("budget")
+    if "max_upgrades" in limits.columns:
+        up_ok = up_ok & (F.coalesce("max_upgrades", F.lit(1)) > 0)
+    disc_ok = F.lit(False) if two_option else (d <= F.col("budget"))
+
+    def action(saving, act, cost):
+        return F.struct(saving.alias("saving"), F.col(key).alias("key"), F.lit(act).alias("act"),
+                        cost.alias("cost"))
+    pick = (F.when(up_ok, action(L, "upgrade", u))
+            .when(disc_ok, action(L * F.lit(r), "discount", d)))
+    return (orders.filter(L > 0).join(limits, part).groupBy(part).agg(F.max(pick).alias("pick"))
+            .filter(F.col("pick").isNotNull()))
+
+
+def allocate_best(orders: DataFrame, budgets: DataFrame, part: str = "batch_id",
+                  params: C.PrescriptionParams = C.PARAMS, two_option: bool = False,
+                  fill_rounds: int | None = None, max_window_rows: int | None = None,
+                  key: str = "row_key", capacities: DataFrame | None = None
+                  ) -> tuple[DataFrame, DataFrame]:
+    """``allocate``, then vouchers for idle orders (three options), then the
+    better of that and each batch's best single order. Where the single order
+    wins, it is fixed and the rest of its batch is allocated on what it
+    leaves. Arguments and results are those of ``allocate``."""
+    def one_pass(o, b, c):
+        dec, rep = allocate(o, b, part, params, two_option, fill_rounds, max_window_rows, key, c)
+        return (dec, rep) if two_option else voucher_fallback(dec, rep, part, params, key,
+                                                              max_window_rows)
+
+    dec, rep = one_pass(orders, budgets, capacities)
+    rep = materialize(rep)
+    orders = dec.select(*[c for c in orders.columns if c != "budget"])  # landed by the first pass
+    limits = rep.select(part, "budget")
+    if capacities is not None:
+        limits = limits.join(capacities.select(part, "max_upgrades"), part, "left")
+    limits = bounded_broadcast(limits)
+    picks = materialize(
+        best_single(orders, limits, part, params, two_option, key)
+        .join(rep.select(part, "saving"), part)
+        .filter(F.col("pick.saving") > F.col("saving") * F.lit(1.0 + SINGLE_MARGIN))
+        .select(part, "pick"))
+    if picks.isEmpty():
+        return dec, rep
+
+    n = picks.count()
+    picks_b = bounded_broadcast(picks, rows=n)
+    rest = (orders.join(picks_b, part)
+            .filter(F.col(key) != F.col("pick.key")).drop("pick"))
+    left = (rep.join(picks_b, part)
+            .select(part, (F.col("budget") - F.col("pick.cost")).alias("budget")))
+    caps = None
+    if capacities is not None:
+        used = F.when(F.col("pick.act") == "upgrade", 1).otherwise(0)
+        caps = (capacities.join(picks_b, part)
+                .select(part, (F.col("max_upgrades") - used).alias("max_upgrades")))
+    dec2, rep2 = one_pass(rest, left, caps)
+
+    r = float(params.voucher_reduction)
+    L = F.col("base_expected_loss")
+    fixed = (orders.join(picks_b, part).filter(F.col(key) == F.col("pick.key"))
+             .withColumns({
+                 "decision": F.col("pick.act"), "cost": F.col("pick.cost"),
+                 "expected_loss_after": F.when(F.col("pick.act") == "upgrade", F.lit(0.0))
+                                         .otherwise(L * F.lit(1.0 - r))})
+             .drop("pick"))
+    kept = dec.join(picks_b.select(part), part, "left_anti")
+    saving = F.col("pick.saving") + F.coalesce("s2", F.lit(0.0))
+    won = (picks.join(rep.select(part, "budget", "lp_bound"), part)
+           .join(rep2.select(part, F.col("spent").alias("p2"), F.col("saving").alias("s2")),
+                 part, "left")
+           .select(part, "budget",
+                   (F.col("pick.cost") + F.coalesce("p2", F.lit(0).cast(MONEY))).alias("spent"),
+                   saving.alias("saving"), "lp_bound", (F.col("lp_bound") - saving).alias("gap")))
+    rep_out = rep.join(picks_b.select(part), part, "left_anti").unionByName(won)
+    return kept.unionByName(dec2).unionByName(fixed), rep_out

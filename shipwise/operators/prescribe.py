@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.columns import cents_to_money, clip_lower, round_half_up, to_cents
-from .allocate import MONEY, allocate, voucher_fallback
+from .allocate import MONEY, allocate_best
 
 
 def build_options(scored: DataFrame, params: C.PrescriptionParams = C.PARAMS,
@@ -159,9 +159,7 @@ def prescribe(scored: DataFrame, budgets: DataFrame | None = None, part: str = "
         if capacities != "derived":
             raise ValueError(f"unknown capacities: {capacities}")
         capacities = derived_capacities(valid, part)
-    decisions, report = allocate(valid, budgets, part, params, two_option, fill_rounds,
-                                 capacities=capacities)
-    if capacities is not None and not two_option:
-        decisions, report = voucher_fallback(decisions, report, part, params)
+    decisions, report = allocate_best(valid, budgets, part, params, two_option, fill_rounds,
+                                      capacities=capacities)
     return {"decisions": decisions, "report": report, "budgets": budgets, "rejected": rejected,
             "capacities": capacities}

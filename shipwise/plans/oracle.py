@@ -7,6 +7,7 @@ per-round CTEs); the engine computes the same results with bucketed plans.
 
 from __future__ import annotations
 
+import re
 from decimal import Decimal
 
 from .. import config as C
@@ -100,27 +101,87 @@ budgets AS (SELECT 'sample' AS batch_id, CAST({C.DEFAULT_BUDGET} AS DECIMAL(20,4
 
 def allocation_ctes(two_option: bool = False, rounds: int = R_FILL,
                     capacity: bool = False) -> str:
-    """Greedy prefix + fill rounds with plain per-batch windows. With
-    ``capacity`` a ``capacities(batch_id, max_upgrades)`` CTE must exist and
-    the count of upgrades is a second running-sum limit."""
-    two = "FALSE" if two_option else f"(u > CAST({SWITCH} AS DECIMAL(20,4)))"
+    """The better, per batch, of a greedy pass and of the best single order
+    followed by a greedy pass over the rest of its batch. With ``capacity`` a
+    ``capacities(batch_id, max_upgrades)`` CTE must exist."""
+    first = greedy_ctes(two_option, rounds, capacity)
+    inputs = ["options", "budgets", "capacities", "report", "dec"]
+    names = inputs + re.findall(r"^(\w+) AS (?:MATERIALIZED )?\(", first, re.M)
+
+    def tagged(sql: str, tag: str, names=names) -> str:
+        return re.sub(r"\b(" + "|".join(sorted(set(names), key=len, reverse=True)) + r")\b",
+                      lambda m: m.group(1) + tag, sql)
+
+    own = [n for n in names if n not in inputs[:3]]
+    slots = ("LEFT JOIN capacities c ON c.batch_id = o.batch_id", "COALESCE(c.max_upgrades, 1) > 0") \
+        if capacity else ("", "TRUE")
+    disc = "" if two_option else f"""
+  UNION ALL
+  SELECT o.batch_id, row_key, 'discount', discount_cost, base_expected_loss * {dbl(R)}
+  FROM options o JOIN budgets b USING (batch_id)
+  WHERE base_expected_loss > 0 AND discount_cost <= b.budget"""
+    pick = f"""
+singles AS (
+  SELECT o.batch_id, row_key, 'upgrade' AS act, upgrade_cost AS cost, base_expected_loss AS saving
+  FROM options o JOIN budgets b USING (batch_id) {slots[0]}
+  WHERE base_expected_loss > 0 AND upgrade_cost <= b.budget AND {slots[1]}{disc}),
+pick AS (
+  SELECT s.* FROM singles s JOIN report_1 r USING (batch_id)
+  WHERE s.saving > r.saving * (1.0 + 1e-9)
+  QUALIFY row_number() OVER (PARTITION BY s.batch_id ORDER BY s.saving DESC, row_key DESC) = 1),
+options_2 AS (
+  SELECT o.* FROM options o JOIN pick p ON o.batch_id = p.batch_id AND o.row_key <> p.row_key),
+budgets_2 AS (
+  SELECT batch_id, CAST(b.budget - p.cost AS DECIMAL(20,4)) AS budget
+  FROM budgets b JOIN pick p USING (batch_id))"""
+    if capacity:
+        pick += """,
+capacities_2 AS (
+  SELECT batch_id, c.max_upgrades - CASE p.act WHEN 'upgrade' THEN 1 ELSE 0 END AS max_upgrades
+  FROM capacities c JOIN pick p USING (batch_id))"""
+    last = f"""
+report AS (
+  SELECT batch_id, budget, lp_bound, saving, gap FROM report_1
+  WHERE batch_id NOT IN (SELECT batch_id FROM pick)
+  UNION ALL
+  SELECT p.batch_id, r.budget, r.lp_bound, p.saving + COALESCE(q.saving, 0.0),
+         r.lp_bound - (p.saving + COALESCE(q.saving, 0.0))
+  FROM pick p JOIN report_1 r USING (batch_id) LEFT JOIN report_2 q USING (batch_id)),
+dec AS (
+  SELECT * FROM dec_1 WHERE batch_id NOT IN (SELECT batch_id FROM pick)
+  UNION ALL
+  SELECT * FROM dec_2
+  UNION ALL
+  SELECT o.*, p.act, p.cost,
+    CASE p.act WHEN 'upgrade' THEN 0.0 ELSE o.base_expected_loss * {dbl(KEEP)} END
+  FROM options o JOIN pick p ON o.batch_id = p.batch_id AND o.row_key = p.row_key)"""
+    return ",\n".join(x.strip() for x in
+                      (tagged(first, "_1", own), pick, tagged(first, "_2"), last))
+
+
+def greedy_ctes(two_option: bool, rounds: int, capacity: bool) -> str:
+    """Greedy prefix, fill rounds and vouchers for idle orders, with plain
+    per-batch windows; under ``capacity`` the count of upgrades is a second
+    running-sum limit. Leaves ``report`` and ``dec``."""
+    two = "FALSE" if two_option else f"(u > CAST({SWITCH} AS DECIMAL(20,4)) OR u > budget)"
+    vouchers = not two_option
     cumu = ("sum(du) OVER (PARTITION BY {t}batch_id ORDER BY pos "
             "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cumu")
     parts = [f"""
 ord_in AS (
-  SELECT batch_id, row_key, upgrade_cost AS u, discount_cost AS d, base_expected_loss AS L,
-         {two} AS two
-  FROM options WHERE base_expected_loss > 0),
+  SELECT o.batch_id, row_key, upgrade_cost AS u, discount_cost AS d, base_expected_loss AS L,
+         b.budget AS lim_b, {two} AS two
+  FROM options o JOIN budgets b USING (batch_id) WHERE base_expected_loss > 0),
 steps0 AS (
   SELECT batch_id, row_key, 1 AS step,
     CASE WHEN two THEN 'discount' ELSE 'upgrade' END AS act,
     CASE WHEN two THEN d ELSE u END AS dc,
     CASE WHEN two THEN L * {dbl(R)} ELSE L END AS ds,
     CASE WHEN two THEN 0 ELSE 1 END AS du
-  FROM ord_in
+  FROM ord_in WHERE CASE WHEN two THEN d ELSE u END <= lim_b
   UNION ALL
   SELECT batch_id, row_key, 2, 'upgrade', CAST(u - d AS DECIMAL(20,4)), L * {dbl(KEEP)}, 1
-  FROM ord_in WHERE two),
+  FROM ord_in WHERE two AND u <= lim_b AND d <= lim_b),
 steps1 AS (
   SELECT *, CASE WHEN dc > 0 THEN 1 ELSE 0 END AS paid,
     CASE WHEN dc > 0 THEN -(ds / CAST(dc AS DOUBLE)) ELSE 0.0 END AS neg_eff
@@ -197,7 +258,7 @@ s{k} AS (
     spent = " + ".join([f"spent{k}" for k in range(rounds + 1)])
     lp = "(lp_saved + COALESCE(bds0 * (CAST(lp_rem AS DOUBLE) / CAST(bdc0 AS DOUBLE)), 0.0))"
     parts.append(f"""
-report{"1" if capacity else ""} AS (
+report{"0" if vouchers else ""} AS (
   SELECT batch_id, budget, {lp} AS lp_bound, ({saved}) AS saving,
          {lp} - ({saved}) AS gap, ({spent}) AS spent
   FROM p{rounds}),
@@ -207,7 +268,7 @@ decisions AS (
   FROM options o
   LEFT JOIN s{rounds} t1 ON t1.batch_id = o.batch_id AND t1.row_key = o.row_key AND t1.step = 1
   LEFT JOIN s{rounds} t2 ON t2.batch_id = o.batch_id AND t2.row_key = o.row_key AND t2.step = 2),
-dec{"1" if capacity else ""} AS (
+dec{"0" if vouchers else ""} AS (
   SELECT *,
     CASE decision WHEN 'upgrade' THEN upgrade_cost WHEN 'discount' THEN discount_cost
          ELSE CAST(0 AS DECIMAL(20,4)) END AS cost,
@@ -215,31 +276,31 @@ dec{"1" if capacity else ""} AS (
          WHEN 'discount' THEN base_expected_loss * {dbl(KEEP)}
          ELSE base_expected_loss END AS expected_loss_after
   FROM decisions)""")
-    if capacity:  # second pass: idle orders get a voucher within the budget left
+    if vouchers:  # second pass: idle orders get a voucher within the budget left
         parts.append(f"""
 vin AS (
   SELECT batch_id, row_key, discount_cost AS dc, base_expected_loss * {dbl(R)} AS ds
-  FROM dec1 WHERE decision = 'nothing' AND base_expected_loss > 0),
+  FROM dec0 WHERE decision = 'nothing' AND base_expected_loss > 0),
 vrk AS (
   SELECT v.*, rp.budget - rp.spent AS rem,
     sum(dc) OVER (PARTITION BY v.batch_id
                   ORDER BY CASE WHEN dc > 0 THEN 1 ELSE 0 END,
                            CASE WHEN dc > 0 THEN -(ds / CAST(dc AS DOUBLE)) ELSE 0.0 END, row_key
                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum
-  FROM vin v JOIN report1 rp USING (batch_id)),
+  FROM vin v JOIN report0 rp USING (batch_id)),
 vt AS (SELECT batch_id, row_key, ds FROM vrk WHERE cum <= rem),
 vg AS (SELECT batch_id, sum(ds) AS v_saved FROM vt GROUP BY batch_id),
 report AS (
   SELECT r.batch_id, r.budget, r.lp_bound, r.saving + COALESCE(g.v_saved, 0.0) AS saving,
          r.lp_bound - (r.saving + COALESCE(g.v_saved, 0.0)) AS gap
-  FROM report1 r LEFT JOIN vg g USING (batch_id)),
+  FROM report0 r LEFT JOIN vg g USING (batch_id)),
 dec AS (
   SELECT d.* REPLACE (
     CASE WHEN t.row_key IS NOT NULL THEN 'discount' ELSE d.decision END AS decision,
     CASE WHEN t.row_key IS NOT NULL THEN d.discount_cost ELSE d.cost END AS cost,
     CASE WHEN t.row_key IS NOT NULL THEN d.base_expected_loss * {dbl(KEEP)}
          ELSE d.expected_loss_after END AS expected_loss_after)
-  FROM dec1 d LEFT JOIN vt t ON d.batch_id = t.batch_id AND d.row_key = t.row_key)""")
+  FROM dec0 d LEFT JOIN vt t ON d.batch_id = t.batch_id AND d.row_key = t.row_key)""")
     return ",\n".join(p.strip() for p in parts)
 
 

@@ -7,7 +7,7 @@ from decimal import Decimal
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from shipwise.operators.allocate import allocate
+from shipwise.operators.allocate import allocate, allocate_best
 from shipwise.operators.ranking import rank_within, take_until, take_until_window
 
 R = 0.6
@@ -214,3 +214,81 @@ def test_fill_goes_on_until_nothing_fits(spark):
         left = Decimal(10) - sum(Decimal(r.cost) for r in got)
         assert left >= 0
         assert all(Decimal(r.upgrade_cost) > left for r in got if r.decision == "nothing")
+
+
+ORDER_SCHEMA = ("batch_id string, row_key string, upgrade_cost decimal(20,4), "
+                "discount_cost decimal(20,4), base_expected_loss double")
+
+
+def _one_batch(spark, rows, budget, **kw):
+    """rows of (key, upgrade cost, loss) in one batch -> decisions, report row."""
+    orders = spark.createDataFrame([("b", k, Decimal(u), Decimal("3.00"), L) for k, u, L in rows],
+                                   ORDER_SCHEMA)
+    bdf = spark.createDataFrame([("b", budget)], "batch_id string, budget double")
+    dec, rep = allocate_best(orders, bdf, **kw)
+    return {r.row_key: r for r in dec.collect()}, rep.first()
+
+
+def test_voucher_when_the_upgrade_does_not_fit(spark):
+    got, rep = _one_batch(spark, [("a", "4.80", 88.18)], 3.5)
+    assert got["a"].decision == "discount" and got["a"].cost == Decimal("3.0000")
+    assert abs(rep.saving - 0.6 * 88.18) < 1e-9 and rep.spent == Decimal("3.0000")
+
+
+def test_voucher_from_the_money_left(spark):
+    """Both upgrades fit the budget, not together: the second order gets a voucher."""
+    got, rep = _one_batch(spark, [("a", "4.80", 90.0), ("z", "4.90", 80.0)], 8.0)
+    assert {k: r.decision for k, r in got.items()} == {"a": "upgrade", "z": "discount"}
+    assert abs(rep.saving - 138.0) < 1e-9
+
+
+def test_best_single_order_beats_a_cheap_prefix(spark):
+    rows = [("a", "1", 1.01), ("z", "100", 100.0)]
+    got, rep = _one_batch(spark, rows, 100.0, two_option=True)
+    assert {k: r.decision for k, r in got.items()} == {"a": "nothing", "z": "upgrade"}
+    assert rep.saving == 100.0 and rep.spent == Decimal("100.0000")
+    assert rep.lp_bound >= 100.0 and abs(rep.gap - (rep.lp_bound - 100.0)) < 1e-9
+    got, rep = _one_batch(spark, rows, 102.0, two_option=True)  # both fit: nothing to change
+    assert {r.decision for r in got.values()} == {"upgrade"} and abs(rep.saving - 101.01) < 1e-9
+    got, rep = _one_batch(spark, rows + [("y", "0.5", 0.2)], 100.5, two_option=True)  # its own fill
+    assert {k: r.decision for k, r in got.items()} == {"a": "nothing", "y": "upgrade", "z": "upgrade"}
+    assert rep.spent == Decimal("100.5000")
+
+
+def test_best_single_takes_an_upgrade_slot(spark):
+    rows = [("a", "1", 1.01), ("z", "100", 100.0)]
+    caps = spark.createDataFrame([("b", 1)], "batch_id string, max_upgrades int")
+    got, _ = _one_batch(spark, rows, 101.0, capacities=caps)
+    assert got["z"].decision == "upgrade" and got["a"].decision != "upgrade"
+    none = spark.createDataFrame([("b", 0)], "batch_id string, max_upgrades int")
+    got, _ = _one_batch(spark, rows, 101.0, capacities=none)
+    assert all(r.decision != "upgrade" for r in got.values()) and got["z"].decision == "discount"
+
+
+def test_best_is_at_least_half_the_optimum(spark):
+    for two in (False, True):
+        rnd = random.Random(21)
+        rows, budgets = [], []
+        for b in range(12):
+            rows += [(f"b{b}", f"r{b}-{i}", Decimal(rnd.choice([50, 299, 480, 900, 4000])) / 100,
+                      Decimal("3.00"), rnd.choice([0.0, 1.5, 12.0, 40.0, 90.0])) for i in range(6)]
+            budgets.append((f"b{b}", float(rnd.choice([0, 2, 3.5, 9, 40, 45]))))
+        dec, rep = allocate_best(spark.createDataFrame(rows, ORDER_SCHEMA),
+                                 spark.createDataFrame(budgets, "batch_id string, budget double"),
+                                 two_option=two)
+        got, reps = dec.collect(), {r.batch_id: r for r in rep.collect()}
+        assert sorted(r.row_key for r in got) == sorted(x[1] for x in rows)
+        assert len(reps) == len(budgets)
+        for b, budget in budgets:
+            mine = [r for r in got if r.batch_id == b]
+            spent = sum(Decimal(r.cost) for r in mine)
+            left = Decimal(str(budget)) - spent
+            saving = sum(r.base_expected_loss - r.expected_loss_after for r in mine)
+            inp = [x for x in rows if x[0] == b]
+            opt = _brute([x[:3] + (Decimal(1000),) + x[4:] for x in inp] if two else inp, budget)
+            assert left >= 0 and spent == Decimal(reps[b].spent)
+            assert opt / 2 - 1e-9 <= saving <= opt + 1e-9 <= reps[b].lp_bound + 2e-9
+            assert abs(reps[b].saving - saving) < 1e-9
+            for r in mine:  # no affordable action is left
+                if r.decision == "nothing" and r.base_expected_loss > 0:
+                    assert r.upgrade_cost > left and (two or r.discount_cost > left)
