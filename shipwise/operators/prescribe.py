@@ -32,11 +32,21 @@ def build_options(scored: DataFrame, params: C.PrescriptionParams = C.PARAMS,
 def split_rejected(options: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid, rejected): rows with a missing or NaN price, profit or risk are
     not guessed at; they go to a separate output."""
-    bad = (F.col("upgrade_cost").isNull() | F.col("base_expected_loss").isNull()
-           | F.isnan("base_expected_loss"))
+    bad = _rejects()
     return options.filter(~bad), options.filter(bad)
 
 
+def _rejects():
+    return (F.col("upgrade_cost").isNull() | F.col("base_expected_loss").isNull()
+            | F.isnan("base_expected_loss"))
+
+
+def rejected_counts(options: DataFrame, part: str = "batch_id") -> DataFrame:
+    """Per batch: orders, and how many of them ``split_rejected`` sets aside."""
+    return options.groupBy(part).agg(F.count(F.lit(1)).alias("n_orders"),
+                                     F.count_if(_rejects()).alias("n_rejected"))
+
+
 def derived_budgets(options: DataFrame, part: str = "batch_id",
                     share: Decimal = C.BUDGET_SHARE) -> DataFrame:
     """Budget per batch = floor(share × full upgrade cost of the batch)."""

@@ -18,7 +18,7 @@ from ..functions.columns import round_half_up
 from ..operators import board, clean as cl, features as fe, metrics as me
 from ..operators import profile as pr, rates as ra, ranking as rk, scoring as sc
 from ..operators.loop import closed_loop_calibration
-from ..operators.prescribe import (batch_summary, build_options, derived_budgets,
+from ..operators.prescribe import (rejected_counts, batch_summary, build_options, derived_budgets,
                                    flat_records, prescribe)
 from ..session import materialize
 from ..sources.tables import shipments
@@ -206,6 +206,10 @@ def q_batch_budgets(spark, d):
     return b.select("batch_id", F.col("budget").cast("double").alias("budget"))
 
 
+def q_rejected_orders(spark, d):
+    return rejected_counts(build_options(batched(spark, d)))
+
+
 def q_allocate_two_option(spark, d):
     dec = prescribed(spark, d, two_option=True)["decisions"]
     return dec.select("row_key", "batch_id",

@@ -516,6 +516,11 @@ FROM options"""
     q["batch_budgets"] = OP + "SELECT batch_id, CAST(budget AS DOUBLE) AS budget FROM budgets"
 
     TWO = _prescribed(two_option=True)
+    q["rejected_orders"] = _base(SPLIT, SCORED, OPTIONS) + """
+SELECT batch_id, count(*) AS n_orders,
+  count(*) FILTER (WHERE upgrade_cost IS NULL OR base_expected_loss IS NULL
+                   OR isnan(base_expected_loss)) AS n_rejected
+FROM options GROUP BY batch_id"""
     q["allocate_two_option"] = TWO + """
 SELECT row_key, batch_id, CAST(decision = 'upgrade' AS INTEGER) AS upgrade_decision,
        CAST(cost AS DOUBLE) AS cost FROM dec"""

@@ -1,34 +1,79 @@
 """Prescriptions for orders that keep arriving (Structured Streaming).
 
 The reference prescribes one batch at a time; here new scored orders land as
-files, and every micro-batch is allocated against the budgets of the batches
-it contains (a batch is expected to arrive whole in one file). The sink is an
-idempotent dynamic-partition overwrite per ``batch_id``, so a micro-batch
-replayed after a failure rewrites the same partitions instead of appending.
+files and every micro-batch is allocated. A batch may arrive in any number of
+micro-batches: each one gets what the earlier ones left of its budget and
+upgrade slots.
+
+Three tables, all partitioned by (batch_id, epoch_id) and written by dynamic
+partition overwrite, so that a micro-batch replayed after a failure rewrites
+its own partitions and touches no others:
+
+* ``out_path``: the records;
+* ``out_path`` + ``_rejected``: orders whose price, profit or risk is missing
+  (batch_id, epoch_id, row_key, order_id, price, profit, risk_score);
+* ``out_path`` + ``_spent``: money and upgrade slots used per batch and
+  micro-batch. A micro-batch reads the rows of earlier epochs only, so its
+  replay allocates the same amounts.
+
+Epochs count up in one checkpoint location: a new location needs a new
+``out_path``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from ..operators.allocate import MONEY
 from ..operators.prescribe import flat_records, prescribe
-from ..sources.files import write_back
+from ..session import materialize
+from ..sources.files import path_exists, write_back
+
+SINK_PARTITIONS = ("batch_id", "epoch_id")
+SPENT_SCHEMA = "spent decimal(20,4), used bigint, batch_id string, epoch_id bigint"
+
+
+def used_before(spark: SparkSession, path: str, epoch_id: int) -> DataFrame:
+    """Money and upgrade slots each batch used in earlier micro-batches."""
+    spent = (spark.read.schema(SPENT_SCHEMA).parquet(path) if path_exists(spark, path)
+             else spark.createDataFrame([], SPENT_SCHEMA))
+    return (spent.filter(F.col("epoch_id") < epoch_id).groupBy("batch_id")
+            .agg(F.sum("spent").alias("spent"), F.sum("used").alias("used")))
 
 
 def prescribe_micro_batch(budgets: DataFrame, out_path: str, fill_rounds: int | None = None,
                           capacities: DataFrame | None = None):
-    """foreachBatch function: allocate the micro-batch, write its records.
+    """foreachBatch function: allocate the micro-batch within what earlier
+    ones left, write its records, rejected orders and the amounts used.
     ``capacities`` (batch_id, max_upgrades) adds the upgrade-slot limit."""
     def run(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
+        spark = batch.sparkSession
         ids = batch.select("batch_id").distinct()
-        b = budgets.join(ids, "batch_id")
-        caps = capacities.join(ids, "batch_id") if capacities is not None else None
+        before = used_before(spark, f"{out_path}_spent", epoch_id)
+        b = (budgets.join(ids, "batch_id").join(before, "batch_id", "left")
+             .select("batch_id", (F.col("budget").cast(MONEY)
+                                  - F.coalesce("spent", F.lit(0).cast(MONEY))).alias("budget")))
+        caps = None
+        if capacities is not None:
+            caps = (capacities.join(ids, "batch_id").join(before, "batch_id", "left")
+                    .select("batch_id", (F.col("max_upgrades").cast("bigint")
+                                         - F.coalesce("used", F.lit(0))).alias("max_upgrades")))
         out = prescribe(batch, budgets=b, fill_rounds=fill_rounds, capacities=caps)
-        write_back(flat_records(out["decisions"]), out_path, ("batch_id",))
+        epoch = F.lit(epoch_id).cast("bigint").alias("epoch_id")
+        decisions = materialize(out["decisions"])
+        write_back(flat_records(decisions).select("*", epoch), out_path, SINK_PARTITIONS)
+        write_back(out["rejected"].select("row_key", "order_id", "price", "profit", "risk_score",
+                                          "batch_id", epoch),
+                   f"{out_path}_rejected", SINK_PARTITIONS)
+        write_back(decisions.groupBy("batch_id").agg(
+            F.sum("cost").cast(MONEY).alias("spent"),
+            F.count_if(F.col("decision") == "upgrade").alias("used")).select("*", epoch),
+            f"{out_path}_spent", SINK_PARTITIONS)
     return run
 
 

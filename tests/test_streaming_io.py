@@ -66,3 +66,33 @@ def test_stream_prescriptions_with_capacity(spark, tmp_dir):
     per = out.groupBy("batch_id").agg(F.sum("cost").alias("s"),
                                       F.count_if(F.col("decision") == "upgrade").alias("u")).collect()
     assert all(r.s <= 50.0 + 0.05 and r.u <= 1 for r in per)
+
+
+SCORED = ("row_key string, order_id bigint, batch_id string, price double, profit double, "
+          "risk_score double")
+
+
+def test_stream_keeps_a_batch_that_comes_in_two_files(spark, tmp_dir):
+    """Both parts stay, share one budget and one set of slots, and a replay changes nothing."""
+    out = f"{tmp_dir}/two"
+    budgets = spark.createDataFrame([("b", 12.0)], "batch_id string, budget double")
+    caps = spark.createDataFrame([("b", 1)], "batch_id string, max_upgrades int")
+    parts = [[("s1", 1, "b", 60.0, 90.0, 0.9), ("s2", 2, "b", 80.0, 70.0, 0.5)],
+             [("s3", 3, "b", 40.0, 95.0, 0.8), ("s4", 4, "b", 50.0, None, 0.7)],
+             [("s5", 5, "b", 40.0, 99.0, 0.9)]]
+    run = prescribe_stream.prescribe_micro_batch(budgets, out, capacities=caps)
+
+    def rows(path, *cols):
+        return sorted(tuple(r) for r in spark.read.parquet(path).select(*cols).collect())
+
+    for epoch, part in enumerate(parts):
+        run(spark.createDataFrame(part, SCORED), epoch)
+    got = rows(out, "row_key", "decision", "cost", "epoch_id")
+    assert [r[0] for r in got] == ["s1", "s2", "s3", "s5"]
+    assert sum(r[2] for r in got) <= 12.0
+    assert sum(r[1] == "upgrade" for r in got) <= 1
+    assert rows(out + "_rejected", "row_key", "epoch_id") == [("s4", 1)]
+    spent = rows(out + "_spent", "epoch_id", "spent", "used")
+    run(spark.createDataFrame(parts[1], SCORED), 1)  # replay of the second micro-batch
+    assert rows(out, "row_key", "decision", "cost", "epoch_id") == got
+    assert rows(out + "_spent", "epoch_id", "spent", "used") == spent
