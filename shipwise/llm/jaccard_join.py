@@ -23,11 +23,18 @@ link meets in some entry, whatever the frequencies are; they decide speed only.
 Equal sets are one class first (by a digest of the set; 64 bits serve as the
 class's key).  Entries of one class only are dropped.  Then links are looked
 for in three rounds, and each candidate pair is verified on the whole sets:
-a pivot for each class, one pair for each two components that meet in an
-entry, and at last every pair of classes that meet in an entry and are still
-in different components.  Pairs inside one component are never listed, so
-thousands of near copies cost one verified pair each and not their square,
-and no link between components is lost.
+a pivot for each class, the head of each component with the hub of an entry
+they meet in, and at last every pair of classes that meet in an entry, are
+still in different components and may be similar enough.  Pairs inside one
+component are never listed, so thousands of near copies cost one verified
+pair each and not their square, and no link between components is lost.
+
+Copies with many edits meet in the same entries and yet lie too far apart.
+For the classes of entries with many rows, the shingles that no other of
+these classes holds are counted: u of n shingles are then unshared with any
+of them, so a pair shares ``min(n - u, m - w)`` at most.  Pairs, and classes
+for which that is too few with the smallest set of the entry, are left out
+before they are paired.  The class with the fewest such shingles is the hub.
 
 Rows: nulls and texts without words have no shingles and are their own
 component; a null id gets null unless a linked document has an id; repeated
@@ -64,6 +71,7 @@ class JaccardParams:
     block_shingles: int = 1 << 21
     block_df: int = 3
     salts: int = 16
+    hot_rows: int = 64  # entries of so many rows have their unshared shingles counted
 
     def need(self, n):
         """Shared shingles that a set of n must have with any partner."""
@@ -256,6 +264,20 @@ def _sets(p: JaccardParams):
     return run
 
 
+def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, shingle) of (set, key)."""
+    for batch in batches:
+        keys, sets, held = [], [], 0
+        for last, (key, s) in enumerate(zip(batch.column("key").to_pylist(), batch.column("set"), strict=True), 1):
+            sets.append(np.frombuffer(s.as_buffer(), np.int64))
+            keys.append(key)
+            held += len(sets[-1])
+            if held > 200_000 or last == batch.num_rows:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(keys, [len(s) for s in sets])), pa.array(np.concatenate(sets))], names=["key", "shingle"])
+                keys, sets, held = [], [], 0
+
+
 def _linked(p: JaccardParams):
     up, down = p.threshold.numerator, p.threshold.denominator
 
@@ -297,8 +319,10 @@ def _not_too_far(pairs: DataFrame, reps: DataFrame, p: JaccardParams) -> DataFra
     return both.where(far * (up + down) <= (F.col("nx") + F.col("ny")) * (down - up)).select("u", "v")
 
 
-def _fits(p: JaccardParams, n: str, m: str) -> str:
-    return (f"least({n}, {m}) * {p.threshold.denominator} >= greatest({n}, {m}) * {p.threshold.numerator}")
+def _fits(p: JaccardParams, n: str, m: str, u: str = "0", w: str = "0") -> str:
+    """Whether sets of n and m shingles, u and w of them unshared, may be similar enough."""
+    up, down = p.threshold.numerator, p.threshold.denominator
+    return f"least({n} - {u}, {m} - {w}) * {up + down} >= ({n} + {m}) * {up}"
 
 
 # ---- the join ------------------------------------------------------------------------------------
@@ -355,13 +379,28 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         """The links among the pairs: first by sketches, then by the whole sets, which are made and
         moved only for the classes still in question."""
         pairs = land(_not_too_far(pairs, reps, p))
-        keys = pairs.select(F.col("u").alias("key")).union(pairs.select("v")).distinct()
+        sets = sets_of(pairs.select(F.col("u").alias("key")).union(pairs.select("v")).distinct())
+        found = land(verified(pairs, sets, p))
+        discard(pairs, sets)
+        return found
+
+    def sets_of(keys: DataFrame) -> DataFrame:
+        """The whole sets of the classes; and of others that have the same id."""
         ids = land(reps.join(keys, "key", "left_semi").select("id"))
         wanted = rows.join(bounded(ids), rows["id"].eqNullSafe(ids["id"]), "left_semi")
         sets = land(wanted.select("text").mapInArrow(_sets(p), "key long, set binary").dropDuplicates(["key"]))
-        found = land(verified(pairs, sets, p))
-        discard(pairs, ids, sets)
-        return found
+        discard(ids)
+        return sets
+
+    def count_unshared(keys: DataFrame) -> DataFrame:
+        """(key, u): shingles that no other of the classes holds."""
+        keys = land(keys)
+        sets = sets_of(keys)
+        shingles = sets.join(keys, "key", "left_semi").mapInArrow(_shingles, "key long, shingle long")
+        alone = shingles.groupBy("shingle").agg(F.min("key").alias("key"), F.count("*").alias("c")).where("c = 1")
+        out = land(alone.groupBy("key").agg(F.count("*").cast("int").alias("u")))
+        discard(keys, sets)
+        return out
 
     # round 1: each class with its least pivot
     pairs = (shared.where("key <> pivot").where(_fits(p, "n", "pivot_n"))
@@ -370,11 +409,20 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     links = verify(pairs)
     roots = components(links)
 
-    # round 2: one pair for each two components that meet; round 3: every pair still apart
+    # round 2: the heads of components with the hubs of entries; round 3: every pair still apart.
+    # The entries apart in round 3 are some of those in round 2, so the counts hold for both.
+    unshared = None
     for last in (False, True):
         apart = _apart(shared, roots)
         if apart.isEmpty():
             break
+        hot = F.col("size") >= p.hot_rows
+        if unshared is None:
+            unshared = count_unshared(apart.where(hot).select("key").distinct())
+        found = apart.join(unshared, "key", "left").withColumn("u", F.when(hot, F.coalesce("u", F.lit(0))).otherwise(0))
+        apart, done = land(found.select("entry", "key", "n", "root", "u", "least")), apart
+        del found
+        discard(done)
         pairs = _all_pairs(apart, p) if last else _one_pair(apart, p)
         more = verify(pairs)
         links = land(links.unionByName(more))
@@ -400,7 +448,8 @@ def _apart(shared: DataFrame, roots: DataFrame) -> DataFrame:
     now = (shared.select("entry", "key", "n").join(roots.withColumnRenamed("node", "key"), "key", "left")
            .withColumn("root", F.coalesce("root", "key")))
     now = land(now)
-    mixed = now.groupBy("entry").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("entry", "lo")
+    mixed = now.groupBy("entry").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("n").alias("least"),
+                                     F.count("*").alias("size")).where("lo < hi").select("entry", "least", "size")
     out = land(now.join(mixed, "entry"))
     del mixed
     discard(now)
@@ -408,15 +457,20 @@ def _apart(shared: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def _one_pair(apart: DataFrame, p: JaccardParams) -> DataFrame:
-    """In each entry the least class of each component meets that of the least component."""
-    heads = apart.groupBy("entry", "lo", "root").agg(F.min(F.struct("n", "key")).alias("h"))
-    low = heads.where("root = lo").select("entry", F.col("h").alias("g"))
-    met = heads.where("root > lo").join(low, "entry").where(_fits(p, "h.n", "g.n"))
-    return (met.groupBy("root", "lo").agg(F.min(F.struct(F.col("h.key").alias("u"), F.col("g.key").alias("v"))).alias("x"))
-            .select("x.u", "x.v"))
+    """In each entry the head of each component (fewest unshared shingles, least n and key) meets
+    the hub, the least of the heads; of the pairs of two components the least goes on."""
+    heads = apart.groupBy("entry", "root").agg(F.min(F.struct("u", "n", "key")).alias("h"))
+    hubs = heads.groupBy("entry").agg(F.min(F.struct("h", "root")).alias("g")).select(
+        "entry", F.col("g.h").alias("g"), F.col("g.root").alias("hub"))
+    met = heads.join(hubs, "entry").where("root <> hub").where(_fits(p, "h.n", "g.n", "h.u", "g.u"))
+    least = F.min(F.struct(F.col("g.u").alias("gu"), F.col("h.u").alias("hu"), F.col("h.key").alias("u"), F.col("g.key").alias("v")))
+    return met.groupBy("root", "hub").agg(least.alias("x")).select("x.u", "x.v").distinct()
 
 
 def _all_pairs(apart: DataFrame, p: JaccardParams) -> DataFrame:
-    a = apart.select("entry", F.col("key").alias("u"), F.col("n").alias("nu"), F.col("root").alias("ru"))
-    b = apart.select("entry", F.col("key").alias("v"), F.col("n").alias("nv"), F.col("root").alias("rv"))
-    return a.join(b, "entry").where("ru < rv").where(_fits(p, "nu", "nv")).select("u", "v").distinct()
+    up, down = p.threshold.numerator, p.threshold.denominator
+    some = apart.where((F.col("n") - F.col("u")) * (up + down) >= (F.col("n") + F.col("least")) * up)
+    a = some.select("entry", F.col("key").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"), F.col("u").alias("ua"))
+    b = some.select("entry", F.col("key").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"), F.col("u").alias("ub"))
+    met = a.join(b, "entry").where("ra < rb").where(_fits(p, "na", "nb", "ua", "ub"))
+    return met.select(F.col("a").alias("u"), F.col("b").alias("v")).distinct()

@@ -124,9 +124,9 @@ def _noisy(rng, base, edits):
     return out
 
 
-@pytest.mark.parametrize("frequent", [2, 5, 10**9])
-def test_jaccard_against_all_pairs(spark, frequent):
-    """Near copies around the threshold and common passages; whatever counts as frequent."""
+@pytest.mark.parametrize("frequent, hot", [(2, 2), (5, 5), (10**9, 64)])
+def test_jaccard_against_all_pairs(spark, frequent, hot):
+    """Near copies around the threshold and common passages; whatever counts as frequent or hot."""
     rng = random.Random(frequent)
     vocab, docs = [f"v{i}" for i in range(400)], []
     common = [[rng.choice(vocab) for _ in range(30)] for _ in range(4)]
@@ -139,12 +139,28 @@ def test_jaccard_against_all_pairs(spark, frequent):
                 at = rng.randrange(len(words) + 1)
                 words = words[:at] + rng.choice(common) + words[at:]
             docs.append((len(docs), " ".join(words)))
-    p = replace(jaccard_join.JaccardParams(), frequent_df=frequent, block_df=2, salts=3)
+    p = replace(jaccard_join.JaccardParams(), frequent_df=frequent, block_df=2, salts=3, hot_rows=hot)
     frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
     got = {r["id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.jaccard_components(frame, params=p).documents().collect()}
     assert got == brute.components(docs)
 
 
+def test_jaccard_of_copies_with_many_edits(spark):
+    """Hundreds of copies of one text, most of them too far from each other, of unequal lengths."""
+    rng = random.Random(8)
+    base, docs = [f"v{i}" for i in range(150)], []
+    for i in range(400):
+        words = list(base)
+        for _ in range(rng.randint(0, 12)):
+            words[rng.randrange(len(words))] = f"z{rng.randrange(10**6)}"
+        words = words[:len(words) - rng.choice([0, 0, 0, 5, 20])] + rng.choice([[], [], [f"e{i}{j}" for j in range(15)]])
+        docs.append((1000 - i, " ".join(words)))
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    got = {r["id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.jaccard_components(frame).documents().collect()}
+    want = brute.components(docs)
+    assert got == want and 50 < len({c for _, c in want.values()}) < 350
+
+
 def test_components_of_chains(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (103, 101), (7, 7)], "u long, v long")
     got = {r["node"]: r["root"] for r in components.components(links).collect()}
