@@ -298,3 +298,58 @@ def test_pipeline(spark, odd, none, tmp_path):
             assert 0 not in ids and 9 not in ids and 5 not in ids and ids.count(4) == 1 and 3 in ids and 6 in ids
         else:
             assert now.count() == 0
+
+
+_BSD_CLAUSES = """
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+
+"""
+_BSD_TERMS = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
+_AS_IS = 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED.'
+NOTICES = {
+    "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:""",
+    "BSD-3-Clause": _BSD_TERMS + _BSD_CLAUSES + "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+                    "promote products derived from this software without specific prior written permission.\n\n" + _AS_IS,
+    "BSD-2-Clause": _BSD_TERMS + _BSD_CLAUSES + _AS_IS,
+    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "CC-BY-NC-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "Apache-2.0": 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.',
+    "GPL-2.0": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+               "published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+}
+
+
+def test_license_notices_plain_wrapped_and_inline(spark):
+    aside = "A long line went on about ships and weather and never came to a point, "  * 6
+    rows = []
+    for name, text in NOTICES.items():
+        flat = " ".join(text.split())
+        words, wrapped = flat.split(), []
+        for i in range(0, len(words), 5):
+            wrapped.append("# " + " ".join(words[i:i + 5]))
+        rows += [(f"{name} {kind}", x) for kind, x in (("plain", text), ("flat", flat), ("wrapped", "\n".join(wrapped)),
+                                                       ("inline", aside + flat + " " + aside))]
+    rows.append(("BSD-3-Clause terms", _BSD_TERMS))
+    rows.append(("CC-BY-4.0,MIT both", aside + NOTICES["MIT"] + " " + aside + NOTICES["CC-BY-4.0"]))
+    rows += [(" " + t, t) for t in ("The MIT license is popular and nobody minds.", NOTICES["GPL-2.0"].replace("GNU", "GNU Lesser"),
+                                    NOTICES["CC-BY-SA-4.0"].replace("Attribution", "Attribution-NonCommercial"))]
+    got = {r["id"]: (r["licenses"], r["n_blocks"]) for r in
+           license_scan.scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    for d, _ in rows:
+        name = d.split(" ")[0]
+        assert got[d] == (name, len(name.split(",")) if name else 0), d
+
+
+def test_repeated_license_lines_are_notices_of_their_own(spark):
+    texts = [(1, "Released under the MIT License.\n" * 400), (2, "Released under the MIT License. " * 400)]
+    out = license_scan.scan(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert [(r["n_blocks"], r["licenses"]) for r in out] == [(400, "MIT")] * 2
