@@ -8,7 +8,8 @@ covariance of two voters that depend on the class only is
 from triplets of voters, and what a covariance holds beyond that is the
 correlation of the pair.  Correlated voters share their weight.  A rater's
 label is one more voter of known accuracy.  The posterior labels train a
-logistic classifier on hashed word features; it alone scores texts.
+logistic classifier on hashed word features and the patterns; it alone scores
+texts.
 
 Fitted on a bounded sample of labelled rows (``sample``, at most twice as many
 by chance); the moments cover all documents.  Feature counts are aggregated
@@ -72,8 +73,26 @@ def pattern_hash(words: tuple[str, ...]) -> int:
     return int(windows(block.hash, len(words))[0])
 
 
+def pattern_features(bits: int) -> np.ndarray:
+    """The patterns' features: places of their own behind the hashed ones."""
+    return (1 << bits) + np.arange(len(PATTERNS), dtype=np.int64)
+
+
+def pattern_hits(words: Words) -> list[list[int]]:
+    """For each text the patterns that it holds."""
+    out: list[list[int]] = [[] for _ in words.rows]
+    for j, words_of in enumerate(PATTERNS):
+        grams = windows(words.hash, len(words_of))
+        at = np.flatnonzero(grams == U64(pattern_hash(words_of)))
+        at = at[words.doc[at] == words.doc[at + len(words_of) - 1]]
+        for d in np.unique(words.doc[at]):
+            out[d].append(j)
+    return out
+
+
 def doc_features(words: Words, bits: int) -> Iterator[np.ndarray]:
-    """Distinct hashed features of each text: words, and beginnings of 4 and 5 bytes of longer words."""
+    """Distinct features of each text: hashed words, hashed beginnings of 4 and 5 bytes of longer
+    words, and patterns."""
     low = words.data
     up, down = _powers(len(low) + 1)
     sums = np.zeros(len(low) + 1, dtype=U64)
@@ -84,15 +103,16 @@ def doc_features(words: Words, bits: int) -> Iterator[np.ndarray]:
         h = mix(((sums[end] - sums[words.start]) * down[words.start]) ^ U64(_mix_int(n)))
         parts.append(np.where(words.end - words.start > n, h, words.hash))
     cut = [(h >> U64(64 - bits)).astype(np.int32) for h in parts]
+    hits, places = pattern_hits(words), pattern_features(bits).astype(np.int32)
     for i in range(len(words.rows)):
         s = words.of(i)
-        yield np.unique(np.concatenate([c[s] for c in cut]))
+        yield np.unique(np.concatenate([*[c[s] for c in cut], places[hits[i]]]))
 
 
 @dataclass
 class ToxicityModel:
     params: ToxicityParams
-    voters: np.ndarray  # feature bucket of each lexicon or mined voter
+    voters: np.ndarray  # feature of each lexicon, pattern or mined voter
     prior: float = 0.5
     rate1: np.ndarray = field(default_factory=lambda: np.zeros(0))
     rate0: np.ndarray = field(default_factory=lambda: np.zeros(0))
@@ -111,17 +131,12 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def votes_of(words: Words, feats: list[np.ndarray], voters: np.ndarray) -> np.ndarray:
-    """0/1 per text and voter: the bucket voters in order, then the patterns."""
-    out = np.zeros((len(words.rows), len(voters) + len(PATTERNS)), dtype=np.float32)
+def votes_of(feats: list[np.ndarray], voters: np.ndarray) -> np.ndarray:
+    """0/1 per text and voter, in the voters' order."""
+    out = np.zeros((len(feats), len(voters)), dtype=np.float32)
     order = np.argsort(voters)
     for i, f in enumerate(feats):
         out[i, order] = np.isin(voters[order], f, assume_unique=False)
-    for j, words_of in enumerate(PATTERNS):
-        grams = windows(words.hash, len(words_of))
-        at = np.flatnonzero(grams == U64(pattern_hash(words_of)))
-        at = at[words.doc[at] == words.doc[at + len(words_of) - 1]]
-        out[words.doc[at], len(voters) + j] = 1
     return out
 
 
@@ -140,11 +155,11 @@ def _sample_features(bits: int):
 def _moments(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
-        size = len(m.voters) + len(PATTERNS)
+        size = len(m.voters)
         n, both = 0, np.zeros((size, size))
         for batch in batches:
             for words in each_block(batch.column("text"), LETTERS):
-                v = votes_of(words, list(doc_features(words, m.params.bits)), m.voters)
+                v = votes_of(list(doc_features(words, m.params.bits)), m.voters)
                 both += v.T @ v
                 n += len(v)
         yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([both.ravel()], pa.list_(pa.float64()))],
@@ -215,7 +230,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         _sample_features(p.bits), "label int, feats array<int>"))
     n, pos = sample.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
     prior = (pos + 0.5) / (n + 1)
-    base = np.array([word_hash(w) >> (64 - p.bits) for w in LEXICON], dtype=np.int64)
+    base = np.array([word_hash(w) >> (64 - p.bits) for w in LEXICON] + pattern_features(p.bits).tolist(), dtype=np.int64)
     if not pos or pos == n:
         return ToxicityModel(p, base, prior=prior, bias=float(np.log(prior / (1 - prior))))
 
@@ -234,7 +249,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     model = ToxicityModel(p, voters, prior=prior)
 
     # the label model, from moments over all documents
-    size = len(voters) + len(PATTERNS)
+    size = len(voters)
     parts = land(pick(docs, text=text_col).mapInArrow(_moments(spark.sparkContext.broadcast(model)), "n long, both array<double>"))
     total = parts.agg(F.sum("n")).first()[0]
     both = np.zeros(size * size)
@@ -249,11 +264,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     rows = sample.select("label", F.array_intersect("feats", wanted).alias("feats")).toArrow()
     label = rows.column("label").to_numpy()
     feats = [np.searchsorted(columns, np.asarray(f, dtype=np.int64)) for f in rows.column("feats").to_pylist()]
-    place = np.searchsorted(columns, voters)
-    votes = np.zeros((len(feats), size), dtype=np.float32)
-    for i, f in enumerate(feats):
-        votes[i, :len(voters)] = np.isin(place, f)
-    y = model.posterior(votes, label)
+    y = model.posterior(votes_of(feats, np.searchsorted(columns, voters)), label)
     model.weights, model.bias = _logistic(feats, y, len(columns), p.ridge, p.steps)
     model.columns = columns
     return model
@@ -264,9 +275,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 def _score(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
-        weight = np.zeros(1 << m.params.bits, dtype=np.float32)
+        weight = np.zeros((1 << m.params.bits) + len(PATTERNS), dtype=np.float32)
         weight[m.columns] = m.weights
-        vote = np.zeros(1 << m.params.bits, dtype=bool)
+        vote = np.zeros((1 << m.params.bits) + len(PATTERNS), dtype=bool)
         vote[m.voters] = True
         for batch in batches:
             score, votes = [], []
@@ -281,7 +292,7 @@ def _score(model):
 
 
 def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, score (0 to 1), votes (lexicon and mined voters that fire) for every row."""
+    """id, score (0 to 1), votes (lexicon, pattern and mined voters that fire) for every row."""
     rows = pick(docs, id=id_col, text=text_col)
     return rows.mapInArrow(_score(docs.sparkSession.sparkContext.broadcast(model)),
                            f"id {rows.schema['id'].dataType.simpleString()}, score double, votes long")

@@ -5,6 +5,7 @@ import base64
 import random
 from dataclasses import replace
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -263,6 +264,28 @@ def test_toxicity_and_quality(spark, odd, none, kind):
         assert len(out) == docs.count() and all(0 <= r["tail_probability"] <= 1 for r in out)
 
 
+def test_toxicity_patterns_vote_and_score(spark):
+    """A phrase whose words are as frequent in clean texts, in another order."""
+    rng = random.Random(3)
+    filler = [f"word{c}{d}" for c in "abcdefgh" for d in "pqrstuvw"]
+    docs, labels = [], []
+    for i in range(400):
+        toxic = i % 4 == 0
+        text = " ".join(rng.choice(filler) for _ in range(12))
+        mark = rng.choice(["idiot shut up", "moron shut up", "scum shut up", "shut up"]) if toxic else "up shut"
+        docs.append((i, f"{text} {mark}"))
+        labels.append((i, int(toxic)))
+    docs += [(1000, "shut up"), (1001, "up shut")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    model = toxicity.fit(frame, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    votes = np.zeros((2, len(model.rate1)), dtype=np.float32)
+    votes[0, list(model.voters).index(toxicity.pattern_features(model.params.bits)[0])] = 1
+    with_it, without = model.posterior(votes)
+    assert with_it > without
+    got = {r["id"]: r for r in toxicity.score(frame, model).where("id >= 1000").collect()}
+    assert got[1000]["score"] > got[1001]["score"] and got[1000]["score"] > 0.5 and got[1000]["votes"] > got[1001]["votes"]
+
+
 def test_ordinal_thresholds_are_ordered():
     import numpy as np
     rng = np.random.default_rng(1)
