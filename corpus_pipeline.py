@@ -9,8 +9,9 @@ the running stage's tasks.  All stages but the last return the columns of
 * language: documents that language ID rejects go (null texts, texts without
   a letter, texts unlike any learned language).
 * near duplicates: of each group linked by 5-word shingles at a Jaccard
-  similarity of 0.75 or more, the document of least id stays; of repeated rows
-  of one id, one stays; rows of null id stay, as they have no place in a group.
+  similarity of 0.75 or more, the document of least id stays; where one id
+  carries several texts, one of each group; of its repeated rows, one; rows of
+  null id stay, as they have no place in a group.
 * decontamination: documents that hold a benchmark window go.
 * secrets: found spans are replaced by ``[secret]``; n_chars follows.
 * tokens: ids of each text, with digests of ids and decoded bytes.
@@ -33,15 +34,20 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = land(jaccard_join.jaccard_components(docs).documents())
-    gone = bounded(land(found.where("id <> component_id").select(F.col("id").alias("doc_id")).distinct()))
-    rest = docs.join(gone, "doc_id", "left_anti")
-    repeated = land(found.where("id = component_id").groupBy("id").count().where("count > 1").select(F.col("id").alias("doc_id")))
+    found = land(jaccard_join.jaccard_components(docs).documents(classes=True))
+    stays = F.col("id") == F.col("component_id")
+    ids = land(found.where("id is not null").groupBy(F.col("id").alias("doc_id"))
+               .agg(F.max(stays).alias("stays"), F.count("*").alias("n_rows")).where("not stays or n_rows > 1"))
+    rest = docs.join(bounded(ids.where("not stays").select("doc_id")), "doc_id", "left_anti").select(*docs.columns)
+    repeated = land(ids.where("stays").select("doc_id"))
     if repeated.isEmpty():
-        return rest.select(*docs.columns)
+        return rest
+    # of ids with several rows, one text of each group whose least id it is
     repeated = bounded(repeated)
-    once = rest.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return rest.join(repeated, "doc_id", "left_anti").unionByName(once).select(*docs.columns)
+    kept = found.where(stays).select(F.col("id").alias("doc_id"), F.col("key").alias("class_"), F.col("root").alias("root_")).distinct()
+    once = (jaccard_join.with_class(rest.join(repeated, "doc_id", "left_semi").select(*docs.columns)).join(kept, ["doc_id", "class_"])
+            .dropDuplicates(["doc_id", "root_"]).select(*docs.columns))
+    return rest.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(once)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

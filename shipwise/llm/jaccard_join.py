@@ -52,6 +52,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shipwise.llm.components import components
 from shipwise.llm.tables import bounded, discard, land, pick
@@ -336,13 +337,28 @@ class JaccardResult:
     links: DataFrame
     roots: DataFrame
 
-    def documents(self) -> DataFrame:
-        """id, n_shingles, component_id: the least id reachable by links."""
+    def documents(self, classes: bool = False) -> DataFrame:
+        """id, n_shingles, component_id: the least id reachable by links; with ``classes`` also key
+        and root, the component (ids may carry texts of several)."""
         m = self.membership.where("n > 0").join(self.roots.withColumnRenamed("node", "key"), "key", "left")
-        m = m.select("id", "n", F.coalesce("root", "key").alias("root"))
+        m = m.select("id", "key", "n", F.coalesce("root", "key").alias("root"))
         least = m.groupBy("root").agg(F.min("id").alias("component_id"))
-        empty = self.membership.where("n = 0").select("id", F.col("n").alias("n_shingles"), F.col("id").alias("component_id"))
-        return (m.join(least, "root").select("id", F.col("n").alias("n_shingles"), "component_id")).unionByName(empty)
+        more = ["key", "root"] if classes else []
+        empty = (self.membership.where("n = 0").withColumn("root", F.col("key"))
+                 .select("id", F.col("n").alias("n_shingles"), F.col("id").alias("component_id"), *more))
+        return (m.join(least, "root").select("id", F.col("n").alias("n_shingles"), "component_id", *more)).unionByName(empty)
+
+
+def with_class(rows: DataFrame, text_col: str = "text", params: JaccardParams = JaccardParams()) -> DataFrame:
+    """The rows with ``class_``, the key of the class of their text."""
+    place, p = rows.columns.index(text_col), params
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = [set_key(s) for words in each_block(batch.column(place), NONSPACE) for s in shingle_sets(words, p.width)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.int64())], names=[*batch.schema.names, "class_"])
+
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("class_", T.LongType())]))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -354,11 +370,18 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     member = profile.where("kind = 0").select("id", "key", "n")
     frequent = spark.sparkContext.broadcast(_frequent(profile, p))
 
-    # one document of each class goes on; the others are taken out by id
+    # one document of each class goes on; the others are taken out by id, and by id and class where
+    # an id carries texts of several classes
     first = member.where("n > 1").groupBy("key").agg(F.min("id").alias("first"), F.count("*").alias("copies"))
-    copies = land(member.join(first.where("copies > 1"), "key").select("id", "first"))
-    firsts = _once(rows.join(bounded(copies.where("id > first").select("id")), "id", "left_anti"),
+    copies = land(member.join(first.where("copies > 1"), "key").select("id", "key", "first"))
+    gone = copies.where("id > first").select("id", "key")
+    firsts = _once(rows.join(bounded(gone.select("id")), "id", "left_anti"),
                    copies.where("id = first or id is null").groupBy("id").count().where("count > 1").select("id"))
+    mixed = land(profile.where("kind = 0").select("id", "key").join(bounded(gone.select("id")), "id", "left_semi")
+                 .groupBy("id").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo < hi").select("id"))
+    if not mixed.isEmpty():
+        others = with_class(rows.join(bounded(mixed), "id", "left_semi"), params=p).withColumnRenamed("class_", "key")
+        firsts = firsts.unionByName(others.join(gone, ["id", "key"], "left_anti").dropDuplicates(["id", "key"]).drop("key"))
     entries = firsts.select("text").mapInArrow(_index(p, frequent), "entry long, salt int, key long, n int")
     every = land(entries.repartition("entry", "salt").sortWithinPartitions("entry")
                  .mapInArrow(_shared, "entry long, key long, n int"))

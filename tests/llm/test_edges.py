@@ -162,6 +162,18 @@ def test_jaccard_of_copies_with_many_edits(spark):
     assert got == want and 50 < len({c for _, c in want.values()}) < 350
 
 
+def test_one_id_with_two_texts(spark):
+    """A copy of another document and a text of its own under one id."""
+    first, own, clean = (" ".join(f"{c}{i}" for i in range(60)) for c in "abc")
+    rows = [(1, first), (5, first), (5, own), (5, own), (7, own), (12, own + " end"), (20, first), (20, first), (30, own), (30, clean), (30, clean)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted((r["id"], r["n_shingles"], r["component_id"]) for r in jaccard_join.jaccard_components(docs).documents().collect())
+    assert got == [(1, 56, 1), (5, 56, 1), (5, 56, 5), (5, 56, 5), (7, 56, 5), (12, 57, 5), (20, 56, 1), (20, 56, 1),
+                   (30, 56, 5), (30, 56, 30), (30, 56, 30)]
+    left = corpus_pipeline.near_duplicate_stage(spark, docs, "").collect()
+    assert sorted((r["doc_id"], r["text"]) for r in left) == [(1, first), (5, own), (30, clean)]
+
+
 def test_components_of_chains(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (103, 101), (7, 7)], "u long, v long")
     got = {r["node"]: r["root"] for r in components.components(links).collect()}
