@@ -3,6 +3,7 @@ the paths that only large inputs take."""
 
 import base64
 import random
+import re
 from dataclasses import replace
 
 import numpy as np
@@ -223,6 +224,41 @@ def test_trigram_queries():
     assert frozenset({"api", "key"}) in by["assign"] and frozenset({"sec", "ecr", "cre", "ret"}) in by["assign"]
 
 
+def _example(parsed, rng):
+    """A random string that a parsed regular expression matches; runs are of least length or a few more."""
+    out = ""
+    for op, arg in parsed:
+        op = str(op)
+        if op == "LITERAL":
+            out += chr(arg)
+        elif op == "IN":
+            kind, value = rng.choice(arg)
+            out += chr(value if str(kind) == "LITERAL" else rng.randint(*value))
+        elif op == "MAX_REPEAT":
+            least, most, inner = arg
+            out += "".join(_example(inner, rng) for _ in range(rng.randint(least, min(int(most), least + 3))))
+        elif op == "SUBPATTERN":
+            out += _example(arg[-1], rng)
+        elif op == "BRANCH":
+            out += _example(rng.choice(arg[1]), rng)
+        else:
+            raise AssertionError(op)
+    return out
+
+
+@pytest.mark.parametrize("rule", secret_scan.RULES, ids=lambda r: r.name)
+def test_literals_fit_the_pattern(rule):
+    """Whatever the pattern matches satisfies the query of the literals stated beside it."""
+    rng, used = random.Random(6), set()
+    for _ in range(2000):
+        text = _example(re._parser.parse(rule.pattern), rng)
+        assert re.fullmatch(rule.pattern, text)
+        held = [i for i, q in enumerate(rule.query()) if all(t in text.lower() for t in q)]
+        assert held or not rule.query(), text
+        used.update(held)
+    assert used == set(range(len(rule.query())))  # and each alternative is one of the pattern's
+
+
 def test_fingerprints(spark, odd, none):
     got = fingerprints.with_edits(odd).collect()
     assert len(got) == odd.count()
