@@ -99,3 +99,15 @@ def secrets(text):
 
 def secrets_sha(text):
     return sha(",".join(f"{BASE[k][0]}:{a}:{b}" for a, k, b in secrets(text)))
+
+
+def line_dedup(texts, least=10, chars=1):
+    """[(n_lines, n_dropped, kept text)] of texts, each a document."""
+    split = [(t or "").split("\n") for t in texts]
+    keys = [[x.strip(" \t\n\r\x0b\x0c").translate(LOWER) for x in lines] for lines in split]
+    held = collections.Counter(k for ks in keys for k in set(ks) if len(k) >= chars)
+    out = []
+    for lines, ks in zip(split, keys, strict=True):
+        left = [x for x, k in zip(lines, ks, strict=True) if held[k] < least]
+        out.append((len(lines), len(lines) - len(left), "\n".join(left)))
+    return out
