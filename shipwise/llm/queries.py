@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shipwise.llm import (byte_bpe, decontaminate, fingerprints, jaccard_join, language_id, license_scan, line_dedup, quality,
-                          secret_scan, token_counts, toxicity)
+                          secret_scan, spelling, token_counts, toxicity)
 from shipwise.session import ensure_checkpoint_dir
 
 
@@ -78,6 +78,11 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest_columns(secret_scan.scan(table(spark, sf_dir, "documents")))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = spelling.variants(table(spark, sf_dir, "documents"), damage=97)
+    return out.select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     batches = line_dedup.file_batches(spark, f"{sf_dir}/documents.parquet", 8)
     out = line_dedup.dedup(table(spark, sf_dir, "documents"), batches)
@@ -87,7 +92,7 @@ def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries():
     return {f.__name__: f for f in (op1_toxicity, op2_language_id, op3_decontamination, op4_byte_bpe, op5_token_counts,
                                     op6_license_scan, op7_fingerprints, op8_ngram_jaccard, op9_quality, op10_secret_scan,
-                                    op13_line_dedup)}
+                                    op11_spelling_variants, op13_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -111,3 +111,39 @@ def line_dedup(texts, least=10, chars=1):
         left = [x for x, k in zip(lines, ks, strict=True) if held[k] < least]
         out.append((len(lines), len(lines) - len(left), "\n".join(left)))
     return out
+
+
+def spelling(docs, damage=97, least_length=5, least_count=3):
+    """{word: (form, root, n, n_near, form_n)} by deletions: near words share a word with one letter less,
+    or with one letter left open."""
+    n = collections.Counter()
+    for d, t in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", t or ""):
+            run = run.translate(LOWER)
+            h = zlib.crc32(f"{'' if d is None else d}:{run}".encode())
+            if damage and h % damage == 0:
+                run = run[:h % len(run)] + run[h % len(run) + 1:]
+            n[run] += 1
+    n = {w: c for w, c in n.items() if len(w) >= least_length and c >= least_count}
+    near = collections.defaultdict(set)
+    holes = collections.defaultdict(set)
+    for w in n:
+        for i in range(len(w)):
+            holes[w[:i] + "*" + w[i + 1:]].add(w)
+            if (s := w[:i] + w[i + 1:]) in n:
+                near[w].add(s)
+                near[s].add(w)
+    for group in holes.values():
+        for w in group:
+            near[w] |= group - {w}
+    form = {}
+    for w in n:
+        best = min(near[w], key=lambda x: (-n[x], x), default=None)
+        form[w] = best if best is not None and n[best] >= 2 * n[w] else None
+    out = {}
+    for w in n:
+        root = w
+        while form[root]:
+            root = form[root]
+        out[w] = (form[w], root, n[w], len(near[w]), n.get(form[w]))
+    return out
