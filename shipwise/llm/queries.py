@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shipwise.llm import (byte_bpe, decontaminate, fingerprints, jaccard_join, language_id, license_scan, line_dedup, quality,
-                          secret_scan, spelling, token_counts, toxicity)
+from shipwise.llm import (byte_bpe, decontaminate, fingerprints, hard_negatives, jaccard_join, language_id, license_scan, line_dedup,
+                          quality, secret_scan, spelling, token_counts, toxicity)
 from shipwise.session import ensure_checkpoint_dir
 
 
@@ -83,6 +83,15 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("word", "form", "root", "n", "n_near", "form_n")
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    rows = table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label).alias("label"),
+        F.transform("embedding", hard_negatives.quantised(256)).alias("embedding"))
+    index = hard_negatives.build(rows)
+    return hard_negatives.mine(index, rows.where(F.col("vec_id") % 100 == 0).select(F.col("vec_id").alias("id")))
+
+
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     batches = line_dedup.file_batches(spark, f"{sf_dir}/documents.parquet", 8)
     out = line_dedup.dedup(table(spark, sf_dir, "documents"), batches)
@@ -92,8 +101,8 @@ def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries():
     return {f.__name__: f for f in (op1_toxicity, op2_language_id, op3_decontamination, op4_byte_bpe, op5_token_counts,
                                     op6_license_scan, op7_fingerprints, op8_ngram_jaccard, op9_quality, op10_secret_scan,
-                                    op11_spelling_variants, op13_line_dedup)}
+                                    op11_spelling_variants, op12_hard_negatives, op13_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontamination": decontaminate.SQL}
+    return {"op3_decontamination": decontaminate.SQL, "op12_hard_negatives": hard_negatives.SQL, "op13_line_dedup": line_dedup.SQL}

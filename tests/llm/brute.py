@@ -147,3 +147,18 @@ def spelling(docs, damage=97, least_length=5, least_count=3):
             root = form[root]
         out[w] = (form[w], root, n[w], len(near[w]), n.get(form[w]))
     return out
+
+
+def hard_negatives(rows, anchors, n_pos=5, n_neg=10):
+    """[(anchor, positive, rank, negative, positive score, negative score)] of (id, label, vector) rows."""
+    def dot(a, b):
+        return sum(int(x) * int(y) for x, y in zip(a, b))
+    out = []
+    for a, label, v in rows:
+        if a not in anchors:
+            continue
+        scores = sorted((-dot(v, x), i, own) for i, own, x in rows if i != a)
+        for minus, pos, own in [s for s in scores if s[2] == label][:n_pos]:
+            fits = [(-m, i) for m, i, o in scores if o != label and 30 * -minus <= 100 * -m <= 90 * -minus][:n_neg]
+            out += [(a, pos, r, i, -minus, s) for r, (s, i) in enumerate(fits, 1)]
+    return sorted(out)

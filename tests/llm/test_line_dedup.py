@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from shipwise.llm import line_dedup
 from tests.llm import brute
+from tests.oracle_harness import compare, duck_connect
 
 SF = "/root/testdata/sf0.001"
 P = line_dedup.LineDedupParams()
@@ -75,3 +76,8 @@ def test_empty_tables(spark):
     one = none.unionByName(spark.createDataFrame([(1, None, 1, 2, "o", "b")], none.schema))
     r = line_dedup.dedup(one, keep=("hi", "lo", "own", "bad")).first()
     assert (r["n_lines"], r["n_dropped"], r["text"], r["kept_own"]) == (1, 0, "", "o")
+
+
+def test_sql(spark):
+    ok, said = compare(entry.queries()["op13_line_dedup"](spark, SF), duck_connect(SF), entry.oracle_sql()["op13_line_dedup"])
+    assert ok, said
