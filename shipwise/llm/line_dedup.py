@@ -279,11 +279,11 @@ _SPACE = " || ".join(f"chr({c})" for c in (32, 9, 10, 11, 12, 13))
 #: DuckDB; a row is a document.
 SQL = f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS x FROM documents),
-l AS (SELECT r, unnest(x) AS line, unnest(range(len(x))) AS at FROM d),
+l AS (SELECT r, unnest(x) AS line, unnest(range(len(x))) AS pos FROM d),
 k AS (SELECT *, translate(trim(line, {_SPACE}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
 bad AS (SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT r) >= 10),
 m AS (SELECT k.*, bad.key IS NOT NULL AS gone FROM k LEFT JOIN bad ON k.key = bad.key)
 SELECT any_value(d.doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
-       sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE NOT gone), '')) AS kept_sha256
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM m JOIN d ON d.r = m.r GROUP BY m.r
 """
