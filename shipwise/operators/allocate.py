@@ -11,16 +11,16 @@ by the linear relaxation of the multiple-choice knapsack solved by sorting
 2. Steps are ordered per batch by ``ord = (paid, -Δsaving/Δcost, row_key,
    step)`` and taken while the running cost stays within the budget
    (``take_until``: one window for normal batches, bucketed for huge ones).
-3. Fill rounds: steps not yet taken whose cost fits the remaining budget
-   (and whose predecessor is taken or also a candidate) go through the same
-   greedy pass with the remaining budget.
+3. Fill: the other steps are gone through in that order, and each is taken
+   whose cost fits the remaining budget (and whose predecessor is taken);
+   see ``fill.py``.
 
-Per batch, each round leaves only a few numbers (the first blocked step's
-``ord``, the money spent). Whether a step is taken is a pure function of its
-own ``ord``/cost, its predecessor's and those numbers, so the final decision
-per order is one narrow projection with a broadcast join of the per-batch
-table — no self-join, no group-by per order. ``lp_bound`` (the relaxation's
-optimum) and ``gap`` make the distance to the optimum visible per batch.
+Per batch this leaves the first blocked step's ``ord`` and a short list of
+phases. Whether a step is taken is a pure function of its own ``ord``/cost,
+its predecessor's and those, so the final decision per order is one narrow
+projection with a broadcast join of the per-batch table — no self-join, no
+group-by per order. ``lp_bound`` (the relaxation's optimum) and ``gap`` make
+the distance to the optimum visible per batch; ``core.py`` closes it.
 
 ``allocate_best`` adds a voucher pass on the money left, and starts a batch
 from its best single order where that order alone saves more than the greedy
@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..session import materialize
+from .fill import fill, phase_type
 from .ranking import bounded_broadcast, take_until
 
 MONEY = "decimal(20,4)"
@@ -96,39 +97,13 @@ def _upgrades(s: Column) -> Column:
     return F.when(s.isNotNull(), F.when(s["act"] == "upgrade", F.lit(1)).otherwise(F.lit(0)))
 
 
-def _before(o: Column, k: int) -> Column:
-    b = F.col(f"block{k}")
-    return b.isNull() | (o < b)
-
-
-def with_status(df: DataFrame, o: Column, dc: Column, po: Column, pdc: Column,
-                rounds: int, tag: str, stop_at_candidate: int | None = None,
-                du: Column | None = None, pdu: Column | None = None) -> DataFrame:
-    """Adds ``{tag}tb``: is the step taken after rounds 0..``rounds``, given the
-    per-batch round columns (block0, rem1, block1, …) on the same row.
-
-    With ``stop_at_candidate=k`` it stops at round k and leaves ``{tag}c``:
-    is the step a round-k candidate. With ``du``/``pdu`` (upgrade slots of
-    the step and its predecessor) a candidate must also fit the slots left
-    (``remu{k}``). Built as chained projections (each
-    flag refers to the previous one by name) so the expression stays linear
-    in the number of rounds.
-    """
-    tb, ptb, c, pc = f"{tag}tb", f"{tag}ptb", f"{tag}c", f"{tag}pc"
-    df = df.withColumns({tb: _before(o, 0), ptb: _before(po, 0)})
-    for k in range(1, rounds + 1):
-        rem = F.col(f"rem{k}")
-        fits, pfits = dc <= rem, pdc <= rem
-        if du is not None:
-            fits = fits & (du <= F.col(f"remu{k}"))
-            pfits = pfits & (pdu <= F.col(f"remu{k}"))
-        df = df.withColumn(pc, ~F.col(ptb) & pfits)
-        df = df.withColumn(c, ~F.col(tb) & fits & (po.isNull() | F.col(ptb) | F.col(pc)))
-        if stop_at_candidate == k:
-            return df
-        df = df.withColumns({tb: F.col(tb) | (F.col(c) & _before(o, k)),
-                             ptb: F.col(ptb) | (F.col(pc) & _before(po, k))})
-    return df
+def _taken(o: Column, dc: Column, du: Column) -> Column:
+    """Is a step taken, given its batch's ``block`` (first step of the prefix that does not fit) and
+    ``phases`` of the fill (see ``fill``) on the same row."""
+    block, phases = F.col("block"), F.coalesce("phases", F.array())
+    later = F.exists(phases, lambda x: (x["after"].isNull() | (o > x["after"])) & (x["upto"].isNull() | (o <= x["upto"]))
+                     & ((dc <= x["half"]) | (o == x["event"])) & (x["slots"] | (du == 0)))
+    return block.isNull() | (o < block) | F.coalesce(later, F.lit(False))
 
 
 def _round_summary(taken: DataFrame, part: str, k: int) -> DataFrame:
@@ -155,7 +130,8 @@ def allocate(orders: DataFrame, budgets: DataFrame, part: str = "batch_id",
     decisions = orders + decision, cost, expected_loss_after;
     batch_report = per batch budget, spent, lp_bound, achieved saving, gap.
     With capacities, lp_bound is the optimum of the budget-only relaxation,
-    still an upper bound of the optimum under both limits.
+    still an upper bound of the optimum under both limits. ``fill_rounds=0``
+    leaves out the fill.
     """
     capped = capacities is not None
     budgets = budgets.select(part, F.col("budget").cast(MONEY).alias("budget"))
@@ -188,7 +164,7 @@ def allocate(orders: DataFrame, budgets: DataFrame, part: str = "batch_id",
         return take_until(cands, [part], "ord", ws, cs, "paid", "neg_eff", "taken",
                           max_window_rows=max_window_rows, max_part_rows=max_rows)
 
-    # round 0: greedy prefix over all steps
+    # greedy prefix over all steps
     t0 = greedy(steps.join(budgets_b, part), "budget", "max_upgrades" if capped else None)
     r0 = _round_summary(t0, part, 0)
     P = (budgets_b.join(r0, part, "left")
@@ -196,11 +172,11 @@ def allocate(orders: DataFrame, budgets: DataFrame, part: str = "batch_id",
                  F.coalesce("spent0", F.lit(0).cast(MONEY)).alias("spent0"),
                  F.coalesce("saved0", F.lit(0.0)).alias("saved0"),
                  F.coalesce("used0", F.lit(0).cast("bigint")).alias("used0"),
-                 F.col("__blk0.o").alias("block0"), F.col("__blk0.dc").alias("bdc0"),
+                 F.col("__blk0.o").alias("block"), F.col("__blk0.dc").alias("bdc0"),
                  F.col("__blk0.ds").alias("bds0")))
-    P = P.withColumn("rem1", F.col("budget") - F.col("spent0"))
+    P = P.withColumn("rem", F.col("budget") - F.col("spent0"))
+    P = P.withColumn("slots", F.col("max_upgrades") - F.col("used0") if capped else F.lit(NO_LIMIT))
     if capped:
-        P = P.withColumn("remu1", F.col("max_upgrades") - F.col("used0"))
         # the bound comes from the budget-only prefix (a relaxation)
         rb = _round_summary(greedy(steps.join(budgets_b, part), "budget"), part, 0)
         P = P.drop("bdc0", "bds0").join(rb.select(
@@ -209,55 +185,42 @@ def allocate(orders: DataFrame, budgets: DataFrame, part: str = "batch_id",
     # P is budgets left-joined with per-batch aggregates: one row per budget row
     P = bounded_broadcast(P, rows=n_batches)
 
-    o, dc, po, pdc = F.col("ord"), F.col("dc"), F.col("prev_ord"), F.col("prev_dc")
-    du, pdu = F.col("du"), F.col("prev_du")
-    # fill until no step fits: each round takes at least the best step that does
-    R = 0
-    while fill_rounds is None or R < fill_rounds:
-        k = R + 1
-        joined = with_status(steps.join(P, part), o, dc, po, pdc, k, "__", stop_at_candidate=k,
-                             du=du if capped else None, pdu=pdu if capped else None)
-        cands = joined.filter(F.col("__c")).select(
-            *steps.columns, f"rem{k}", *([f"remu{k}"] if capped else []))
-        tk = greedy(cands, f"rem{k}", f"remu{k}" if capped else None)
-        rk = materialize(_round_summary(tk, part, k))
-        if rk.where(F.col(f"spent{k}").isNotNull()).isEmpty():
-            break
-        R = k
-        P = (P.join(rk, part, "left")
-             .withColumn(f"spent{k}", F.coalesce(f"spent{k}", F.lit(0).cast(MONEY)))
-             .withColumn(f"saved{k}", F.coalesce(f"saved{k}", F.lit(0.0)))
-             .withColumn(f"used{k}", F.coalesce(f"used{k}", F.lit(0).cast("bigint")))
-             .withColumn(f"block{k}", F.col(f"__blk{k}.o")).drop(f"__blk{k}")
-             .withColumn(f"rem{k + 1}", F.col(f"rem{k}") - F.col(f"spent{k}")))
-        if capped:
-            P = P.withColumn(f"remu{k + 1}", F.col(f"remu{k}") - F.col(f"used{k}"))
+    filled = None
+    if fill_rounds != 0:
+        # what may still fit: behind the prefix, within what it leaves
+        joined = steps.join(P.select(part, "block", "rem", "slots"), part)
+        in_prefix = F.coalesce(F.col("prev_ord") < F.col("block"), F.lit(True))
+        cands = (joined.filter(F.col("ord") > F.col("block"))
+                 .filter((F.col("dc") <= F.col("rem")) & (F.col("du") <= F.col("slots")))
+                 .filter(in_prefix | (F.col("prev_dc") <= F.col("rem")))
+                 .select(part, "ord", "dc", "ds", "du", F.when(~in_prefix, F.col("prev_ord")).alias("prev_ord"),
+                         "prev_dc", "rem", "slots"))
+        filled = fill(cands, part, max_window_rows)
+    if filled is None:
+        P = P.withColumns({"phases": F.lit(None).cast(phase_type(with_steps)), "fill_spent": F.lit(0).cast(MONEY),
+                           "fill_saved": F.lit(0.0)})
+    else:
+        P = (P.join(filled, part, "left")
+             .withColumn("fill_spent", F.coalesce("fill_spent", F.lit(0).cast(MONEY)))
+             .withColumn("fill_saved", F.coalesce("fill_saved", F.lit(0.0))))
         P = bounded_broadcast(P, rows=n_batches)
 
-    spent = sum((F.col(f"spent{k}") for k in range(R + 1)), F.lit(0).cast(MONEY))
-    saved = sum((F.col(f"saved{k}") for k in range(R + 1)), F.lit(0.0))
+    spent, saved = F.col("spent0") + F.col("fill_spent"), F.col("saved0") + F.col("fill_saved")
     if capped:  # the budget-only prefix and what it leaves of the budget
         lp_saved = F.coalesce("lp_saved", F.lit(0.0))
         lp_rem = F.col("budget") - F.coalesce("lp_spent", F.lit(0).cast(MONEY))
     else:
-        lp_saved, lp_rem = F.col("saved0"), F.col("rem1")
+        lp_saved, lp_rem = F.col("saved0"), F.col("rem")
     lp = lp_saved + F.coalesce(F.col("bds0") * (lp_rem.cast("double")
                                                 / F.col("bdc0").cast("double")), F.lit(0.0))
-    report = P.select(part, F.col("budget"), spent.alias("spent"), saved.alias("saving"),
+    report = P.select(part, F.col("budget"), spent.cast(MONEY).alias("spent"), saved.alias("saving"),
                       lp.alias("lp_bound"), (lp - saved).alias("gap"))
 
-    round_cols = [c for c in P.columns if c.startswith("block") or c.startswith("rem")]
     s1, s2 = F.col("s1"), F.col("s2")
-    up1 = _upgrades(s1) if capped else None
-    ord_type = with_steps.schema["s1"].dataType["ord"].dataType
-    no_ord, no_dc = F.lit(None).cast(ord_type), F.lit(None).cast(MONEY)
-    dec = with_steps.join(P.select(part, *round_cols), part, "left")
-    dec = with_status(dec, s1["ord"], s1["dc"], no_ord, no_dc, R, "__s1",
-                      du=up1, pdu=F.lit(None).cast("int") if capped else None)
-    dec = with_status(dec, s2["ord"], s2["dc"], s1["ord"], s1["dc"], R, "__s2",
-                      du=_upgrades(s2) if capped else None, pdu=up1)
-    decision = (F.when(s2.isNotNull() & F.col("__s2tb"), F.lit("upgrade"))
-                .when(s1.isNotNull() & F.col("__s1tb"), s1["act"])
+    dec = with_steps.join(P.select(part, "block", "phases"), part, "left")
+    dec = dec.withColumn("__t1", s1.isNotNull() & _taken(s1["ord"], s1["dc"], _upgrades(s1)))
+    decision = (F.when(F.col("__t1") & s2.isNotNull() & _taken(s2["ord"], s2["dc"], _upgrades(s2)), F.lit("upgrade"))
+                .when(F.col("__t1"), s1["act"])
                 .otherwise(F.lit("nothing")))
     u = F.col("upgrade_cost").cast(MONEY)
     d = F.col("discount_cost").cast(MONEY)
@@ -270,8 +233,7 @@ def allocate(orders: DataFrame, budgets: DataFrame, part: str = "batch_id",
                                 .when(F.col("decision") == "discount", L * F.lit(1.0 - r))
                                 .otherwise(L),
     })
-    tmp = [c for c in dec.columns if c.startswith("__s1") or c.startswith("__s2")]
-    return dec.drop("s1", "s2", *round_cols, *tmp), report
+    return dec.drop("s1", "s2", "__t1", "block", "phases"), report
 
 
 def voucher_fallback(decisions: DataFrame, report: DataFrame, part: str = "batch_id",
