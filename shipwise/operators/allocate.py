@@ -128,7 +128,8 @@ def allocate(orders: DataFrame, budgets: DataFrame, part: str = "batch_id",
     ``capacities`` (optional) needs (part, max_upgrades): a second limit, the
     number of upgrades per batch (NULL or a missing row: no limit).
     decisions = orders + decision, cost, expected_loss_after;
-    batch_report = per batch budget, spent, lp_bound, achieved saving, gap.
+    batch_report = per batch budget, spent, lp_bound, achieved saving, gap and
+    break_ratio (saving per cost of the step that ends the prefix, NULL if all fit).
     With capacities, lp_bound is the optimum of the budget-only relaxation,
     still an upper bound of the optimum under both limits. ``fill_rounds=0``
     leaves out the fill.
@@ -214,7 +215,8 @@ def allocate(orders: DataFrame, budgets: DataFrame, part: str = "batch_id",
     lp = lp_saved + F.coalesce(F.col("bds0") * (lp_rem.cast("double")
                                                 / F.col("bdc0").cast("double")), F.lit(0.0))
     report = P.select(part, F.col("budget"), spent.cast(MONEY).alias("spent"), saved.alias("saving"),
-                      lp.alias("lp_bound"), (lp - saved).alias("gap"))
+                      lp.alias("lp_bound"), (lp - saved).alias("gap"),
+                      (F.col("bds0") / F.col("bdc0").cast("double")).alias("break_ratio"))
 
     s1, s2 = F.col("s1"), F.col("s2")
     dec = with_steps.join(P.select(part, "block", "phases"), part, "left")
@@ -286,7 +288,7 @@ def voucher_fallback(decisions: DataFrame, report: DataFrame, part: str = "batch
     rep = (report.join(v, part, "left")
            .select(part, "budget",
                    (F.col("spent") + F.coalesce("v_spent", F.lit(0).cast(MONEY))).alias("spent"),
-                   saving.alias("saving"), "lp_bound", (F.col("lp_bound") - saving).alias("gap")))
+                   saving.alias("saving"), "lp_bound", (F.col("lp_bound") - saving).alias("gap"), "break_ratio"))
     return dec, rep
 
 
@@ -369,11 +371,11 @@ def allocate_best(orders: DataFrame, budgets: DataFrame, part: str = "batch_id",
              .drop("pick"))
     kept = dec.join(picks_b.select(part), part, "left_anti")
     saving = F.col("pick.saving") + F.coalesce("s2", F.lit(0.0))
-    won = (picks.join(rep.select(part, "budget", "lp_bound"), part)
+    won = (picks.join(rep.select(part, "budget", "lp_bound", "break_ratio"), part)
            .join(rep2.select(part, F.col("spent").alias("p2"), F.col("saving").alias("s2")),
                  part, "left")
            .select(part, "budget",
                    (F.col("pick.cost") + F.coalesce("p2", F.lit(0).cast(MONEY))).alias("spent"),
-                   saving.alias("saving"), "lp_bound", (F.col("lp_bound") - saving).alias("gap")))
+                   saving.alias("saving"), "lp_bound", (F.col("lp_bound") - saving).alias("gap"), "break_ratio"))
     rep_out = rep.join(picks_b.select(part), part, "left_anti").unionByName(won)
     return kept.unionByName(dec2).unionByName(fixed), rep_out

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions.columns import cents_to_money, clip_lower, round_half_up, to_cents
 from .allocate import MONEY, allocate_best
+from .core import improve
 
 
 def build_options(scored: DataFrame, params: C.PrescriptionParams = C.PARAMS,
@@ -129,7 +130,7 @@ def batch_summary(decisions: DataFrame, budgets: DataFrame, report: DataFrame |
         F.sum("__after_c").alias("__after_c"),
         F.sum("cost").alias("__cost_exact"),
         *[F.count_if(F.col("decision") == o).alias(f"n_{o}") for o in C.OPTIONS])
-    out = agg.join(F.broadcast(budgets.select(part, "budget")), part, "left").select(
+    out = agg.join(budgets.select(part, "budget"), part, "left").select(
         part, "batch_size",
         F.col("budget").cast("double").alias("budget"),
         cents_to_money("__cost_c").alias("total_cost"),
@@ -156,11 +157,16 @@ def nested_summary(summary: DataFrame, part: str = "batch_id") -> DataFrame:
 
 def prescribe(scored: DataFrame, budgets: DataFrame | None = None, part: str = "batch_id",
               two_option: bool = False, fill_rounds: int | None = None,
-              params: C.PrescriptionParams = C.PARAMS, capacities: DataFrame | str | None = None):
+              params: C.PrescriptionParams = C.PARAMS, capacities: DataFrame | str | None = None,
+              exact: bool = False):
     """Scored orders → options → allocation. Returns a dict of DataFrames:
     decisions, report (per batch lp bound / gap), budgets, rejected.
     ``capacities`` (part, max_upgrades) adds the upgrade-slot limit;
-    ``"derived"`` derives it from the valid orders like the budgets."""
+    ``"derived"`` derives it from the valid orders like the budgets.
+    ``exact`` improves the choice to the optimum (``core.improve``); the report
+    then says which batches are proven ``optimal``. It knows no slot limit."""
+    if exact and capacities is not None:
+        raise ValueError("the exact choice knows no slot limit")
     options = build_options(scored, params)
     valid, rejected = split_rejected(options)
     if budgets is None:
@@ -171,5 +177,7 @@ def prescribe(scored: DataFrame, budgets: DataFrame | None = None, part: str = "
         capacities = derived_capacities(valid, part)
     decisions, report = allocate_best(valid, budgets, part, params, two_option, fill_rounds,
                                       capacities=capacities)
+    if exact:
+        decisions, report = improve(decisions, report, part, params, two_option)
     return {"decisions": decisions, "report": report, "budgets": budgets, "rejected": rejected,
             "capacities": capacities}
