@@ -17,6 +17,7 @@ from .. import config as C
 from ..functions.columns import round_half_up
 from ..operators import board, clean as cl, features as fe, metrics as me
 from ..operators import profile as pr, rates as ra, ranking as rk, scoring as sc
+from ..operators.core import improve
 from ..operators.loop import closed_loop_calibration
 from ..operators.prescribe import (rejected_counts, batch_summary, build_options, derived_budgets,
                                    flat_records, prescribe)
@@ -69,13 +70,17 @@ def records(spark, d) -> DataFrame:
     return flat_records(prescribed(spark, d)["decisions"])
 
 
-def sample_batch_prescription(spark, d, n: int = C.DEFAULT_BATCH_ORDERS,
-                              seed: int = C.DEFAULT_SAMPLE_SEED,
-                              budget: float = C.DEFAULT_BUDGET):
+def sample_batch(spark, d, n: int = C.DEFAULT_BATCH_ORDERS, seed: int = C.DEFAULT_SAMPLE_SEED,
+                 budget: float = C.DEFAULT_BUDGET):
     """The reference's entry point: n test orders sampled by seed, one budget."""
     sample = rk.sample_orders(scored_test(spark, d), n, seed).withColumn("batch_id", F.lit("sample"))
     budgets = spark.range(1).select(F.lit("sample").alias("batch_id"),
                                     F.lit(budget).alias("budget"))
+    return sample, budgets
+
+
+def sample_batch_prescription(spark, d, **settings):
+    sample, budgets = sample_batch(spark, d, **settings)
     return prescribe(sample, budgets=budgets)
 
 
@@ -249,6 +254,33 @@ def q_multi_option_summary(spark, d):
                                    F.col("__before")), 1).alias("loss_reduction_pct"))
 
 
+def _optimal_rows(scored, budgets=None, two_option=False):
+    """Per batch the greedy saving, the best one and its bound; whether it is proven and paid for."""
+    greedy = prescribe(scored, budgets=budgets, two_option=two_option)
+    decisions, report = improve(greedy["decisions"], greedy["report"], two_option=two_option)
+    spent = decisions.groupBy("batch_id").agg(F.sum("cost").alias("cost"))
+    return (report.join(greedy["report"].select("batch_id", F.col("saving").alias("greedy")), "batch_id")
+            .join(spent, "batch_id")
+            .select("batch_id", F.col("budget").cast("double").alias("budget"),
+                    round_half_up("lp_bound", 4).alias("lp_bound"),
+                    round_half_up("greedy", 4).alias("greedy_saving"),
+                    round_half_up("saving", 4).alias("best_saving"), "optimal",
+                    ((F.col("cost") <= F.col("budget")) & (F.col("cost") == F.col("spent"))).alias("within_budget")))
+
+
+def q_optimal_choice(spark, d):
+    return _optimal_rows(batched(spark, d))
+
+
+def q_optimal_two_option(spark, d):
+    return _optimal_rows(batched(spark, d), two_option=True)
+
+
+def q_optimal_sample_batch(spark, d):
+    """The reference's entry point, solved exactly as there."""
+    return _optimal_rows(*sample_batch(spark, d))
+
+
 def q_allocate_with_capacity(spark, d):
     dec = prescribed_with_capacity(spark, d)["decisions"]
     return dec.select("row_key", "batch_id", "decision",

@@ -304,6 +304,53 @@ dec AS (
     return ",\n".join(p.strip() for p in parts)
 
 
+def optimum_ctes(two_option: bool = False) -> str:
+    """After ``allocation_ctes``: the best saving per batch, by a recursion over the orders that have an
+    option whose regret (at the break ratio) is below the gap; dominated states are dropped."""
+    disc = "" if two_option else f"""
+  UNION ALL
+  SELECT o.batch_id, row_key, discount_cost, base_expected_loss * {dbl(R)}
+  FROM options o JOIN budgets b USING (batch_id) WHERE base_expected_loss > 0 AND discount_cost <= b.budget"""
+    by_worth = "OVER (PARTITION BY w.batch_id, row_key ORDER BY worth DESC, c)"
+    return f"""
+lam AS (
+  SELECT r.batch_id, r.budget, r.saving, r.lp_bound, r.gap,
+         COALESCE(b.bds / CAST(b.bdc AS DOUBLE), 0.0) AS lam
+  FROM report r LEFT JOIN b0_1 b USING (batch_id)),
+opt AS (
+  SELECT batch_id, row_key, CAST(0 AS DECIMAL(20,4)) AS c, CAST(0 AS DOUBLE) AS s FROM options
+  UNION ALL
+  SELECT o.batch_id, row_key, upgrade_cost, base_expected_loss
+  FROM options o JOIN budgets b USING (batch_id) WHERE base_expected_loss > 0 AND upgrade_cost <= b.budget{disc}),
+w AS (SELECT opt.*, s - lam * CAST(c AS DOUBLE) AS worth, gap FROM opt JOIN lam USING (batch_id)),
+rated AS (
+  SELECT w.batch_id, row_key, row_number() {by_worth} AS k, c AS cost,
+         c - first_value(c) {by_worth} AS dc, first_value(worth) {by_worth} - worth AS rg, gap
+  FROM w),
+near AS (SELECT * FROM rated WHERE k = 1 OR rg < gap),
+core AS MATERIALIZED (
+  SELECT batch_id, dense_rank() OVER (PARTITION BY batch_id ORDER BY row_key) AS i, dc, rg
+  FROM (SELECT *, count(*) OVER (PARTITION BY batch_id, row_key) AS n FROM near) WHERE n > 1),
+st AS (
+  SELECT batch_id, CAST(0 AS BIGINT) AS i, CAST(sum(cost) AS DECIMAL(24,4)) AS cost, CAST(0 AS DOUBLE) AS rg
+  FROM rated WHERE k = 1 GROUP BY batch_id
+  UNION ALL
+  SELECT batch_id, i, cost, rg FROM (
+    SELECT s.batch_id, s.i + 1 AS i, CAST(s.cost + c.dc AS DECIMAL(24,4)) AS cost, s.rg + c.rg AS rg,
+           l.lam * CAST(s.cost + c.dc AS DOUBLE) - (s.rg + c.rg) AS value
+    FROM st s JOIN core c ON c.batch_id = s.batch_id AND c.i = s.i + 1 JOIN lam l ON l.batch_id = s.batch_id
+    WHERE s.rg + c.rg <= l.gap + 1e-9)
+  QUALIFY value > COALESCE(max(value) OVER (PARTITION BY batch_id ORDER BY cost, rg
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1e300)),
+ends AS (SELECT batch_id, max(i) AS n FROM core GROUP BY batch_id),
+optimum AS (
+  SELECT l.batch_id, l.budget, l.lp_bound, l.saving AS greedy,
+         greatest(l.saving, COALESCE(max(l.lp_bound - s.rg - l.lam * CAST(l.budget - s.cost AS DOUBLE)), CAST(0 AS DOUBLE))) AS best
+  FROM lam l LEFT JOIN ends e USING (batch_id)
+  LEFT JOIN st s ON s.batch_id = l.batch_id AND s.i = COALESCE(e.n, 0) AND s.cost <= l.budget
+  GROUP BY l.batch_id, l.budget, l.lp_bound, l.saving)"""
+
+
 RECORDS = f"""
 rec AS (
   SELECT *,
@@ -554,6 +601,12 @@ SELECT row_key, batch_id, decision, CAST(cost AS DOUBLE) AS cost,
         "FROM agg a LEFT JOIN budgets b ON a.batch_id = b.batch_id",
         ", c.max_upgrades FROM agg a LEFT JOIN budgets b ON a.batch_id = b.batch_id "
         "LEFT JOIN capacities c ON c.batch_id = a.batch_id")
+    for name, base, two in (("optimal_choice", MULTI, False), ("optimal_two_option", TWO, True),
+                            ("optimal_sample_batch", _prescribed(sample=True), False)):
+        q[name] = base.replace("WITH ", "WITH RECURSIVE ", 1) + "," + optimum_ctes(two) + f"""
+SELECT batch_id, CAST(budget AS DOUBLE) AS budget, {r('lp_bound', 4)} AS lp_bound,
+  {r('greedy', 4)} AS greedy_saving, {r('best', 4)} AS best_saving, TRUE AS optimal, TRUE AS within_budget
+FROM optimum"""
     REC = MULTI + ", " + RECORDS.strip()
     q["prescription_records"] = REC + " SELECT * FROM flat"
     q["prescription_summary"] = REC + summary_select(True)
