@@ -29,12 +29,12 @@ still in different components and may be similar enough.  Pairs inside one
 component are never listed, so thousands of near copies cost one verified
 pair each and not their square, and no link between components is lost.
 
-Copies with many edits meet in the same entries and yet lie too far apart.
-For the classes of entries with many rows, the shingles that no other of
-these classes holds are counted: u of n shingles are then unshared with any
-of them, so a pair shares ``min(n - u, m - w)`` at most.  Pairs, and classes
-for which that is too few with the smallest set of the entry, are left out
-before they are paired.  The class with the fewest such shingles is the hub.
+Copies with many edits meet in the same entries and yet lie too far apart.  In
+the last round each entry's classes are compared by small sketches (parities
+of hashed shingles, of which each unshared shingle flips one at most), as
+blocks of bits in numpy, and only pairs that these cannot rule out become rows.
+Entries of many classes are dealt into parts, each two of which meet in a tile
+of bounded size.
 
 Rows: nulls and texts without words have no shingles and are their own
 component; a null id gets null unless a linked document has an id; repeated
@@ -72,7 +72,8 @@ class JaccardParams:
     block_shingles: int = 1 << 21
     block_df: int = 3
     salts: int = 16
-    hot_rows: int = 64  # entries of so many rows have their unshared shingles counted
+    hot_rows: int = 512  # entries of more classes are compared in tiles
+    shared_rows: int = 192  # small entries of so many classes in all are compared at once
 
     def need(self, n):
         """Shared shingles that a set of n must have with any partner."""
@@ -265,20 +266,6 @@ def _sets(p: JaccardParams):
     return run
 
 
-def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, shingle) of (set, key)."""
-    for batch in batches:
-        keys, sets, held = [], [], 0
-        for last, (key, s) in enumerate(zip(batch.column("key").to_pylist(), batch.column("set"), strict=True), 1):
-            sets.append(np.frombuffer(s.as_buffer(), np.int64))
-            keys.append(key)
-            held += len(sets[-1])
-            if held > 200_000 or last == batch.num_rows:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(keys, [len(s) for s in sets])), pa.array(np.concatenate(sets))], names=["key", "shingle"])
-                keys, sets, held = [], [], 0
-
-
 def _linked(p: JaccardParams):
     up, down = p.threshold.numerator, p.threshold.denominator
 
@@ -320,10 +307,10 @@ def _not_too_far(pairs: DataFrame, reps: DataFrame, p: JaccardParams) -> DataFra
     return both.where(far * (up + down) <= (F.col("nx") + F.col("ny")) * (down - up)).select("u", "v")
 
 
-def _fits(p: JaccardParams, n: str, m: str, u: str = "0", w: str = "0") -> str:
-    """Whether sets of n and m shingles, u and w of them unshared, may be similar enough."""
+def _fits(p: JaccardParams, n: str, m: str) -> str:
+    """Whether sets of n and m shingles may be similar enough."""
     up, down = p.threshold.numerator, p.threshold.denominator
-    return f"least({n} - {u}, {m} - {w}) * {up + down} >= ({n} + {m}) * {up}"
+    return f"least({n}, {m}) * {up + down} >= ({n} + {m}) * {up}"
 
 
 # ---- the join ------------------------------------------------------------------------------------
@@ -415,16 +402,6 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         discard(ids)
         return sets
 
-    def count_unshared(keys: DataFrame) -> DataFrame:
-        """(key, u): shingles that no other of the classes holds."""
-        keys = land(keys)
-        sets = sets_of(keys)
-        shingles = sets.join(keys, "key", "left_semi").mapInArrow(_shingles, "key long, shingle long")
-        alone = shingles.groupBy("shingle").agg(F.min("key").alias("key"), F.count("*").alias("c")).where("c = 1")
-        out = land(alone.groupBy("key").agg(F.count("*").cast("int").alias("u")))
-        discard(keys, sets)
-        return out
-
     # round 1: each class with its least pivot
     pairs = (shared.where("key <> pivot").where(_fits(p, "n", "pivot_n"))
              .groupBy(F.col("key").alias("u")).agg(F.min(F.struct("pivot_n", "pivot")).alias("p"))
@@ -432,26 +409,17 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     links = verify(pairs)
     roots = components(links)
 
-    # round 2: the heads of components with the hubs of entries; round 3: every pair still apart.
-    # The entries apart in round 3 are some of those in round 2, so the counts hold for both.
-    unshared = None
+    # round 2: the heads of components with the hubs of entries; round 3: every pair still apart
     for last in (False, True):
         apart = _apart(shared, roots)
         if apart.isEmpty():
             break
-        hot = F.col("size") >= p.hot_rows
-        if unshared is None:
-            unshared = count_unshared(apart.where(hot).select("key").distinct())
-        found = apart.join(unshared, "key", "left").withColumn("u", F.when(hot, F.coalesce("u", F.lit(0))).otherwise(0))
-        apart, done = land(found.select("entry", "key", "n", "root", "u", "least")), apart
-        del found
-        discard(done)
-        pairs = _all_pairs(apart, p) if last else _one_pair(apart, p)
+        pairs = _close_pairs(apart, reps, p) if last else _one_pair(apart, p)
         more = verify(pairs)
-        links = land(links.unionByName(more))
+        links, old = land(links.unionByName(more)), links
         roots = components(links)
         del pairs
-        discard(apart, more)
+        discard(apart, more, old)
     return JaccardResult(member, links, roots)
 
 
@@ -471,8 +439,8 @@ def _apart(shared: DataFrame, roots: DataFrame) -> DataFrame:
     now = (shared.select("entry", "key", "n").join(roots.withColumnRenamed("node", "key"), "key", "left")
            .withColumn("root", F.coalesce("root", "key")))
     now = land(now)
-    mixed = now.groupBy("entry").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("n").alias("least"),
-                                     F.count("*").alias("size")).where("lo < hi").select("entry", "least", "size")
+    mixed = now.groupBy("entry").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
+                                     F.count("*").alias("size")).where("lo < hi").select("entry", "size")
     out = land(now.join(mixed, "entry"))
     del mixed
     discard(now)
@@ -480,20 +448,111 @@ def _apart(shared: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def _one_pair(apart: DataFrame, p: JaccardParams) -> DataFrame:
-    """In each entry the head of each component (fewest unshared shingles, least n and key) meets
-    the hub, the least of the heads; of the pairs of two components the least goes on."""
-    heads = apart.groupBy("entry", "root").agg(F.min(F.struct("u", "n", "key")).alias("h"))
+    """In each entry the head of each component (least n and key) meets the hub, the least of the heads;
+    of the pairs of two components the least goes on."""
+    heads = apart.groupBy("entry", "root").agg(F.min(F.struct("n", "key")).alias("h"))
     hubs = heads.groupBy("entry").agg(F.min(F.struct("h", "root")).alias("g")).select(
         "entry", F.col("g.h").alias("g"), F.col("g.root").alias("hub"))
-    met = heads.join(hubs, "entry").where("root <> hub").where(_fits(p, "h.n", "g.n", "h.u", "g.u"))
-    least = F.min(F.struct(F.col("g.u").alias("gu"), F.col("h.u").alias("hu"), F.col("h.key").alias("u"), F.col("g.key").alias("v")))
-    return met.groupBy("root", "hub").agg(least.alias("x")).select("x.u", "x.v").distinct()
+    met = heads.join(hubs, "entry").where("root <> hub").where(_fits(p, "h.n", "g.n"))
+    return met.groupBy("root", "hub").agg(F.min(F.struct(F.col("h.key").alias("u"), F.col("g.key").alias("v"))).alias("x")).select("x.u", "x.v").distinct()
+
+
+# ---- pairs within an entry, by sketches ----------------------------------------------------------
+
+MARK_LONGS = 16
 
 
-def _all_pairs(apart: DataFrame, p: JaccardParams) -> DataFrame:
+def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, mark) of (key, sketch): the sketch folded to ``MARK_LONGS`` longs at most."""
+    for batch in batches:
+        out = []
+        for x in batch.column("sketch"):
+            mark = x.values.to_numpy()
+            while len(mark) > MARK_LONGS:
+                mark = mark[:len(mark) // 2] ^ mark[len(mark) // 2:]
+            out.append(mark.tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(out, pa.binary())], names=["key", "mark"])
+
+
+def pairs_in_tile(group: np.ndarray, n: np.ndarray, root: np.ndarray, marks: list[bytes], left: np.ndarray, right: np.ndarray,
+                  p: JaccardParams) -> tuple[np.ndarray, np.ndarray]:
+    """Places (i, j) of rows of one group and different components, ``left`` by ``right``, whose sizes and
+    marks do not rule out that they are similar enough."""
     up, down = p.threshold.numerator, p.threshold.denominator
-    some = apart.where((F.col("n") - F.col("u")) * (up + down) >= (F.col("n") + F.col("least")) * up)
-    a = some.select("entry", F.col("key").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"), F.col("u").alias("ua"))
-    b = some.select("entry", F.col("key").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"), F.col("u").alias("ub"))
-    met = a.join(b, "entry").where("ra < rb").where(_fits(p, "na", "nb", "ua", "ub"))
-    return met.select(F.col("a").alias("u"), F.col("b").alias("v")).distinct()
+    a, b = np.flatnonzero(left), np.flatnonzero(right)
+    small, sizes = np.minimum(n[a][:, None], n[b][None, :]), n[a][:, None] + n[b][None, :]
+    fits = (group[a][:, None] == group[b][None, :]) & (root[a][:, None] != root[b][None, :]) & (small * (up + down) >= sizes * up)
+    x, y = np.nonzero(fits)
+    i, j = a[x], b[y]
+    once = (i < j) | ~(left[j] & right[i])  # pairs inside a part come twice
+    i, j = i[once], j[once]
+    longs = np.array([len(m) // 8 for m in marks])
+    far = np.zeros(len(i), np.int64)
+    most = np.minimum(longs[i], longs[j])
+    for size in np.unique(most).tolist():
+        rows = np.flatnonzero(longs >= size)
+        table, place = np.zeros((len(rows), size), U64), np.zeros(len(marks), np.int64)
+        place[rows] = np.arange(len(rows))
+        for r, at in enumerate(rows.tolist()):
+            mark = np.frombuffer(marks[at], U64)
+            while len(mark) > size:
+                mark = mark[:len(mark) // 2] ^ mark[len(mark) // 2:]
+            table[r] = mark
+        own = np.flatnonzero(most == size)
+        for at in range(0, len(own), 1 << 16):
+            some = own[at:at + (1 << 16)]
+            far[some] = np.bitwise_count(table[place[i[some]]] ^ table[place[j[some]]]).sum(1)
+    near = far * (up + down) <= (n[i] + n[j]) * (down - up)
+    return i[near], j[near]
+
+
+def _close(p: JaccardParams):
+    names = ["tile", "key", "n", "root", "mark", "left", "right"]
+
+    def compared(rows: pa.RecordBatch) -> pa.RecordBatch:
+        tile, key, n, root, marks, left, right = [rows.column(c).to_pylist() if c == 4 else rows.column(c).to_numpy(zero_copy_only=False)
+                                                  for c in range(7)]
+        i, j = pairs_in_tile(tile, n.astype(np.int64), root, marks, left, right, p)
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(key[i], key[j])), pa.array(np.maximum(key[i], key[j]))], names=["u", "v"])
+
+    def parts(held: list[pa.RecordBatch], all_of_it: bool) -> tuple[list[pa.RecordBatch], pa.RecordBatch]:
+        """Runs of whole tiles of about ``shared_rows`` rows, and the last tile, which may go on."""
+        rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        tile = rows.column(0).to_numpy()
+        edges = np.flatnonzero(np.append(True, tile[1:] != tile[:-1]))
+        edges = np.append(edges, len(tile)) if all_of_it else edges
+        out, at = [], 0
+        while at < len(edges) - 1:
+            end = int(np.searchsorted(edges, edges[at] + p.shared_rows, "right")) - 1
+            end = min(max(end, at + 1), len(edges) - 1)
+            out.append(rows.slice(int(edges[at]), int(edges[end] - edges[at])))
+            at = end
+        return out, rows.slice(int(edges[-1]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            held.append(batch.select(names))
+            rows += batch.num_rows
+            if rows >= 4 * p.hot_rows:
+                done, last = parts(held, False)
+                yield from map(compared, done)
+                held, rows = [last], last.num_rows
+        if rows:
+            yield from map(compared, parts(held, True)[0])
+    return run
+
+
+def _close_pairs(apart: DataFrame, reps: DataFrame, p: JaccardParams) -> DataFrame:
+    """The pairs of classes of different components that meet in an entry and are not ruled out by their
+    sizes and marks."""
+    marks = reps.select("key", "sketch").mapInArrow(_marks, "key long, mark binary")
+    rows = apart.join(marks, "key").withColumn("parts", F.ceil(F.col("size") / p.hot_rows).cast("int"))
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("key", F.lit(5)), F.col("parts")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    lo, hi = F.least("part", "other"), F.greatest("part", "other")
+    tile = F.when(F.col("parts") == 1, F.col("entry")).otherwise(F.xxhash64("entry", lo, hi))
+    rows = rows.select(tile.alias("tile"), "key", "n", "root", "mark", (F.col("part") == lo).alias("left"), (F.col("part") == hi).alias("right"))
+    return rows.repartition("tile").sortWithinPartitions("tile").mapInArrow(_close(p), "u long, v long").distinct()
