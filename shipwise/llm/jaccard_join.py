@@ -55,7 +55,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shipwise.llm.components import components
-from shipwise.llm.tables import bounded, discard, land, pick
+from shipwise.llm.tables import bounded, discard, land, pick, release_worker_tables
 from shipwise.llm.words import NONSPACE, U64, each_block, mix, shingle_sets
 
 
@@ -114,6 +114,7 @@ def _profile(p: JaccardParams):
             names=["id", "key", "n", "kind", "sketch"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_worker_tables()
         held, size, seen = [], 0, set()
         for batch in batches:
             keys, sizes, sketches = [], [], []
@@ -199,6 +200,7 @@ def prefix_entries(s: np.ndarray, token: np.ndarray, place: np.ndarray, p: Jacca
 
 def _index(p: JaccardParams, frequent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_worker_tables()
         token, place = frequent.value
         for batch in batches:
             out, held = [], 0

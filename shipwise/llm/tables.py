@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import sys
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,10 @@ ARROW_ROWS = "2000"
 #: A side is broadcast only if it was counted and has at most so many rows (of a few longs each).
 BROADCAST_ROWS = 1_000_000
 
-__all__ = ["BROADCAST_ROWS", "bounded", "discard", "kept", "land", "pick", "unkept"]
+#: What Python workers, which serve many tasks, keep from one task to the next: tables of known pieces.
+WORKER_TABLES = {"shipwise.llm.byte_bpe": "_CODERS", "shipwise.llm.token_counts": "_COUNTERS"}
+
+__all__ = ["BROADCAST_ROWS", "bounded", "discard", "kept", "land", "pick", "release_worker_tables", "unkept"]
 
 
 def land(df: DataFrame) -> DataFrame:
@@ -51,6 +55,15 @@ def prepare(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
 
 
+def release_worker_tables() -> None:
+    """In a task that needs memory of its own: drops what an encoder left in this worker."""
+    for module, name in WORKER_TABLES.items():
+        tables = getattr(sys.modules.get(module), name, None)
+        if tables:
+            tables.clear()
+            gc.collect()
+
+
 def pick(docs: DataFrame, **columns: str) -> DataFrame:
     """Only the named columns under fixed names, so that clashing extra columns cannot matter."""
     prepare(docs.sparkSession)
