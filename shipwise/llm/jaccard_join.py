@@ -88,10 +88,10 @@ def set_key(s: np.ndarray) -> int:
 
 
 def sketch(s: np.ndarray) -> np.ndarray:
-    """Parities of the counts of shingles in as many hash buckets as the set's size (the next power
-    of two, 256 at least), as longs: each shingle that two sets do not share flips one bit at
-    most.  XOR of its halves is the sketch of half the size."""
-    bits = max(256, 1 << (max(len(s), 1) - 1).bit_length())
+    """Parities of the counts of shingles in four times as many hash buckets as the set's size (the
+    next power of two, 256 at least), as longs: each shingle that two sets do not share flips one
+    bit at most, and few flip one twice.  XOR of its halves is the sketch of half the size."""
+    bits = 4 * max(256, 1 << (max(len(s), 1) - 1).bit_length())
     odd = np.bincount((s & U64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
@@ -461,7 +461,7 @@ def _one_pair(apart: DataFrame, p: JaccardParams) -> DataFrame:
 
 # ---- pairs within an entry, by sketches ----------------------------------------------------------
 
-MARK_LONGS = 16
+MARK_LONGS = 64
 
 
 def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -511,11 +511,19 @@ def pairs_in_tile(group: np.ndarray, n: np.ndarray, root: np.ndarray, marks: lis
 def _close(p: JaccardParams):
     names = ["tile", "key", "n", "root", "mark", "left", "right"]
 
-    def compared(rows: pa.RecordBatch) -> pa.RecordBatch:
+    def compared(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
         tile, key, n, root, marks, left, right = [rows.column(c).to_pylist() if c == 4 else rows.column(c).to_numpy(zero_copy_only=False)
                                                   for c in range(7)]
         i, j = pairs_in_tile(tile, n.astype(np.int64), root, marks, left, right, p)
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(key[i], key[j])), pa.array(np.maximum(key[i], key[j]))], names=["u", "v"])
+        return np.minimum(key[i], key[j]), np.maximum(key[i], key[j])
+
+    def once(found: list) -> pa.RecordBatch:
+        """The pairs without repeats: two classes often meet in many entries."""
+        u, v = (np.concatenate(c) for c in zip(*found, strict=True))
+        order = np.lexsort((v, u))
+        u, v = u[order], v[order]
+        first = np.append(True, (u[1:] != u[:-1]) | (v[1:] != v[:-1]))[:len(u)]
+        return pa.RecordBatch.from_arrays([pa.array(u[first]), pa.array(v[first])], names=["u", "v"])
 
     def parts(held: list[pa.RecordBatch], all_of_it: bool) -> tuple[list[pa.RecordBatch], pa.RecordBatch]:
         """Runs of whole tiles of about ``shared_rows`` rows, and the last tile, which may go on."""
@@ -532,7 +540,7 @@ def _close(p: JaccardParams):
         return out, rows.slice(int(edges[-1]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, rows = [], 0
+        held, rows, found, pairs = [], 0, [], 0
         for batch in batches:
             if batch.num_rows == 0:
                 continue
@@ -540,10 +548,17 @@ def _close(p: JaccardParams):
             rows += batch.num_rows
             if rows >= 4 * p.hot_rows:
                 done, last = parts(held, False)
-                yield from map(compared, done)
                 held, rows = [last], last.num_rows
+                for x in map(compared, done):
+                    found.append(x)
+                    pairs += len(x[0])
+                    if pairs >= 1_000_000:
+                        yield once(found)
+                        found, pairs = [], 0
         if rows:
-            yield from map(compared, parts(held, True)[0])
+            found += map(compared, parts(held, True)[0])
+        if found:
+            yield once(found)
     return run
 
 
