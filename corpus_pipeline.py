@@ -24,16 +24,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shipwise.llm import byte_bpe, decontaminate, jaccard_join, language_id, secret_scan
-from shipwise.llm.tables import bounded, land, unkept
+from shipwise.llm.tables import KEPT, bounded, land, unkept
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that language ID does not reject; an empty table stays empty."""
     model = language_id.fit(docs, F.lit(True))
     found = language_id.predict(docs, model, keep=tuple(docs.columns))
     return unkept(found.where("not rejected"), docs)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of near copies, that of least id; rows of null id all stay. Columns of any
+    name are carried."""
     found = land(jaccard_join.jaccard_components(docs).documents(classes=True))
     stays = F.col("id") == F.col("component_id")
     ids = land(found.where("id is not null").groupBy(F.col("id").alias("doc_id"))
@@ -44,29 +47,32 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
         return rest
     # of ids with several rows, one text of each group whose least id it is
     repeated = bounded(repeated)
-    kept = found.where(stays).select(F.col("id").alias("doc_id"), F.col("key").alias("class_"), F.col("root").alias("root_")).distinct()
-    once = (jaccard_join.with_class(rest.join(repeated, "doc_id", "left_semi").select(*docs.columns)).join(kept, ["doc_id", "class_"])
-            .dropDuplicates(["doc_id", "root_"]).select(*docs.columns))
-    return rest.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(once)
+    kept = found.where(stays).select(F.col("id").alias(KEPT + "doc_id"), F.col("key").alias("class_"), F.col("root").alias("root_")).distinct()
+    several = rest.join(repeated, "doc_id", "left_semi").select(*[F.col(c).alias(KEPT + c) for c in docs.columns])
+    once = (jaccard_join.with_class(several, KEPT + "text").join(kept, [KEPT + "doc_id", "class_"])
+            .dropDuplicates([KEPT + "doc_id", "root_"]))
+    return rest.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(unkept(once, docs))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows without a benchmark window; null and empty texts have none."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = decontaminate.scan_documents(docs, items, keep=tuple(docs.columns))
     return unkept(found.where("n_hit = 0"), docs)
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows, found spans replaced; rows without a span keep text and n_chars (which need not be there)."""
     found = secret_scan.scan(docs, keep=tuple(docs.columns))
     clean = secret_scan.redacted(found)
     changed = F.size("found") > 0
-    clean = clean.withColumns({
-        "kept_text": F.when(changed, F.col("text")).otherwise(F.col("kept_text")),
-        "kept_n_chars": F.when(changed, F.length("text").cast("long")).otherwise(F.col("kept_n_chars"))})
+    new = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    clean = clean.withColumns({KEPT + c: F.when(changed, new[c]).otherwise(F.col(KEPT + c)) for c in new if c in docs.columns})
     return unkept(clean, docs)
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, tokens and digests of every row; a null text counts as empty."""
     out = byte_bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, ids=True)
     return out.withColumnRenamed("id", "doc_id")
 
