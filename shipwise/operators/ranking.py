@@ -62,6 +62,29 @@ def rank_within(df: DataFrame, part_cols, hash_col: str, key_col: str,
             .drop(b, "__off"))
 
 
+def range_rank(df: DataFrame, part_col: str, value_col: str, rank_col: str = "rank",
+               max_window_rows: int | None = None) -> DataFrame:
+    """0-based rank of ``value_col`` inside ``part_col``, for (landed) rows that do not repeat.
+
+    One window while the rows fit; beyond that ranges of (part, value) by
+    sampled boundaries, their counts as offsets (a table of as many rows as
+    there are ranges and parts), and a window inside each range only.
+    """
+    limit = C.KNOBS.max_window_rows if max_window_rows is None else max_window_rows
+    n = df.count()
+    if n <= limit:
+        w = Window.partitionBy(part_col).orderBy(value_col)
+        return df.withColumn(rank_col, (F.row_number().over(w) - 1).cast("bigint"))
+    r = "__range"
+    dealt = materialize(df.repartitionByRange(-(-n // limit), part_col, value_col).withColumn(r, F.spark_partition_id()))
+    before = Window.partitionBy(part_col).orderBy(r).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = dealt.groupBy(part_col, r).agg(F.count(F.lit(1)).alias("__n"))
+    offsets = bounded_broadcast(offsets.select(part_col, r, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off")))
+    inner = Window.partitionBy(part_col, r).orderBy(value_col)
+    return (dealt.join(offsets, [part_col, r])
+            .withColumn(rank_col, (F.col("__off") + F.row_number().over(inner) - 1).cast("bigint")).drop(r, "__off"))
+
+
 def largest_remainder(counts: dict, num: int, den: int) -> dict:
     """Share k = ceil(N·num/den) over classes by largest remainder (exact ints)."""
     n = sum(counts.values())

@@ -8,6 +8,7 @@ lazy DataFrame plan that Catalyst optimises end to end.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,13 +16,13 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.columns import round_half_up
-from ..operators import board, clean as cl, features as fe, metrics as me
+from ..operators import board, bundle, clean as cl, features as fe, metrics as me
 from ..operators import profile as pr, rates as ra, ranking as rk, scoring as sc
 from ..operators.core import improve
 from ..operators.loop import closed_loop_calibration
 from ..operators.prescribe import (rejected_counts, batch_summary, build_options, derived_budgets,
                                    flat_records, prescribe)
-from ..session import materialize
+from ..session import ensure_checkpoint_dir, materialize
 from ..sources.tables import shipments
 
 DATE_COLS = ("order_date", "shipping_date")
@@ -154,6 +155,16 @@ def q_encode_unseen(spark, d):
     return fe.unseen_counts(test, C.CATEGORICAL_COLS)
 
 
+def q_encode_saved(spark, d):
+    """New orders (the test rows) encoded with a dictionary that was saved and loaded again."""
+    s = materialize(split(spark, d))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/bundles/{uuid.uuid4().hex}"
+    bundle.save(bundle.fit_encoding(s.filter(F.col("split") == "train")), path)
+    saved = bundle.load(spark, path)
+    out = bundle.encode(s.filter(F.col("split") == "test"), saved)
+    return out.select("row_key", *saved.text_columns, "order_month", "order_dayofweek", "order_quarter", "order_is_weekend")
+
+
 def q_stratified_split(spark, d):
     return split(spark, d).select("row_key", C.TARGET_COL, "split", "fold")
 

@@ -554,6 +554,23 @@ a AS (SELECT sum(pos * neg_below) AS aa, sum(pos * neg) AS tt, sum(pos) AS n_pos
 SELECT {r('CAST(2 * aa + tt AS DOUBLE) / (2.0 * CAST(n_pos AS DOUBLE) * CAST(n_neg AS DOUBLE))', 6)}
        AS roc_auc, CAST(n_pos AS BIGINT) AS n_pos, CAST(n_neg AS BIGINT) AS n_neg FROM a"""
 
+    saved = [*C.CATEGORICAL_COLS, "order_status"]
+    union = " UNION ".join(f"SELECT '{c}' AS column_name, COALESCE(CAST({c} AS VARCHAR), 'nan') AS value "
+                           "FROM split WHERE split = 'train'" for c in saved)
+    joins = "\n".join(f"LEFT JOIN dict d_{c} ON d_{c}.column_name = '{c}' AND d_{c}.value = COALESCE(CAST(t.{c} AS VARCHAR), 'nan')"
+                      for c in saved)
+    codes = ", ".join(f"COALESCE(d_{c}.code, -1) AS {c}" for c in saved)
+    q["encode_saved"] = _base(SPLIT) + f"""
+, dict AS (
+  SELECT column_name, value,
+    CAST(row_number() OVER (PARTITION BY column_name ORDER BY value) - 1 AS INTEGER) AS code
+  FROM ({union}))
+SELECT t.row_key, {codes}, CAST(month(order_date) AS INTEGER) AS order_month,
+  CAST(isodow(order_date) - 1 AS INTEGER) AS order_dayofweek,
+  CAST(quarter(order_date) AS INTEGER) AS order_quarter,
+  CAST(CASE WHEN isodow(order_date) - 1 IN (5, 6) THEN 1 ELSE 0 END AS INTEGER) AS order_is_weekend
+FROM split t {joins} WHERE t.split = 'test'"""
+
     OP = _base(SPLIT, SCORED, OPTIONS)
     q["option_costs"] = OP + f"""
 SELECT row_key, batch_id, {r('risk_score', 6)} AS risk_score,

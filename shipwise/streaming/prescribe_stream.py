@@ -10,18 +10,25 @@ partition overwrite, so that a micro-batch replayed after a failure rewrites
 its own partitions and touches no others:
 
 * ``out_path``: the records;
-* ``out_path`` + ``_rejected``: orders whose price, profit or risk is missing
+* ``out_path`` + ``_rejected``: orders whose price, profit or risk is missing,
+  or whose batch has no budget
   (batch_id, epoch_id, row_key, order_id, price, profit, risk_score);
 * ``out_path`` + ``_spent``: money and upgrade slots used per batch and
   micro-batch. A micro-batch reads the rows of earlier epochs only, so its
   replay allocates the same amounts.
 
+A budget (or slot limit) lowered below what is used counts as nothing left.
+With ``scorer``, a function of the micro-batch such as ``bundle.score`` with a
+saved bundle, raw orders are scored first.
+
 Epochs count up in one checkpoint location: a new location needs a new
 ``out_path``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -45,7 +52,8 @@ def used_before(spark: SparkSession, path: str, epoch_id: int) -> DataFrame:
 
 
 def prescribe_micro_batch(budgets: DataFrame, out_path: str, fill_rounds: int | None = None,
-                          capacities: DataFrame | None = None):
+                          capacities: DataFrame | None = None,
+                          scorer: Callable[[DataFrame], DataFrame] | None = None):
     """foreachBatch function: allocate the micro-batch within what earlier
     ones left, write its records, rejected orders and the amounts used.
     ``capacities`` (batch_id, max_upgrades) adds the upgrade-slot limit."""
@@ -53,22 +61,27 @@ def prescribe_micro_batch(budgets: DataFrame, out_path: str, fill_rounds: int |
         if batch.isEmpty():
             return
         spark = batch.sparkSession
+        if scorer is not None:
+            batch = materialize(scorer(batch))
         ids = batch.select("batch_id").distinct()
         before = used_before(spark, f"{out_path}_spent", epoch_id)
         b = (budgets.join(ids, "batch_id").join(before, "batch_id", "left")
-             .select("batch_id", (F.col("budget").cast(MONEY)
-                                  - F.coalesce("spent", F.lit(0).cast(MONEY))).alias("budget")))
+             .select("batch_id", F.greatest(F.col("budget").cast(MONEY) - F.coalesce("spent", F.lit(0).cast(MONEY)),
+                                            F.lit(0).cast(MONEY)).alias("budget")).filter(F.col("budget").isNotNull()))
+        b = materialize(b)
+        unpaid = batch.join(b, "batch_id", "left_anti")
+        batch = batch.join(b.select("batch_id"), "batch_id", "left_semi")
         caps = None
         if capacities is not None:
             caps = (capacities.join(ids, "batch_id").join(before, "batch_id", "left")
-                    .select("batch_id", (F.col("max_upgrades").cast("bigint")
-                                         - F.coalesce("used", F.lit(0))).alias("max_upgrades")))
+                    .select("batch_id", F.greatest(F.col("max_upgrades").cast("bigint") - F.coalesce("used", F.lit(0)),
+                                                   F.when(F.col("max_upgrades").isNotNull(), F.lit(0))).alias("max_upgrades")))
         out = prescribe(batch, budgets=b, fill_rounds=fill_rounds, capacities=caps)
         epoch = F.lit(epoch_id).cast("bigint").alias("epoch_id")
         decisions = materialize(out["decisions"])
         write_back(flat_records(decisions).select("*", epoch), out_path, SINK_PARTITIONS)
-        write_back(out["rejected"].select("row_key", "order_id", "price", "profit", "risk_score",
-                                          "batch_id", epoch),
+        rejected = ["row_key", "order_id", "price", "profit", "risk_score", "batch_id", epoch]
+        write_back(out["rejected"].select(*rejected).unionByName(unpaid.select(*rejected)),
                    f"{out_path}_rejected", SINK_PARTITIONS)
         write_back(decisions.groupBy("batch_id").agg(
             F.sum("cost").cast(MONEY).alias("spent"),
@@ -80,11 +93,12 @@ def prescribe_micro_batch(budgets: DataFrame, out_path: str, fill_rounds: int |
 def start(spark: SparkSession, source_dir: str, schema: StructType, budgets: DataFrame,
           out_path: str, checkpoint_location: str, available_now: bool = True,
           fill_rounds: int | None = None,
-          capacities: DataFrame | None = None) -> StreamingQuery:
-    """Stream scored orders (Parquet files) → allocation → partitioned records."""
+          capacities: DataFrame | None = None,
+          scorer: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
+    """Stream scored orders (Parquet files) → allocation → partitioned records; with ``scorer`` raw orders."""
     stream = spark.readStream.schema(schema).parquet(source_dir)
     writer = (stream.writeStream
-              .foreachBatch(prescribe_micro_batch(budgets, out_path, fill_rounds, capacities))
+              .foreachBatch(prescribe_micro_batch(budgets, out_path, fill_rounds, capacities, scorer))
               .option("checkpointLocation", checkpoint_location))
     writer = writer.trigger(availableNow=True) if available_now else writer
     return writer.start()
