@@ -99,6 +99,8 @@ class ScaleKnobs:
     rows_per_bucket: int = 1_000_000
     # Quantile buckets per partition for take-until on a double key.
     take_until_buckets: int = 256
+    # Rows of a training frame per task: boosted trees run a short job per level.
+    train_rows_per_task: int = 25_000
     # A scanned table in at most this many files is spread over the task
     # slots once (see sources.tables.spread); larger layouts are left alone.
     spread_max_files: int = 4
