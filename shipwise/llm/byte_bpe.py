@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from shipwise.llm.tables import kept, pick
+from shipwise.llm.tables import kept, pick, release_memory
 from shipwise.llm.words import blocks, string_buffers
 
 #: Text encoded at a time, in bytes (at least one whole text).
@@ -91,7 +91,7 @@ class ByteBpe:
         """The ids of each pre-token.  All of them lie in one linked list, with no pair across a
         border, so they share the queue and each still merges its own lowest, leftmost pair."""
         pairs, ranks, bytes_of = self.pairs, self.ranks, self.bytes_of
-        if len(pairs) > self.remember:
+        if len(pairs) > self.remember // 3:  # cheap to look up again
             pairs.clear()
 
         def rank_of(a: int, b: int) -> int:
@@ -234,6 +234,7 @@ def coder(raw: bytes, pattern: str) -> ByteBpe:
 
 def _code(vocabulary, pattern: str, ids: bool, decoded: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         c = coder(vocabulary.value, pattern)
         for batch in batches:
             _, offsets = string_buffers(batch.column("text"))

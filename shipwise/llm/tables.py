@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import sys
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,7 +20,7 @@ BROADCAST_ROWS = 1_000_000
 #: What Python workers, which serve many tasks, keep from one task to the next: tables of known pieces.
 WORKER_TABLES = {"shipwise.llm.byte_bpe": "_CODERS", "shipwise.llm.token_counts": "_COUNTERS"}
 
-__all__ = ["BROADCAST_ROWS", "bounded", "discard", "kept", "land", "pick", "release_worker_tables", "unkept"]
+__all__ = ["BROADCAST_ROWS", "bounded", "discard", "kept", "land", "pick", "release_memory", "release_worker_tables", "unkept"]
 
 
 def land(df: DataFrame) -> DataFrame:
@@ -55,6 +56,11 @@ def prepare(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
 
 
+def release_memory() -> None:
+    """Gives back what earlier tasks of this worker freed and Arrow's pool still holds."""
+    pa.default_memory_pool().release_unused()
+
+
 def release_worker_tables() -> None:
     """In a task that needs memory of its own: drops what an encoder left in this worker."""
     for module, name in WORKER_TABLES.items():
@@ -62,6 +68,7 @@ def release_worker_tables() -> None:
         if tables:
             tables.clear()
             gc.collect()
+    release_memory()
 
 
 def pick(docs: DataFrame, **columns: str) -> DataFrame:
