@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shipwise.llm.tables import kept, land, pick
+from shipwise.llm.tables import kept, land, pick, release_worker_tables
 from shipwise.llm.words import LOWER, blocks, string_buffers
 
 NEUTRAL = LOWER.copy()
@@ -88,6 +88,7 @@ def _learn(dims: int):
     schema = ["lang", "n", "buckets", "counts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_worker_tables()
         df, n = np.zeros(dims, dtype=np.int64), 0
         for batch in batches:
             langs, taken = batch.column("lang"), batch.column("taken").to_numpy(zero_copy_only=False)
@@ -199,6 +200,7 @@ def fit(docs: DataFrame, learn: Column, text_col: str = "text", lang_col: str =
 
 def _predict(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_worker_tables()
         m = model.value
         names = np.array([*m.langs, "und"], dtype=object)
         for batch in batches:
