@@ -97,8 +97,8 @@ class ScaleKnobs:
     max_broadcast_rows: int = 2_000_000
     # Target rows per bucket for the bucketed rank / take-until plans.
     rows_per_bucket: int = 1_000_000
-    # Quantile buckets per partition for take-until on a double key.
-    take_until_buckets: int = 256
+    # Ranges per pass when take-until splits a large bucket by its total order.
+    take_until_ranges: int = 256
     # Rows of a training frame per task: boosted trees run a short job per level.
     train_rows_per_task: int = 25_000
     # A scanned table in at most this many files is spread over the task

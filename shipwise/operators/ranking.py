@@ -181,6 +181,15 @@ def take_until_window(df: DataFrame, part_cols, ord_col: str, weight_col, cap_co
     return df.withColumn(out_col, _within([F.sum(x).over(w) for x in ws], cs))
 
 
+def _by_ranges(df: DataFrame, part_cols, ord_col: str, bucket: str, limit: int) -> DataFrame:
+    """Rows dealt into ranges of (partition, order) by sampled bounds and landed, so that the range
+    of a row does not change. The order is total, so equal efficiencies fall apart here too."""
+    n = df.count()
+    ranges = max(2, min(C.KNOBS.take_until_ranges, 2 * -(-n // limit)))
+    return materialize(df.repartitionByRange(ranges, *part_cols, ord_col)
+                       .withColumn(bucket, F.spark_partition_id().cast("bigint")))
+
+
 def take_until(df: DataFrame, part_cols, ord_col: str, weight_col, cap_col,
                paid_col: str, neg_eff_col: str, out_col: str = "taken",
                max_window_rows: int | None = None, res: int = 64,
@@ -191,8 +200,12 @@ def take_until(df: DataFrame, part_cols, ord_col: str, weight_col, cap_col,
     weights are ≥ 0 and every running sum only grows).
 
     ``ord_col`` must start with (paid, neg_eff) so that the efficiency bucket
-    is monotone in it. ``max_part_rows`` (largest partition), when known,
-    saves the counting pass that picks the plan.
+    is monotone in it, and must be total. ``max_part_rows`` (largest
+    partition), when known, saves the counting pass that picks the plan.
+
+    The first split is by efficiency and moves no rows. If the crossing bucket
+    is still large (many equal efficiencies, free steps under a slot limit) its
+    rows are dealt into ranges of the whole order, as often as needed.
     """
     part_cols = list(part_cols)
     ws, cs = _as_list(weight_col), _as_list(cap_col)
@@ -200,14 +213,17 @@ def take_until(df: DataFrame, part_cols, ord_col: str, weight_col, cap_col,
     if max_part_rows is None:
         max_part_rows = (df.groupBy(*part_cols).agg(F.count(F.lit(1)).alias("n"))
                          .agg(F.max("n")).first()[0] or 0)
-    if max_part_rows <= limit or _depth >= 3:
+    if max_part_rows <= limit:
         return take_until_window(df, part_cols, ord_col, ws, cs, out_col)
 
     b, st = f"__b{_depth}", f"__st{_depth}"
     wsum = [f"__w{_depth}_{i}" for i in range(len(ws))]
     bf = [f"__bf{_depth}_{i}" for i in range(len(ws))]
     cap_in = [f"__cap{_depth}_{i}" for i in range(len(ws))]
-    with_b = df.withColumn(b, _eff_bucket(paid_col, neg_eff_col, res))
+    if _depth == 0:
+        with_b = df.withColumn(b, _eff_bucket(paid_col, neg_eff_col, res))
+    else:
+        with_b = _by_ranges(df, part_cols, ord_col, b, limit)
     per_bucket = with_b.groupBy(*part_cols, *cs, b).agg(
         *[F.sum(x).alias(y) for x, y in zip(ws, wsum)], F.count(F.lit(1)).alias("__n"))
     before = (Window.partitionBy(*part_cols).orderBy(b)
@@ -228,8 +244,11 @@ def take_until(df: DataFrame, part_cols, ord_col: str, weight_col, cap_col,
                 .select(*df.columns, b,
                         *[(F.col(c) - F.col(z)).alias(y) for c, z, y in zip(cs, bf, cap_in)]))
     max_cross = (status.filter(F.col(st) == "cross").agg(F.max("__n")).first()[0] or 0)
-    inner = take_until(crossing, [*part_cols, b], ord_col, ws, cap_in,
-                       paid_col, neg_eff_col, out_col, limit, res * 64,
-                       max_part_rows=max_cross, _depth=_depth + 1)
+    if _depth > 0 and max_cross >= max_part_rows:  # rows of one order key: nothing is left to split by
+        inner = take_until_window(crossing, [*part_cols, b], ord_col, ws, cap_in, out_col)
+    else:
+        inner = take_until(crossing, [*part_cols, b], ord_col, ws, cap_in,
+                           paid_col, neg_eff_col, out_col, limit, res,
+                           max_part_rows=max_cross, _depth=_depth + 1)
     cols = list(df.columns) + [out_col]
     return settled.select(*cols).unionByName(inner.select(*cols))
