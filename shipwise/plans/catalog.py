@@ -19,10 +19,11 @@ from ..functions.columns import round_half_up
 from ..operators import board, bundle, clean as cl, features as fe, metrics as me
 from ..operators import profile as pr, rates as ra, ranking as rk, scoring as sc
 from ..operators.core import improve
-from ..operators.loop import closed_loop_calibration
+from ..operators.loop import calibration_by_key, closed_loop_calibration
 from ..operators.prescribe import (rejected_counts, batch_summary, build_options, derived_budgets,
                                    flat_records, prescribe)
 from ..session import ensure_checkpoint_dir, materialize
+from ..sources import orders_csv
 from ..sources.tables import shipments
 
 DATE_COLS = ("order_date", "shipping_date")
@@ -364,6 +365,37 @@ def q_closed_loop_calibration(spark, d):
     return closed_loop_calibration(prescribed(spark, d)["decisions"])
 
 
+def q_closed_loop_by_key(spark, d):
+    """Outcomes reported apart (orders whose delivery status is known), joined to the prescriptions by key."""
+    deliveries = (shipments(spark, d).filter(F.col("delivery_status").isNotNull())
+                  .select("row_key", F.col("shipping_date").alias("delivered_at"), C.TARGET_COL))
+    return calibration_by_key(materialize(prescribed(spark, d)["decisions"]), deliveries)
+
+
+def _through_csv(spark, file_columns: DataFrame):
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/csv/{uuid.uuid4().hex}"
+    orders_csv.write_csv(file_columns, path)
+    return orders_csv.intake(spark, path)
+
+
+def q_csv_shipments(spark, d):
+    """Every order item exported as the reference's CSV and taken in again."""
+    view = shipments(spark, d)
+    return _dates_as_text(_through_csv(spark, orders_csv.as_file_columns(view)).rows.select(*view.columns))
+
+
+def q_csv_quarantine(spark, d):
+    """The same file with damaged prices (every 50th order) and dates (every 40th): rows set aside by reason."""
+    order, price, date = F.col("Order Id").cast("bigint"), "Order Item Product Price", "order date (DateOrders)"
+    damaged = orders_csv.as_file_columns(shipments(spark, d)).withColumns({
+        price: F.when(order % 50 == 7, F.concat(F.lit("EUR "), F.col(price))).otherwise(F.col(price)),
+        date: F.when(order % 40 == 3, F.lit("unknown")).otherwise(F.col(date))})
+    found = _through_csv(spark, damaged)
+    total = lambda df, name: df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("reason"), "n")
+    return (found.reasons().unionByName(total(found.rows, "(accepted)"))
+            .unionByName(total(found.quarantine, "(set aside)")))
+
+
 def _model_queries():
     from ..operators import model as mo
     return {

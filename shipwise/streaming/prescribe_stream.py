@@ -5,7 +5,7 @@ files and every micro-batch is allocated. A batch may arrive in any number of
 micro-batches: each one gets what the earlier ones left of its budget and
 upgrade slots.
 
-Three tables, all partitioned by (batch_id, epoch_id) and written by dynamic
+Three tables, partitioned by (batch_id, epoch_id) and written by dynamic
 partition overwrite, so that a micro-batch replayed after a failure rewrites
 its own partitions and touches no others:
 
@@ -14,8 +14,13 @@ its own partitions and touches no others:
   or whose batch has no budget
   (batch_id, epoch_id, row_key, order_id, price, profit, risk_score);
 * ``out_path`` + ``_spent``: money and upgrade slots used per batch and
-  micro-batch. A micro-batch reads the rows of earlier epochs only, so its
-  replay allocates the same amounts.
+  micro-batch, a ledger for readers.
+
+What a micro-batch may still spend comes from ``out_path`` + ``_balance``: one
+row per batch with all it used so far, as of an epoch. Each micro-batch adds its
+amounts to the newest balance of an earlier epoch and writes its own, so a replay
+allocates the same amounts; only the two newest balances are kept, so the state
+does not grow with the number of micro-batches.
 
 A budget (or slot limit) lowered below what is used counts as nothing left.
 With ``scorer``, a function of the micro-batch such as ``bundle.score`` with a
@@ -40,15 +45,43 @@ from ..session import materialize
 from ..sources.files import path_exists, write_back
 
 SINK_PARTITIONS = ("batch_id", "epoch_id")
+BALANCE_SCHEMA = "batch_id string, spent decimal(20,4), used bigint"
 SPENT_SCHEMA = "spent decimal(20,4), used bigint, batch_id string, epoch_id bigint"
 
 
-def used_before(spark: SparkSession, path: str, epoch_id: int) -> DataFrame:
-    """Money and upgrade slots each batch used in earlier micro-batches."""
-    spent = (spark.read.schema(SPENT_SCHEMA).parquet(path) if path_exists(spark, path)
+def _balances(spark: SparkSession, path: str) -> list[int]:
+    """Epochs of the stored balances, in order (two, or three after a failure)."""
+    if not path_exists(spark, path):
+        return []
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    names = [f.getPath().getName() for f in found]
+    return sorted(int(n.removeprefix("epoch=")) for n in names if n.startswith("epoch="))
+
+
+def used_before(spark: SparkSession, out_path: str, epoch_id: int) -> DataFrame:
+    """Money and upgrade slots each batch used in earlier micro-batches: one row per batch.
+    Without a balance (output of an earlier version) the ledger is summed once."""
+    earlier = [e for e in _balances(spark, f"{out_path}_balance") if e < epoch_id]
+    if earlier:
+        return spark.read.schema(BALANCE_SCHEMA).parquet(f"{out_path}_balance/epoch={earlier[-1]}")
+    ledger = f"{out_path}_spent"
+    spent = (spark.read.schema(SPENT_SCHEMA).parquet(ledger) if path_exists(spark, ledger)
              else spark.createDataFrame([], SPENT_SCHEMA))
     return (spent.filter(F.col("epoch_id") < epoch_id).groupBy("batch_id")
-            .agg(F.sum("spent").alias("spent"), F.sum("used").alias("used")))
+            .agg(F.sum("spent").cast(MONEY).alias("spent"), F.sum("used").alias("used")))
+
+
+def advance_balance(before: DataFrame, amounts: DataFrame, out_path: str, epoch_id: int) -> None:
+    """Write the balance after this micro-batch, then drop all but it and the one it came from."""
+    spark = before.sparkSession
+    path = f"{out_path}_balance"
+    (before.select("batch_id", "spent", "used").unionByName(amounts.select("batch_id", "spent", "used"))
+     .groupBy("batch_id").agg(F.sum("spent").cast(MONEY).alias("spent"), F.sum("used").alias("used"))
+     .write.mode("overwrite").parquet(f"{path}/epoch={epoch_id}"))
+    for old in [e for e in _balances(spark, path) if e < epoch_id][:-1]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/epoch={old}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def prescribe_micro_batch(budgets: DataFrame, out_path: str, fill_rounds: int | None = None,
@@ -64,7 +97,7 @@ def prescribe_micro_batch(budgets: DataFrame, out_path: str, fill_rounds: int |
         if scorer is not None:
             batch = materialize(scorer(batch))
         ids = batch.select("batch_id").distinct()
-        before = used_before(spark, f"{out_path}_spent", epoch_id)
+        before = used_before(spark, out_path, epoch_id)
         b = (budgets.join(ids, "batch_id").join(before, "batch_id", "left")
              .select("batch_id", F.greatest(F.col("budget").cast(MONEY) - F.coalesce("spent", F.lit(0).cast(MONEY)),
                                             F.lit(0).cast(MONEY)).alias("budget")).filter(F.col("budget").isNotNull()))
@@ -83,10 +116,11 @@ def prescribe_micro_batch(budgets: DataFrame, out_path: str, fill_rounds: int |
         rejected = ["row_key", "order_id", "price", "profit", "risk_score", "batch_id", epoch]
         write_back(out["rejected"].select(*rejected).unionByName(unpaid.select(*rejected)),
                    f"{out_path}_rejected", SINK_PARTITIONS)
-        write_back(decisions.groupBy("batch_id").agg(
+        amounts = materialize(decisions.groupBy("batch_id").agg(
             F.sum("cost").cast(MONEY).alias("spent"),
-            F.count_if(F.col("decision") == "upgrade").alias("used")).select("*", epoch),
-            f"{out_path}_spent", SINK_PARTITIONS)
+            F.count_if(F.col("decision") == "upgrade").alias("used")))
+        write_back(amounts.select("*", epoch), f"{out_path}_spent", SINK_PARTITIONS)
+        advance_balance(before, amounts, out_path, epoch_id)
     return run
 
 

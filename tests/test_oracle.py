@@ -10,7 +10,8 @@ FAST = ["scan_shipments", "audit_nulls", "target_share", "delay_rate_by_mode",
         "delay_rate_by_category", "column_redundancy", "label_dictionary", "feature_set",
         "stratified_split", "sample_batch", "metrics_auc", "classification_report",
         "allocate_two_option", "prescription_summary", "prescribe_end_to_end", "option_ledger",
-        "closed_loop_calibration", "capacity_summary", "optimal_choice"]
+        "closed_loop_calibration", "capacity_summary", "optimal_choice",
+        "closed_loop_by_key", "csv_shipments", "csv_quarantine"]
 
 
 @pytest.fixture(scope="module")
