@@ -1,18 +1,21 @@
 """Secret scans over a trigram inverted index, in DataFrame operations only.
 
-Each rule's regular expression states which literals a match must contain.
-They become a Boolean trigram query: a rule is a list of alternatives, each
-the set of all trigrams of its literals (matched without regard to case, as a
-superset).  The index has a posting (trigram, block) for each trigram of any
-query and each block of text that holds it; it is written as a table, the
-postings of a block are intersected as a bit set, and the rules' queries are
-evaluated on it.  Only candidate blocks are verified with the regular
-expression.  A rule without a mandatory trigram (a plain run of hex digits)
-scans every block.
+Each rule's regular expression is turned into a Boolean trigram query: a list
+of alternatives, each the set of all trigrams that a match by it must contain
+(without regard to case, as a superset).  ``literal_runs`` reads them off the
+parsed expression: literals join into runs, short character classes and
+branches multiply the alternatives, optional parts and wide classes end a run.
+The index has a posting (trigram, block) for each trigram of any query and each
+block of text that holds it; it is written as a table, the postings of a block
+are intersected as a bit set, and the rules' queries are evaluated on it.  Only
+candidate blocks are verified with the regular expression.  A rule without a
+mandatory trigram (a plain run of hex digits) scans every block.
 
 Positions come from ``split`` with the same expression: the pieces between
 matches and the matches alternate, so running sums of their lengths in code
-points are the starts and ends.
+points are the starts and ends.  Running sums and replacements go by chunks of
+about the square root of a text's matches, so that a text of very many matches
+does not cost the square of their number.
 
 A block is a distinct text, named by two 64-bit hashes.  Rows: null is the
 empty text, which holds nothing; equal texts share one block and get equal
@@ -21,6 +24,8 @@ spans; null ids and repeated rows stay; other columns are ignored.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -29,34 +34,84 @@ from pyspark.sql import functions as F
 from shipwise.llm.tables import kept, land, pick
 
 
+#: A character class of at most so many characters gives an alternative for each; all in all at
+#: most so many alternatives. Beyond either a run of literals ends, which only widens the query.
+CLASS, ALTERNATIVES = 8, 64
+
+
+def _members(parts: Iterable) -> list[str]:
+    """The characters of a short class, else nothing."""
+    found: set[str] = set()
+    for op, value in parts:
+        op = str(op)
+        if op == "LITERAL":
+            found.add(chr(value))
+        elif op == "RANGE" and value[1] - value[0] < CLASS:
+            found |= {chr(c) for c in range(value[0], value[1] + 1)}
+        else:
+            return []
+    return sorted(found) if len(found) <= CLASS and all(c.isascii() for c in found) else []
+
+
+def literal_runs(parsed, paths: list[tuple[str, ...]]) -> list[tuple[str, ...]]:
+    """``paths`` (alternatives: runs of literals, the last one open) led on through the expression."""
+    def end(found: list[tuple[str, ...]]) -> list[tuple[str, ...]]:
+        return list(dict.fromkeys(p if p[-1] == "" else (*p, "") for p in found))
+
+    for op, arg in parsed:
+        op = str(op)
+        if op == "LITERAL" and chr(arg).isascii():
+            paths = [(*p[:-1], p[-1] + chr(arg).lower()) for p in paths]
+        elif op == "IN" and (chars := _members(arg)) and len(paths) * len(chars) <= ALTERNATIVES:
+            paths = list(dict.fromkeys((*p[:-1], p[-1] + c.lower()) for p in paths for c in chars))
+        elif op == "SUBPATTERN":
+            paths = literal_runs(arg[-1], paths)
+        elif op == "BRANCH" and len(paths) * len(arg[1]) <= ALTERNATIVES:
+            paths = list(dict.fromkeys(q for branch in arg[1] for q in literal_runs(branch, paths)))
+        elif op in ("MAX_REPEAT", "MIN_REPEAT", "POSSESSIVE_REPEAT") and arg[0] > 0:
+            paths = literal_runs(arg[2], paths)
+            if arg[:2] != (1, 1):
+                paths = end(paths)
+        elif op not in ("AT", "ASSERT", "ASSERT_NOT"):  # what has a width and is not known ends the run
+            paths = end(paths)
+        if len(paths) > ALTERNATIVES:  # an inner branch led further than allowed: keep what they share, nothing
+            paths = [("",)]
+    return paths
+
+
+def trigram_query(pattern: str) -> list[frozenset[str]]:
+    """Alternatives of mandatory trigrams; none if some match need not hold any. An alternative that
+    asks for more than another one is left out, as the other holds wherever it does."""
+    runs = literal_runs(re._parser.parse(pattern), [("",)])
+    found = {frozenset(w[i:i + 3] for w in words for i in range(len(w) - 2)) for words in runs}
+    least = [q for q in found if not any(other < q for other in found)]
+    return [] if frozenset() in found else sorted(least, key=sorted)
+
+
 @dataclass(frozen=True)
 class SecretRule:
-    """``literals``: alternatives, each a tuple of strings that a match must contain (none: no
-    mandatory trigram).  A match counts if its group ``group`` has ``least`` characters."""
+    """A match of ``pattern`` counts if its group ``group`` has ``least`` characters. Case is ignored
+    only where the pattern says so. The pattern's syntax must mean the same to Java and Python."""
 
     name: str
     pattern: str
-    literals: tuple[tuple[str, ...], ...] = ()
     group: int = 0
     least: int = 1
     base: bool = False
 
     def query(self) -> list[frozenset[str]]:
-        found = [frozenset(w.lower()[i:i + 3] for w in words for i in range(len(w) - 2)) for words in self.literals]
-        return [] if any(not q for q in found) else found
+        return trigram_query(self.pattern)
 
 
 #: The three base rules, then the method's further ones.
 RULES = (
-    SecretRule("assign", r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
-               (("password",), ("passwd",), ("secret",), ("token",), ("api", "key")), 1, 6, True),
-    SecretRule("access", r"AKIA[A-Z0-9]+", (("AKIA",),), 0, 20, True),
-    SecretRule("hex", r"[0-9a-f]+", (), 0, 24, True),
-    SecretRule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", (("-----BEGIN ", "PRIVATE KEY-----"),)),
-    SecretRule("github", r"gh[opusr]_[A-Za-z0-9]+", (("gho_",), ("ghp_",), ("ghu_",), ("ghs_",), ("ghr_",)), 0, 40),
-    SecretRule("slack", r"xox[abeprs]-[A-Za-z0-9-]+",
-               (("xoxa-",), ("xoxb-",), ("xoxe-",), ("xoxp-",), ("xoxr-",), ("xoxs-",)), 0, 20),
-    SecretRule("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", (("eyJ",),), 0, 24),
+    SecretRule("assign", r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 6, True),
+    SecretRule("access", r"AKIA[A-Z0-9]+", 0, 20, True),
+    SecretRule("hex", r"[0-9a-f]+", 0, 24, True),
+    SecretRule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    SecretRule("github", r"gh[opusr]_[A-Za-z0-9]+", 0, 40),
+    SecretRule("slack", r"xox[abeprs]-[A-Za-z0-9-]+", 0, 20),
+    SecretRule("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 24),
 )
 
 
@@ -102,24 +157,60 @@ def candidates(index: DataFrame, rules: tuple[SecretRule, ...] = RULES) -> DataF
     return held.select("b1", "b2", wanted.alias("wanted")).where("wanted > 0")
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _chunks(values: Column) -> Column:
+    """An array cut into pieces of about the square root of its size."""
+    k = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(values))).cast("int"))
+    cut = _let(k, lambda k: F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(values) - 1) / k).cast("int")), lambda j: F.slice(values, j * k + 1, k)))
+    return F.when(F.size(values) > 0, cut).otherwise(F.slice(F.array(values), 1, 0))
+
+
+def _walk(values: Column, start: Column, step: Callable[[Column, Column], Column]) -> Column:
+    """Results of ``step(result so far, value)`` after each value of a short array of ints."""
+    return F.aggregate(
+        values, F.struct(start.alias("at"), F.array().cast("array<int>").alias("out")),
+        lambda acc, v: _let(step(acc["at"], v), lambda now: F.struct(
+            now.alias("at"), F.concat(acc["out"], F.array(now)).alias("out"))))["out"]
+
+
+def running(values: Column, step: Callable[[Column, Column], Column], whole: Callable[[Column], Column]) -> Column:
+    """``step`` led through a long array of ints from 0: chunk by chunk, each from what ``whole`` says
+    of the chunks before (an associative step: a sum, a maximum)."""
+    def ends(chunks: Column) -> Column:
+        before = _walk(F.transform(chunks, whole), F.lit(0), step)
+        return F.flatten(F.transform(chunks, lambda c, i: _walk(
+            c, F.when(i > 0, F.get(before, i - 1)).otherwise(F.lit(0)), step)))
+    return _let(_chunks(values), ends)
+
+
+def _total(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0), lambda acc, v: acc + v)
+
+
 def _spans(rule: SecretRule, k: int, text: Column) -> Column:
     """array<struct<start, kind, end>> of a rule's matches, leftmost and not overlapping."""
     pattern = F.lit(rule.pattern)
     if rule.group == 0 and rule.name == "hex":
         pattern = F.lit("[0-9a-f]{%d,}" % rule.least)  # runs are maximal, so the bound can be in the pattern
-    whole = F.regexp_extract_all(text, pattern, F.lit(0))
-    size = F.transform(whole, lambda m: F.length(m))
+    size = F.transform(F.regexp_extract_all(text, pattern, F.lit(0)), lambda m: F.length(m))
     value = size if rule.group == 0 else F.transform(F.regexp_extract_all(text, pattern, F.lit(rule.group)), lambda m: F.length(m))
     gap = F.transform(F.split(text, pattern, -1), lambda m: F.length(m))
-    walk = F.aggregate(
-        F.arrays_zip(size.alias("size"), value.alias("value"), F.slice(gap, 1, F.size(size)).alias("gap")),
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,kind:int,end:int>>").alias("out")),
-        lambda acc, m: F.struct(
-            (acc["at"] + m["gap"] + m["size"]).alias("at"),
-            F.when(m["value"] >= rule.least, F.concat(acc["out"], F.array(F.struct(
-                (acc["at"] + m["gap"]).alias("start"), F.lit(k).alias("kind"),
-                (acc["at"] + m["gap"] + m["size"]).alias("end"))))).otherwise(acc["out"]).alias("out")))
-    return walk["out"]
+
+    def placed(m: Column) -> Column:
+        ends = running(F.transform(m, lambda x: x["gap"] + x["size"]), lambda at, v: at + v, _total)
+        every = F.zip_with(m, ends, lambda x, end: F.struct(
+            (end - x["size"]).alias("start"), F.lit(k).alias("kind"), end.alias("end"), x["value"].alias("value")))
+        return F.transform(F.filter(every, lambda x: x["value"] >= rule.least),
+                           lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end")))
+
+    zipped = _let(size, lambda size: F.arrays_zip(
+        size.alias("size"), (size if rule.group == 0 else value).alias("value"), F.slice(gap, 1, F.size(size)).alias("gap")))
+    return _let(zipped, placed)
 
 
 NO_SPANS = "array<struct<start:int,kind:int,end:int>>"
@@ -161,13 +252,25 @@ def digest_columns(found: DataFrame, rules: tuple[SecretRule, ...] = RULES) -> D
 
 
 def redacted(found: DataFrame, mark: str = "[secret]") -> DataFrame:
-    """The rows with each run of overlapping spans replaced by ``mark`` in ``text``."""
+    """The rows with each run of overlapping spans replaced by ``mark`` in ``text``.
+
+    Spans are cut into chunks and the text at the chunks' ends, so that a piece between spans is
+    looked for in its chunk's part of the text only."""
+    def cut(text: Column, spans: Column, reach: Column) -> Column:
+        # the furthest end before each span: where the text that precedes it starts
+        seen = F.transform(spans, lambda s, i: F.struct(
+            s["start"].alias("start"), F.when(i > 0, F.get(reach, i - 1)).otherwise(F.lit(0)).alias("from")))
+        holes = F.filter(seen, lambda s: s["start"] >= s["from"])
+
+        def part(chunk: Column) -> Column:
+            base = F.get(chunk, F.lit(0))["from"]
+            last = F.element_at(chunk, -1)["start"]
+            return _let(F.substring(text, base + 1, last - base), lambda near: F.array_join(F.transform(
+                chunk, lambda s: F.concat(F.substring(near, s["from"] - base + 1, s["start"] - s["from"]), F.lit(mark))), ""))
+
+        pieces = F.transform(_chunks(holes), part)
+        return F.concat(F.array_join(pieces, ""), F.substring(text, F.element_at(reach, -1) + 1, F.length(text)))
+
     text, spans = F.col("text"), F.col("found")
-    walk = F.aggregate(
-        spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda acc, s: F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(s["start"] >= acc["at"], F.concat(
-                acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))).otherwise(acc["out"]).alias("out")),
-        lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    return found.withColumn("text", F.when(F.size(spans) > 0, walk).otherwise(text))
+    reach = running(F.transform(spans, lambda s: s["end"]), lambda at, v: F.greatest(at, v), lambda c: F.array_max(c))
+    return found.withColumn("text", F.when(F.size(spans) > 0, _let(reach, lambda r: cut(text, spans, r))).otherwise(text))
