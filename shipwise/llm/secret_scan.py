@@ -127,15 +127,19 @@ def _texts(docs: DataFrame, id_col: str, text_col: str, keep: tuple[str, ...]) -
 
 def postings(blocks: DataFrame, rules: tuple[SecretRule, ...] = RULES) -> DataFrame:
     """The index: (trigram, b1, b2), trigram by its place in ``trigrams(rules)``."""
+    names = F.array(*[F.lit(t) for t in trigrams(rules)])
     low = blocks.select("b1", "b2", F.lower("text").alias("low"))
-    held = F.array(*[F.when(F.contains("low", F.lit(t)), i) for i, t in enumerate(trigrams(rules))])
-    return low.select("b1", "b2", F.array_compact(held).alias("t")).select("b1", "b2", F.explode("t").alias("trigram"))
+    if not trigrams(rules):
+        return low.select("b1", "b2", F.lit(0).alias("trigram")).where(F.lit(False))
+    # a filter of the constant list: the same test written out once for each trigram is too much code to be compiled
+    held = F.filter(F.sequence(F.lit(0), F.size(names) - 1), lambda i: F.contains("low", F.get(names, i)))
+    return low.select("b1", "b2", F.explode(held).alias("trigram"))
 
 
 def candidates(index: DataFrame, rules: tuple[SecretRule, ...] = RULES) -> DataFrame:
     """(b1, b2, wanted): a bit for each rule whose trigram query the block's postings satisfy."""
     place = {t: i for i, t in enumerate(trigrams(rules))}
-    words = -(-len(place) // 62)
+    words = max(1, -(-len(place) // 62))
     sets = [F.bit_or(F.when((F.col("trigram") >= 62 * w) & (F.col("trigram") < 62 * (w + 1)),
                             F.expr(f"shiftleft(1L, cast(trigram - {62 * w} as int))")).otherwise(F.lit(0).cast("long"))
                      ).alias(f"w{w}") for w in range(words)]

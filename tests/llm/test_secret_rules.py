@@ -63,3 +63,10 @@ def test_very_many_secrets_in_one_text(spark):
             at = max(at, b)
         assert clean[d] == "".join(want) + t[at:]
     assert not re.search("abcdef12|a{24}", clean[0])
+
+
+def test_rules_without_trigrams_scan_all(spark):
+    hexes = tuple(r for r in secret_scan.RULES if r.name == "hex")
+    frame = spark.createDataFrame([(1, "x " + "0f" * 12), (2, None)], "doc_id long, text string")
+    found = {r["id"]: [(s.start, s.end) for s in r["found"]] for r in secret_scan.scan(frame, rules=hexes).collect()}
+    assert found == {1: [(2, 26)], 2: []}
