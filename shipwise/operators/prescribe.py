@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.columns import cents_to_money, clip_lower, round_half_up, to_cents
+from ..session import materialize
 from .allocate import MONEY, allocate_best
 from .core import improve
 
@@ -170,7 +171,7 @@ def prescribe(scored: DataFrame, budgets: DataFrame | None = None, part: str = "
     options = build_options(scored, params)
     valid, rejected = split_rejected(options)
     if budgets is None:
-        budgets = derived_budgets(valid, part)
+        budgets = materialize(derived_budgets(valid, part))  # the allocation and the summaries read them
     if isinstance(capacities, str):
         if capacities != "derived":
             raise ValueError(f"unknown capacities: {capacities}")

@@ -97,25 +97,62 @@ def largest_remainder(counts: dict, num: int, den: int) -> dict:
     return base
 
 
+def _test_rows(k: dict, label: str):
+    """Test rows of the row's class, as a column."""
+    out = F.lit(0)
+    for c, n in sorted(k.items()):
+        out = F.when(F.col(label) == F.lit(c), F.lit(n)).otherwise(out)
+    return out
+
+
+def _last_of_class(base: DataFrame, fine: DataFrame, k: dict, label: str, key: str) -> list:
+    """(class, hash, key) of the k-th row of each class that has a k: one row a class."""
+    before = Window.partitionBy(label).orderBy("__fb").rowsBetween(Window.unboundedPreceding, -1)
+    holds = (fine.withColumns({"__off": F.coalesce(F.sum("__n").over(before), F.lit(0)), "__k": _test_rows(k, label)})
+             .filter((F.col("__off") < F.col("__k")) & (F.col("__k") <= F.col("__off") + F.col("__n")))
+             .select(F.col(label).alias("__c"), "__fb", "__off", "__k"))
+    inside = base.join(bounded_broadcast(holds), (F.col(label) == F.col("__c")) & (F.substring("__h", 1, 4) == F.col("__fb")))
+    rank = F.col("__off") + F.row_number().over(Window.partitionBy("__c").orderBy("__h", key))
+    return inside.select("__c", "__h", F.col(key).alias("__key"), "__k", rank.alias("__r")).filter("__r = __k").collect()
+
+
+def _up_to(last: list, base: DataFrame, label: str, key: str):
+    """Is the row at or before its class's last row? (hash, key) is a total order."""
+    out, type_ = F.lit(False), base.schema[key].dataType
+    for r in last:
+        same = (F.col("__h") == r["__h"]) & (F.col(key) <= F.lit(r["__key"]).cast(type_))
+        out = F.when(F.col(label) == r["__c"], (F.col("__h") < r["__h"]) | same).otherwise(out)
+    return out
+
+
 def stratified_split(df: DataFrame, label: str = C.TARGET_COL, key: str = "row_key",
                      seed: int = C.SPLIT_SEED, num: int = C.TEST_FRACTION_NUM,
-                     den: int = C.TEST_FRACTION_DEN, n_folds: int = C.N_FOLDS) -> DataFrame:
-    """Adds ``split`` ('train'/'test') and ``fold`` (train rows only).
+                     den: int = C.TEST_FRACTION_DEN, n_folds: int = C.N_FOLDS,
+                     folds: bool = True) -> DataFrame:
+    """Adds ``split`` ('train'/'test') and ``fold`` (train rows only). Rows without a label have no class and are left out.
 
     Within each class rows are ordered by md5(seed|key); the first k_class are
     test, k shared over classes by largest remainder; the train rows' fold is
     their rank among train rows modulo n_folds.
 
-    Two passes over the input: (1) counts per (class, 4-hex-digit bucket),
-    a table bounded by 2 × 65,536 rows, from which the class sizes and the
-    bucket offsets are derived; (2) the rank inside (class, bucket).
+    The input runs once: its rows are landed with their hash, so pass only the
+    columns that are needed. Two passes over the landed rows follow: (1)
+    counts per (class, 4-hex-digit bucket), a table bounded by 2 × 65,536
+    rows, from which the class sizes and the bucket offsets are derived; (2)
+    the rank inside (class, bucket). Without ``folds`` only the last test row
+    of each class is looked for, in the one bucket that holds it, and every
+    row is told by comparing it with that row: nothing else is shuffled.
     """
     h, fb = "__h", "__fb"
-    base = df.filter(F.col(label).isNotNull()).withColumn(h, seeded_hash(seed, key))
+    base = materialize(df.filter(F.col(label).isNotNull()).withColumn(h, seeded_hash(seed, key)))
     fine = materialize(base.groupBy(label, F.substring(h, 1, 4).alias(fb))
                        .agg(F.count(F.lit(1)).alias("__n")))
     counts = {r[0]: r[1] for r in fine.groupBy(label).agg(F.sum("__n")).collect()}
     k = largest_remainder(counts, num, den)
+    if not folds:
+        last = _last_of_class(base, fine, k, label, key)
+        split = F.when(_up_to(last, base, label, key), F.lit("test")).otherwise(F.lit("train"))
+        return base.withColumn("split", split).drop(h)
     digits = min(4, hex_digits_for(sum(counts.values())))
     b = "__bucket"
     per_b = fine.groupBy(label, F.substring(fb, 1, digits).alias(b)).agg(F.sum("__n").alias("__n"))
@@ -125,8 +162,7 @@ def stratified_split(df: DataFrame, label: str = C.TARGET_COL, key: str = "row_k
     inner = Window.partitionBy(label, b).orderBy(h, key)
     ranked = (base.withColumn(b, F.substring(h, 1, digits)).join(offsets, on=[label, b])
               .withColumn("__rank", (F.col("__off") + F.row_number().over(inner) - 1).cast("bigint")))
-    k_col = F.create_map(*[x for c, v in sorted(k.items()) for x in (F.lit(c), F.lit(v))])
-    kc = k_col[F.col(label)]
+    kc = _test_rows(k, label)
     return (ranked
             .withColumn("split", F.when(F.col("__rank") < kc, F.lit("test")).otherwise(F.lit("train")))
             .withColumn("fold", F.when(F.col("__rank") >= kc,

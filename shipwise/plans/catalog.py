@@ -2,8 +2,8 @@
 
 Every query reads the test tables through the derived ``shipments`` view and
 runs on whole tables. The stages they share (clean → split → score →
-options → allocation) are plain functions, so each query's plan is one
-lazy DataFrame plan that Catalyst optimises end to end.
+options → allocation) are plain functions on DataFrames; rows that several
+stages read are landed once, and Catalyst optimises what lies between.
 """
 
 from __future__ import annotations
@@ -39,20 +39,18 @@ def cleaned(spark, d) -> DataFrame:
     return cl.clean(shipments(spark, d))
 
 
-def split(spark, d) -> DataFrame:
-    return rk.stratified_split(cleaned(spark, d))
+def split(spark, d, *columns: str, folds: bool = True) -> DataFrame:
+    """The split rows with only the columns named (all, if none is)."""
+    rows = cleaned(spark, d)
+    return rk.stratified_split(rows.select(*columns) if columns else rows, folds=folds)
 
 
-# what scoring and the prescription queries read of the split
-SCORING_COLS = ("row_key", "order_id", C.TARGET_COL, "split", *sc.CELL_KEYS,
-                "order_country", "price", "profit")
+# what scoring and the prescription queries read of the orders
+SCORING_COLS = ("row_key", "order_id", C.TARGET_COL, *sc.CELL_KEYS, "order_country", "price", "profit")
 
 
 def scored_test(spark, d) -> DataFrame:
-    # the split is read twice (cells from train, scores for test): land it
-    # once, with only the columns read later; the projection reaches below
-    # the rank window, so its shuffle, sort and the write carry only these
-    return sc.score_with_cells(materialize(split(spark, d).select(*SCORING_COLS)))
+    return sc.score_with_cells(split(spark, d, *SCORING_COLS, folds=False))
 
 
 def batched(spark, d) -> DataFrame:
@@ -75,7 +73,7 @@ def records(spark, d) -> DataFrame:
 def sample_batch(spark, d, n: int = C.DEFAULT_BATCH_ORDERS, seed: int = C.DEFAULT_SAMPLE_SEED,
                  budget: float = C.DEFAULT_BUDGET):
     """The reference's entry point: n test orders sampled by seed, one budget."""
-    sample = rk.sample_orders(scored_test(spark, d), n, seed).withColumn("batch_id", F.lit("sample"))
+    sample = rk.sample_orders(materialize(scored_test(spark, d)), n, seed).withColumn("batch_id", F.lit("sample"))
     budgets = spark.range(1).select(F.lit("sample").alias("batch_id"),
                                     F.lit(budget).alias("budget"))
     return sample, budgets
@@ -104,6 +102,11 @@ def q_target_share(spark, d):
     return pr.class_share(shipments(spark, d), C.TARGET_COL)
 
 
+def q_column_types(spark, d):
+    """Shape, type and nulls of every column, and how many columns share its type."""
+    return pr.column_profile(shipments(spark, d)).drop("approx_distinct")
+
+
 def q_status_counts(spark, d):
     return pr.value_counts(shipments(spark, d), "delivery_status")
 
@@ -150,15 +153,15 @@ def q_encode_leftover(spark, d):
 
 
 def q_encode_unseen(spark, d):
-    s = split(spark, d)
-    dictionary = fe.fit_dictionary(s.filter(F.col("split") == "train"), C.CATEGORICAL_COLS)
+    s = split(spark, d, "row_key", C.TARGET_COL, *C.CATEGORICAL_COLS, folds=False)
+    dictionary = materialize(fe.fit_dictionary(s.filter(F.col("split") == "train"), C.CATEGORICAL_COLS))
     test = fe.apply_dictionary(s.filter(F.col("split") == "test"), dictionary, C.CATEGORICAL_COLS)
     return fe.unseen_counts(test, C.CATEGORICAL_COLS)
 
 
 def q_encode_saved(spark, d):
     """New orders (the test rows) encoded with a dictionary that was saved and loaded again."""
-    s = materialize(split(spark, d))
+    s = split(spark, d, folds=False)
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/bundles/{uuid.uuid4().hex}"
     bundle.save(bundle.fit_encoding(s.filter(F.col("split") == "train")), path)
     saved = bundle.load(spark, path)
@@ -167,21 +170,22 @@ def q_encode_saved(spark, d):
 
 
 def q_stratified_split(spark, d):
-    return split(spark, d).select("row_key", C.TARGET_COL, "split", "fold")
+    return split(spark, d, "row_key", C.TARGET_COL).select("row_key", C.TARGET_COL, "split", "fold")
 
 
 def q_split_balance(spark, d):
-    return pr.class_share(split(spark, d).filter(F.col("split") == "train"), C.TARGET_COL)
+    return pr.class_share(split(spark, d, "row_key", C.TARGET_COL, folds=False).filter(F.col("split") == "train"), C.TARGET_COL)
 
 
 def q_stratified_folds(spark, d):
-    return (split(spark, d).filter(F.col("split") == "train")
+    return (split(spark, d, "row_key", C.TARGET_COL).filter(F.col("split") == "train")
             .groupBy("fold", C.TARGET_COL).agg(F.count(F.lit(1)).alias("n")))
 
 
 def q_sample_batch(spark, d):
-    test = split(spark, d).filter(F.col("split") == "test")
-    return rk.sample_orders(test).select("row_key", "order_id", "shipping_mode", "price", "profit")
+    wanted = ("row_key", "order_id", "shipping_mode", "price", "profit")
+    test = split(spark, d, *wanted, C.TARGET_COL, folds=False).filter(F.col("split") == "test")
+    return rk.sample_orders(test).select(*wanted)
 
 
 def q_cell_scores(spark, d):
@@ -256,8 +260,9 @@ def q_multi_option_summary(spark, d):
         F.sum(F.when(F.col("decision") == "upgrade", F.col("cost"))).cast("double").alias("upgrade_spend"),
         F.sum(F.when(F.col("decision") == "discount", F.col("cost"))).cast("double").alias("discount_spend"),
         F.sum("cost").cast("double").alias("total_cost"),
-        F.sum("base_expected_loss").alias("__before"),
-        F.sum("expected_loss_after").alias("__after"))
+        # decimals: sums of doubles depend on the order of their rows
+        F.sum(F.col("base_expected_loss").cast("decimal(28,10)")).cast("double").alias("__before"),
+        F.sum(F.col("expected_loss_after").cast("decimal(28,10)")).cast("double").alias("__after"))
     return agg.select(
         "batch_id", "upgrade_spend", "discount_spend", "total_cost",
         round_half_up("__before", 2).alias("loss_before"),
@@ -339,6 +344,14 @@ def q_board_view(spark, d):
     return board.board_view(records(spark, d))
 
 
+def q_board_money(spark, d):
+    """Money as a card shows it: value at risk, cost and what the order is expected to lose still."""
+    return records(spark, d).select("row_key", "batch_id", board.money_text("value_at_risk").alias("value_text"),
+                                    board.money_text("cost").alias("cost_text"),
+                                    board.money_text("expected_loss_after").alias("loss_text"),
+                                    board.money_text("cost", 0).alias("cost_whole_text"))
+
+
 def q_board_filtered(spark, d):
     return board.board_filter(records(spark, d), "discount").select(
         "row_key", "batch_id", "risk_score", "decision", "cost")

@@ -424,6 +424,16 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_count FROM shipments"
         for c in cols)
     q["audit_nulls"] = S + f"SELECT * FROM ({unions}) WHERE null_count > 0"
+    types = " UNION ALL ".join(
+        f"SELECT {i} AS position, '{c}' AS column_name, max(typeof({c})) AS duck_type, "
+        f"count(*) - count({c}) AS null_count, count(*) AS n_rows FROM shipments" for i, c in enumerate(cols))
+    q["column_types"] = S + f"""
+, cols AS (
+  SELECT * EXCLUDE (duck_type), CASE duck_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int'
+    WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(duck_type) END AS data_type FROM ({types}))
+SELECT position, column_name, data_type, null_count, n_rows, (SELECT count(*) FROM cols) AS n_columns,
+  count(*) OVER (PARTITION BY data_type) AS columns_of_type
+FROM cols"""
     q["target_share"] = S + f"""
 , counts AS (SELECT late_delivery_risk, count(*) AS n FROM shipments
              WHERE late_delivery_risk IS NOT NULL GROUP BY 1)
@@ -598,6 +608,7 @@ SELECT a.batch_id, CAST(b.budget AS DOUBLE) AS budget, {money('cost_c')} AS spen
 FROM agg a LEFT JOIN budgets b ON a.batch_id = b.batch_id"""
 
     MULTI = _prescribed()
+    LOSS = "CAST(sum(CAST({} AS DECIMAL(28,10))) AS DOUBLE)"
     q["allocate_multi_option"] = MULTI + f"""
 SELECT row_key, batch_id, decision, CAST(cost AS DOUBLE) AS cost,
        {r('expected_loss_after', 6)} AS expected_loss_after FROM dec"""
@@ -606,8 +617,8 @@ SELECT batch_id,
   CAST(sum(CASE WHEN decision = 'upgrade' THEN cost END) AS DOUBLE) AS upgrade_spend,
   CAST(sum(CASE WHEN decision = 'discount' THEN cost END) AS DOUBLE) AS discount_spend,
   CAST(sum(cost) AS DOUBLE) AS total_cost,
-  {r('sum(base_expected_loss)', 2)} AS loss_before, {r('sum(expected_loss_after)', 2)} AS loss_after,
-  {r('(sum(base_expected_loss) - sum(expected_loss_after)) * 100.0 / NULLIF(sum(base_expected_loss), 0)', 1)}
+  {r(LOSS.format('base_expected_loss'), 2)} AS loss_before, {r(LOSS.format('expected_loss_after'), 2)} AS loss_after,
+  {r(f"({LOSS.format('base_expected_loss')} - {LOSS.format('expected_loss_after')}) * 100.0 / NULLIF({LOSS.format('base_expected_loss')}, 0)", 1)}
     AS loss_reduction_pct
 FROM dec GROUP BY batch_id"""
     CAP = _prescribed(capacity=True)
@@ -644,6 +655,11 @@ SELECT row_key, batch_id,
   CASE WHEN risk_score > {C.RISK_BAND_HIGH} THEN 'high'
        WHEN risk_score > {C.RISK_BAND_MEDIUM} THEN 'medium' ELSE 'low' END AS risk_band,
   decision, CASE decision {labels} END AS decision_label, value_at_risk, cost
+FROM flat"""
+    q["board_money"] = REC + """
+SELECT row_key, batch_id, printf('%.2f', value_at_risk) AS value_text, printf('%.2f', cost) AS cost_text,
+  printf('%.2f', expected_loss_after) AS loss_text,
+  CAST(CAST(floor(cost + 0.5) AS BIGINT) AS VARCHAR) AS cost_whole_text
 FROM flat"""
     q["board_filtered"] = REC + """
 SELECT row_key, batch_id, risk_score, decision, cost FROM flat WHERE decision = 'discount'"""
