@@ -13,7 +13,11 @@ with one of the template's wordings, the words may differ by at most
 and the wording's naming words must be in it or right behind it (only wordings
 that name a license or its version have any).  The rest of the block is looked
 at again, so a block may hold several notices.  A whole line with a license
-word is also compared as such, with all of a template's text.
+word is also compared as such, with all of a template's text.  A notice that
+its own sentence denies or puts in the past ("is not", "were once", "no
+longer", up to ``said`` words before it, or inside it beyond the wording's own)
+counts for nothing.  An SPDX line is a wording of its template; an
+expression of several ids is read as a line for each.
 
 Distinct blocks are compared once, however often they occur, and their verdict
 is joined back; a hot block is one row of that join.  Rows: null and empty
@@ -47,6 +51,8 @@ class Wording:
     barred: tuple[str, ...] = ()
 
 
+#: Words that deny a notice or put it in the past.
+DENIALS = frozenset("not never isn aren wasn weren cannot once formerly previously longer".split())
 _GPL_OTHERS = ("lesser", "affero")
 _BSD_OTHERS = ("0", "2", "4", "zero", "two", "simplified")
 _BSD_TERMS = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
@@ -89,6 +95,32 @@ TEMPLATES = {
                 ("gnu", "lesser", "general", "public"), ("2",)),
         Wording("This library is free software; you can redistribute it under the terms of the GNU Lesser General "
                 "Public License as published by the Free Software Foundation.", ("gnu", "lesser", "general", "public"), ("2",))),
+    "LGPL-2.1": (
+        Wording("This work is licensed under the GNU Lesser General Public License, version 2.1.",
+                ("gnu", "lesser", "general", "public", "2", "1"), ("3",)),
+        Wording("This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+                "Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) "
+                "any later version.", ("gnu", "lesser", "general", "public", "2", "1"), ("3",))),
+    "AGPL-3.0": (
+        Wording("This work is licensed under the GNU Affero General Public License, version 3.",
+                ("gnu", "affero", "general", "public", "3")),
+        Wording("This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+                "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) "
+                "any later version.", ("gnu", "affero", "general", "public", "3"))),
+    "ISC": (
+        Wording("Licensed under the ISC License.", ("isc",)),
+        Wording("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+                "granted, provided that the above copyright notice and this permission notice appear in all copies.")),
+    "BSL-1.0": (
+        Wording("Distributed under the Boost Software License, Version 1.0.", ("boost", "software")),),
+    "Unlicense": (
+        Wording("This is free and unencumbered software released into the public domain.", ("unencumbered",)),),
+    "CC0-1.0": (
+        Wording("To the extent possible under law, the author has dedicated all copyright and related and neighboring rights to this "
+                "work to the public domain worldwide under the CC0 1.0 Universal license.", ("cc", "0")),),
+    "EPL-2.0": (
+        Wording("This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0.",
+                ("eclipse", "public", "2")),),
     "BSD-3-Clause": (
         Wording("Licensed under the BSD 3-Clause License.", ("bsd",), _BSD_OTHERS),
         Wording("Released under the BSD License.", ("bsd",), _BSD_OTHERS),
@@ -118,6 +150,10 @@ TEMPLATES = {
                 "copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
                 ("mozilla", "public"), ("1",))),
 }
+#: Words of an id that another license's id adds to it.
+_LONGER_IDS = {"CC-BY-4.0": ("sa", "nc", "nd"), "CC-BY-SA-4.0": ("nc",), "CC-BY-NC-4.0": ("sa", "nd")}
+TEMPLATES = {name: (*wordings, Wording(f"SPDX-License-Identifier: {name}", ("spdx", *re.findall(r"[a-z]+|\d+", name.lower())),
+                                       _LONGER_IDS.get(name, ()))) for name, wordings in TEMPLATES.items()}
 #: Words of which a candidate block holds one (in lower case).
 MARKS = r"licen[cs]e|copyright|permission[^a-z0-9]+is|redistribution|creative[^a-z0-9]+commons|public[^a-z0-9]+domain"
 _MARKS, _LINES = re.compile(MARKS), re.compile(r"[^\r\n]+")
@@ -129,7 +165,8 @@ CUT = "\x1f"
 class LicenseParams:
     """``least``: share of a part's compressed size that a template must save; ``cover``: share of
     a wording's words that a part must hold (``enough`` words suffice); ``gap``: most other words
-    between two pieces of a block; ``reach``: words behind a part that may name its version."""
+    between two pieces of a block; ``reach``: words behind a part that may name its version;
+    ``said``: words before a part that may deny it."""
 
     least: float = 0.25
     differences: float = 0.25
@@ -138,6 +175,7 @@ class LicenseParams:
     enough: int = 24
     gap: int = 8
     reach: int = 3
+    said: int = 4
 
 
 def words(text: str) -> list[str]:
@@ -149,6 +187,18 @@ def _placed(text: str) -> list[tuple[str, int, int]]:
     return [(m.group().lower(), m.start(), m.end()) for m in re.finditer(r"[A-Za-z]+|\d+", text)]
 
 
+_EXPRESSION = re.compile(r"(SPDX-License-Identifier:[ \t]*)([^\r\n]*?[ \t)](?:OR|AND)[ \t(][^\r\n]*)")
+
+
+def _expanded(m: re.Match) -> str:
+    return "\n".join(m.group(1) + one.strip(" \t()") for one in re.split(r"\b(?:OR|AND)\b", m.group(2)))
+
+
+def denied(text: str, placed: list[tuple[str, int, int]], at: int, said: int) -> bool:
+    """Does one of the ``said`` words before word ``at``, in its sentence, deny what follows?"""
+    return any(w in DENIALS and not re.search(r"[.;!?]\s", text[end:placed[at][1]]) for w, _, end in placed[max(0, at - said):at])
+
+
 class Blocks:
     """Finds the candidate blocks of a text."""
 
@@ -160,6 +210,7 @@ class Blocks:
             self.pieces.update(x for x in zip(own, own[1:]) if named & set(x))
 
     def of(self, text: str) -> list[str]:
+        text = _EXPRESSION.sub(_expanded, text)
         placed = _placed(text)
         own = [w for w, _, _ in placed]
         runs: list[list[int]] = []  # first word, word after the last
@@ -180,7 +231,8 @@ class Blocks:
             while lines[last][1] < hi:
                 last += 1
             before, behind = text[lines[at][0]:lo], text[hi:lines[last][1]]
-            start = CUT if len(words(before)) > self.p.gap or taken and taken[-1][1] > lines[at][0] else before
+            cut = CUT + ("not " if denied(text, placed, a, self.p.said) else "")  # what is cut off may deny the notice
+            start = cut if len(words(before)) > self.p.gap or taken and taken[-1][1] > lines[at][0] else before
             # two blocks share no words
             shared = k + 1 < len(runs) and placed[runs[k + 1][0]][1] < lines[last][1]
             end = CUT if shared or len(words(behind)) > self.p.gap else behind
@@ -256,6 +308,8 @@ class Matcher:
             if not held.issuperset(w.names):
                 continue
             a, b, same, d = self.aligned(own, matcher)
+            if sum(x in DENIALS for x in own[a:b]) > sum(x in DENIALS for x in matcher.b):
+                continue
             near = set(own[a:b + self.p.reach])
             if (same >= min(self.p.cover * len(matcher.b), self.p.enough) and d <= self.p.differences * (b - a)
                     and near.issuperset(w.names) and not near.intersection(w.barred)
@@ -266,6 +320,8 @@ class Matcher:
     def line(self, line: str) -> tuple[str, float, int] | None:
         """The verdict on a whole line."""
         own = words(line)
+        if DENIALS.intersection(own):
+            return None
         for saved, name in self.ranked(line):
             if any(w.names and set(w.names) <= set(own) and not set(w.barred) & set(own) for w, _ in self.wordings[name]):
                 d = self.differences(line, name)
@@ -274,7 +330,7 @@ class Matcher:
         return None
 
     def _in(self, block: str, placed: list[tuple[str, int, int]], lo: int, hi: int) -> Iterator[tuple[str, float, int, int, int]]:
-        """(license, reduction, differences, start, end in the block) of the notices in words lo to hi."""
+        """(license, reduction, differences, start, end in the block) of the notices in words lo to hi; a denied one has no license."""
         while lo < hi:
             end = min(hi, lo + self.window)
             own = [w for w, _, _ in placed[lo:end]]
@@ -285,7 +341,7 @@ class Matcher:
                     saved = self.saved(block[start:stop], name)
                     if saved >= self.p.least:
                         yield from self._in(block, placed, lo, lo + a)
-                        yield name, saved, d, start, stop
+                        yield "" if denied(block, placed, lo + a, self.p.said) else name, saved, d, start, stop
                         lo += b
                         break
             else:
@@ -295,7 +351,7 @@ class Matcher:
         """(license, reduction, differences) of each confirmed notice of the block."""
         placed = _placed(block)
         found = list(self._in(block, placed, 0, len(placed)))
-        out = [x[:3] for x in found]
+        out = [x[:3] for x in found if x[0]]
         for m in _LINES.finditer(block):
             line = m.group()
             if CUT not in line and _MARKS.search(line.lower()) and not any(s < m.end() and e > m.start() for *_, s, e in found):
