@@ -51,3 +51,27 @@ def test_spread_only_for_tables_in_a_handful_of_files(spark, tmp_dir):
     df = spark.read.parquet(many)
     assert len(df.inputFiles()) == 6
     assert "RoundRobinPartitioning" not in _plan(spread(df))
+
+
+def _shuffles_above(plan, table):
+    """Hash exchanges between the root and the scan of ``table``, by the tree's indentation."""
+    tree = [(len(ln) - len(ln.lstrip(" :+-")), ln) for ln in plan.splitlines() if ln.strip(" :+-")]
+    at = next(i for i, (_, ln) in enumerate(tree) if "FileScan" in ln and f"{table}.parquet" in ln)
+    depth, found = tree[at][0], 0
+    for d, ln in reversed(tree[:at]):
+        if d < depth:
+            depth, found = d, found + ("Exchange hashpartitioning" in ln)
+    return found
+
+
+def test_lineitem_is_shuffled_twice_and_narrow(spark):
+    from shipwise.sources.tables import shipments
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for large tables
+    try:
+        plan = _plan(shipments(spark, SF001))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert _shuffles_above(plan, "lineitem") == 2
+    assert _shuffles_above(plan, "orders") == 2
+    assert "Exchange hashpartitioning(l_partkey" in plan and "Exchange hashpartitioning(l_orderkey" in plan
