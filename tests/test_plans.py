@@ -75,3 +75,17 @@ def test_lineitem_is_shuffled_twice_and_narrow(spark):
     assert _shuffles_above(plan, "lineitem") == 2
     assert _shuffles_above(plan, "orders") == 2
     assert "Exchange hashpartitioning(l_partkey" in plan and "Exchange hashpartitioning(l_orderkey" in plan
+
+
+def test_csv_on_the_way_and_wide_landed_rows_are_compressed(spark, tmp_dir):
+    import glob
+    from shipwise.session import materialize
+    from shipwise.sources import orders_csv
+    df = spark.range(100).selectExpr("cast(id as string) as row_key", "id * 1.0d as price")
+    orders_csv.write_csv(orders_csv.as_file_columns(df), f"{tmp_dir}/z", compression="gzip")
+    assert glob.glob(f"{tmp_dir}/z/*.csv.gz")
+    back = orders_csv.intake(spark, f"{tmp_dir}/z")
+    assert back.quarantine.isEmpty()
+    assert back.rows.select("row_key", "price").exceptAll(df).isEmpty() and back.rows.count() == 100
+    assert all(".zstd." in f for f in back.rows.inputFiles())
+    assert materialize(df, "zstd").count() == 100
