@@ -21,6 +21,7 @@ repeats encode alike; other columns stay as asked for by ``keep``.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 from collections.abc import Iterator
 
@@ -35,6 +36,9 @@ from shipwise.llm.words import blocks, string_buffers
 
 #: Text encoded at a time, in bytes (at least one whole text).
 BATCH_BYTES = 2 << 20
+#: New pre-tokens merged in one queue, in bytes (at least one whole pre-token): its lists take some
+#: 100 bytes for each, which should stay in a core's cache.
+QUEUE_BYTES = 1 << 15
 
 
 def read_ranks(raw: bytes) -> dict[bytes, int]:
@@ -59,6 +63,17 @@ class RankQueue:
         else:
             bucket.append(position)
 
+    def fill(self, ranks: np.ndarray) -> None:
+        """Puts all positions into the empty queue, at the rank given for each; -1 stays out."""
+        order = np.argsort(ranks, kind="stable")
+        order = order[np.searchsorted(ranks[order], 0):]
+        used, first = np.unique(ranks[order], return_index=True)
+        for rank, positions in zip(used.tolist(), np.split(order, first[1:])):
+            self.buckets[rank] = positions.tolist()
+            hi = rank >> 8
+            self.leaves[hi] = self.leaves.get(hi, 0) | 1 << (rank & 255)
+            self.root |= 1 << hi
+
     def take(self) -> tuple[int, list[int]]:
         """The lowest rank in use and its positions, which leave the queue; -1 if there are none."""
         if not self.root:
@@ -80,6 +95,8 @@ class ByteBpe:
         self.ranks = ranks
         self.bytes_of = {i: b for b, i in ranks.items()}
         self.single = [ranks[bytes([b])] for b in range(256)]
+        self.single_of = np.array(self.single, np.int32)
+        self.of_bytes = np.array([ranks.get(bytes([a, b]), -1) for a in range(256) for b in range(256)], np.int32)
         self.pattern = regex.compile(pattern)
         self.remember = remember
         self.spelled = {str(i): b for i, b in self.bytes_of.items()}
@@ -98,29 +115,25 @@ class ByteBpe:
             r = pairs[a << 20 | b] = ranks.get(bytes_of[a] + bytes_of[b], -1)
             return r
 
-        table = self.single
-        ids: list[int] = []
-        starts = []
-        for raw in raws:
-            starts.append(len(ids))
-            ids.extend([table[b] for b in raw])
-        n = len(ids)
-        starts.append(n)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        pair = [-1] * n
+        raw = np.frombuffer(b"".join(raws), np.uint8)
+        n = len(raw)
+        ends = np.cumsum([len(r) for r in raws], dtype=np.int64)
+        filled = ends[np.diff(ends, prepend=0) > 0]
+        ids: list[int] = self.single_of[raw].tolist()
+        links = np.arange(1, n + 1)
+        links[filled - 1] = -1
+        after = links.tolist()
+        links = np.arange(-1, n - 1)
+        links[filled[:-1]] = -1
+        before = links.tolist()
+        firsts = np.full(n, -1, np.int32)
+        firsts[:-1] = self.of_bytes[raw[:-1].astype(np.int32) << 8 | raw[1:]]
+        firsts[filled - 1] = -1
+        pair = firsts.tolist()
         queue = RankQueue()
-        put, known = queue.put, pairs.get
-        for lo, hi in zip(starts, starts[1:]):
-            if hi > lo:
-                before[lo], after[hi - 1] = -1, -1
-            for i in range(lo, hi - 1):
-                a, b = ids[i], ids[i + 1]
-                r = known(a << 20 | b)
-                if r is None:
-                    r = rank_of(a, b)
-                if r >= 0:
-                    pair[i] = r
-                    put(r, i)
+        if n:
+            queue.fill(firsts)
+        put, known, waiting = queue.put, pairs.get, queue.buckets.get
         while True:
             rank, bucket = queue.take()
             if rank < 0:
@@ -131,7 +144,7 @@ class ByteBpe:
                     continue  # stale: one side was merged away
                 j = after[i]
                 k = after[j]
-                ids[i], after[i], pair[j] = rank, k, -1
+                ids[i], after[i], ids[j], pair[j] = rank, k, -1, -1
                 lowest = rank
                 if k >= 0:
                     before[k] = i
@@ -140,7 +153,11 @@ class ByteBpe:
                         r = rank_of(rank, ids[k])
                     pair[i] = r
                     if r >= 0:
-                        put(r, i)
+                        others = waiting(r)
+                        if others is None:
+                            put(r, i)
+                        else:
+                            others.append(i)
                         if r < lowest:
                             lowest = r
                 else:
@@ -152,21 +169,32 @@ class ByteBpe:
                         r = rank_of(ids[h], rank)
                     pair[h] = r
                     if r >= 0:
-                        put(r, h)
+                        others = waiting(r)
+                        if others is None:
+                            put(r, h)
+                        else:
+                            others.append(h)
                         if r < lowest:
                             lowest = r
                 if lowest < rank:  # a new pair goes first; the rest of the bucket waits
                     for rest in bucket[at + 1:]:
                         put(rank, rest)
                     break
-        out = []
-        for lo, hi in zip(starts, starts[1:]):
-            own, i = [], lo if hi > lo else -1
-            while i >= 0:
-                own.append(ids[i])
-                i = after[i]
-            out.append(own)
-        return out
+        merged = np.array(ids, np.int32)
+        left = merged >= 0
+        merged = merged[left].tolist()
+        stops = np.append(0, np.cumsum(left))[ends].tolist() if n else [0] * len(raws)
+        return [merged[lo:hi] for lo, hi in zip([0, *stops], stops)]
+
+    def _merge_all(self, raws: list[bytes]) -> Iterator[list[int]]:
+        """The ids of each pre-token, some ``QUEUE_BYTES`` of them in a queue."""
+        lo = size = 0
+        for hi, raw in enumerate(raws):
+            if size and size + len(raw) > QUEUE_BYTES:
+                yield from self.merge(raws[lo:hi])
+                lo, size = hi, 0
+            size += len(raw)
+        yield from self.merge(raws[lo:])
 
     def _learn(self, pieces: set[str]) -> None:
         """Puts the ids of new pieces of text into the tables."""
@@ -175,7 +203,7 @@ class ByteBpe:
         cut = {p: self.pattern.findall(p) for p in pieces}
         if len(self.tokens) > self.remember:
             self.tokens.clear()
-        new = list({t for ts in cut.values() for t in ts if t not in self.tokens})
+        new = set().union(*cut.values()).difference(self.tokens)
         todo = []
         for t in new:
             whole = self.ranks.get(raw := t.encode())
@@ -183,11 +211,11 @@ class ByteBpe:
                 self.tokens[t] = str(whole)
             else:
                 todo.append((t, raw))
-        for (t, _), ids in zip(todo, self.merge([raw for _, raw in todo]), strict=True):
+        for (t, _), ids in zip(todo, self._merge_all([raw for _, raw in todo]), strict=True):
             self.tokens[t] = " ".join(map(str, ids))
         spelled = self.tokens
         for p, ts in cut.items():
-            self.pieces[p] = " ".join([spelled[t] for t in ts])
+            self.pieces[p] = " ".join(map(spelled.__getitem__, ts))
         for t in [t for t in new if len(t) > 256]:
             del spelled[t]
 
@@ -203,22 +231,32 @@ class ByteBpe:
         return [first, *[" " + p for p in rest]] if first else [" " + p for p in rest]
 
     def encode_texts(self, texts: list[str]) -> list[str]:
-        """The decimal ids of each text, joined by spaces."""
+        """The decimal ids of each text, joined by spaces. Its many short lists hold no cycles, so
+        the cycle collector would only walk them in vain."""
+        collects = gc.isenabled()
+        gc.disable()
+        try:
+            return self._encode(texts)
+        finally:
+            if collects:
+                gc.enable()
+
+    def _encode(self, texts: list[str]) -> list[str]:
         pieces = [self.cut(t) for t in texts]
         known = self.pieces
-        missing = {p for ps in pieces for p in ps if p not in known}
+        missing = set().union(*pieces).difference(known)
         if len(known) + len(missing) > self.remember:
             known.clear()
-            missing = {p for ps in pieces for p in ps}
+            missing = set().union(*pieces)
         if missing:
             self._learn(missing)
-        out = [" ".join([known[p] for p in ps]) for ps in pieces]
+        out = [" ".join(map(known.__getitem__, ps)) for ps in pieces]
         for p in [p for p in missing if len(p) > 256]:
             del known[p]
         return out
 
     def decode_text(self, ids: str) -> bytes:
-        return b"".join([self.spelled[i] for i in ids.split(" ")]) if ids else b""
+        return b"".join(map(self.spelled.__getitem__, ids.split(" "))) if ids else b""
 
 
 _CODERS: dict[str, ByteBpe] = {}

@@ -71,6 +71,22 @@ def test_byte_bpe_random_bytes():
     assert own.encode_texts(texts) == want == [own.encode_texts([t])[0] for t in texts]
 
 
+def test_byte_bpe_queue_is_bounded():
+    """New words need little memory beside their table, however many come at once; empty and long ones fit too."""
+    import tracemalloc
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
+        own = byte_bpe.coder(f.read(), public_tokenizers.PATTERN)
+    own, rng = byte_bpe.ByteBpe(own.ranks, public_tokenizers.PATTERN), random.Random(3)
+    raws = ["".join(rng.choices("abcdefgh", k=9)).encode() for _ in range(60_000)]
+    tracemalloc.start()
+    ids = sum(map(len, own._merge_all(raws)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert ids > len(raws) and peak < 30 << 20
+    long = [b"", b"q" * 3 * byte_bpe.QUEUE_BYTES, b"", b"a"]
+    assert list(own._merge_all(long)) == own.merge(long) and list(own._merge_all([])) == []
+
+
 def test_byte_bpe_ranks_out_of_order():
     """A vocabulary whose merges make pairs of lower rank, against repeated search."""
     ranks = {bytes([b]): 1000 + b for b in range(256)} | {b"ab": 9, b"abc": 3, b"bc": 12, b"aab": 4, b"aa": 20, b"abab": 1}
