@@ -6,9 +6,10 @@ once a document, and summed over the batch.  The batch is merge-anti-joined
 with the stored runs: keys that a run already holds for enough documents are
 settled and leave, and what is left is written as a run of its own.  A run is
 a table bucketed and sorted by hash, so a join or a merge of runs moves
-nothing of what is stored.  As soon as a level has ``fanout`` runs, they are
-merged into one run of the next level; so a store of n batches has some
-``fanout * log(n)`` runs, and a hash is rewritten some ``log(n)`` times.
+nothing of what is stored.  A batch that would be the
+``fanout``-th run of a level is merged with the others into one run of the
+next level; so a store of n batches has some ``fanout * log(n)`` runs, and a
+hash is rewritten some ``log(n)`` times.
 
 Counts of a key are spread over several runs until they are merged;
 ``repeated`` sums them all, and ``drop_lines`` then takes the lines out in one
@@ -44,11 +45,12 @@ _HASH = ["hi", "lo"]
 @dataclass(frozen=True)
 class LineDedupParams:
     """A key counts from ``min_chars`` code points and leaves from ``min_docs`` documents on.
-    ``buckets`` files a run; ``fanout`` runs of a level make one of the next."""
+    ``buckets`` files a run, or if 0 as many as the session has shuffle partitions, as the counted keys
+    are dealt; ``fanout`` runs of a level make one of the next."""
 
     min_docs: int = 10
     min_chars: int = 1
-    buckets: int = 16
+    buckets: int = 0
     fanout: int = 2
     held_keys: int = 200_000  # keys that a task sums before it hands them on
     broadcast_rows: int = 1_000_000  # 16 bytes each
@@ -106,13 +108,18 @@ class LineRuns:
     params: LineDedupParams = LineDedupParams()
     levels: list[list[str]] = field(default_factory=list)
 
+    def __post_init__(self) -> None:
+        # the exchange that sums a batch's keys deals them as the buckets do: a task writes one file, and
+        # a batch meets the runs without another exchange
+        self.buckets = self.params.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+
     @staticmethod
     def scratch(spark: SparkSession, params: LineDedupParams = LineDedupParams()) -> LineRuns:
         return LineRuns(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/line_runs/{uuid.uuid4().hex}", params)
 
     def _write(self, rows: DataFrame, level: int) -> str:
         name = f"line_run_{uuid.uuid4().hex}"
-        (rows.select(*_HASH, "n").write.format("parquet").bucketBy(self.params.buckets, *_HASH).sortBy(*_HASH)
+        (rows.select(*_HASH, "n").write.format("parquet").bucketBy(self.buckets, *_HASH).sortBy(*_HASH)
          .option("path", f"{self.folder}/level={level}/{name}").saveAsTable(name))
         while len(self.levels) <= level:
             self.levels.append([])
@@ -133,28 +140,30 @@ class LineRuns:
         return self.spark.table(name).where(F.col("n") >= self.params.min_docs).select(*_HASH)
 
     def add(self, docs: DataFrame, text_col: str = "text") -> None:
-        """Counts a batch of documents, anti-joins it with each run's settled keys, and adds it as a run."""
+        """Counts a batch of documents, anti-joins it with each run's settled keys, and adds it as a run;
+        a level that it fills is merged with it into one run of the next, in the same pass."""
         rows = count_keys(docs, text_col, self.params)
         for name in self.runs():
             rows = rows.join(self.settled(name).hint("merge"), _HASH, "left_anti")
-        self._write(rows, 0)
-        level = 0
-        while len(self.levels[level]) >= self.params.fanout:
-            self.compact(level)
+        level, old = 0, []
+        while level < len(self.levels) and len(self.levels[level]) >= self.params.fanout - 1:
+            old += [(name, level) for name in reversed(self.levels[level])]
+            self.levels[level] = []
             level += 1
-
-    def compact(self, level: int) -> None:
-        """Merges the runs of a level into one run of the next."""
-        old, self.levels[level] = self.levels[level], []
-        self._write(self._merged(old), level + 1)
-        for name in old:
-            self._drop(name, level)
+        self._write(self._summed([rows, *[self.spark.table(name) for name, _ in old]]), level)
+        for name, at in old:
+            self._drop(name, at)
 
     def _merged(self, names: list[str]) -> DataFrame:
-        """hi, lo, n over the runs, small ones first: merge joins of sorted tables, two of which need no
+        """hi, lo, n over the runs, small ones first."""
+        return self._summed([self.spark.table(name) for name in reversed(names)])
+
+    @staticmethod
+    def _summed(tables: list[DataFrame]) -> DataFrame:
+        """hi, lo, n over tables of distinct keys: merge joins of sorted tables, two of which need no
         shuffle.  (Not a union and a sum: of bucketed tables in columns, Spark 4.1 sums each bucket by
         itself.)"""
-        out, *others = [self.spark.table(name) for name in reversed(names)]
+        out, *others = tables
         for other in others:
             other = other.withColumnRenamed("n", "m").hint("merge")
             both = F.coalesce("n", F.lit(0)) + F.coalesce("m", F.lit(0))

@@ -69,6 +69,40 @@ def test_levels(spark):
     assert store.runs() == [] and store.repeated().count() == 0
 
 
+def test_files_of_a_run(spark):
+    """A batch of many shuffle partitions is written as one file each, where its counted keys are; it meets
+    the runs without another exchange."""
+    wanted = {"spark.sql.shuffle.partitions": "37", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in wanted}
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.concat(F.lit("line "), "id").alias("text"))
+        store = line_dedup.LineRuns.scratch(spark, replace(P, fanout=9))
+        for i in range(2):
+            store.add(docs.where(F.col("doc_id") % 2 == i))
+        assert [len(spark.table(name).inputFiles()) for name in store.runs()] == [37, 37]
+        rows = line_dedup.count_keys(docs).join(store.settled(store.runs()[0]).hint("merge"), ["hi", "lo"], "left_anti")
+        assert rows._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+        store.clear()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_one_pass_for_a_batch(spark, monkeypatch):
+    """A batch is written once, also where it fills levels: it goes into the merged run."""
+    docs = spark.createDataFrame([(i, f"a{i}\nb{i % 3}") for i in range(32)], "doc_id long, text string")
+    store, written = line_dedup.LineRuns.scratch(spark, replace(P, buckets=2)), []
+    write = store._write
+    monkeypatch.setattr(store, "_write", lambda rows, level: written.append(level) or write(rows, level))
+    for i in range(8):
+        store.add(docs.where(F.col("doc_id") % 8 == i))
+    assert written == [0, 1, 0, 2, 0, 1, 0, 3]
+    assert {r["n"] for r in spark.table(store.runs()[0]).collect()} == {1, 10, 11}
+    store.clear()
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string, hi int, lo int, own string, bad string")
     for broadcast in (0, 10):
