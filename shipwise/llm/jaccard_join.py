@@ -32,8 +32,11 @@ pair each and not their square, and no link between components is lost.
 Copies with many edits meet in the same entries and yet lie too far apart.  In
 the last round each entry's classes are compared by small sketches (parities
 of hashed shingles, of which each unshared shingle flips one at most), as
-blocks of bits in numpy, and only pairs that these cannot rule out become rows.
-Entries of many classes are dealt into parts, each two of which meet in a tile
+blocks of bits in numpy.  The pairs that these cannot rule out are not listed:
+each task hands on a forest that spans them.  The classes that forests connect
+are a group, each class is in one group, and in a group the whole sets are
+compared; again only a forest of the verified links becomes rows.  Entries and
+groups of many classes are dealt into parts, each two of which meet in a tile
 of bounded size.
 
 Rows: nulls and texts without words have no shingles and are their own
@@ -74,6 +77,7 @@ class JaccardParams:
     salts: int = 16
     hot_rows: int = 512  # entries of more classes are compared in tiles
     shared_rows: int = 192  # small entries of so many classes in all are compared at once
+    part_shingles: int = 1 << 20  # shingles in a part of a group
 
     def need(self, n):
         """Shared shingles that a set of n must have with any partner."""
@@ -404,6 +408,17 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         discard(ids)
         return sets
 
+    def linked_in_groups(apart: DataFrame, roots: DataFrame) -> DataFrame:
+        """Links that join components whose classes meet in an entry."""
+        near = land(_close_forest(apart, reps, p))
+        if near.isEmpty():
+            return near
+        groups = land(components(near).withColumnsRenamed({"node": "key", "root": "group"}))
+        sets = sets_of(groups.select("key"))
+        found = land(_links_of_groups(groups, reps, roots, sets, p))
+        discard(near, groups, sets)
+        return found
+
     # round 1: each class with its least pivot
     pairs = (shared.where("key <> pivot").where(_fits(p, "n", "pivot_n"))
              .groupBy(F.col("key").alias("u")).agg(F.min(F.struct("pivot_n", "pivot")).alias("p"))
@@ -416,11 +431,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         apart = _apart(shared, roots)
         if apart.isEmpty():
             break
-        pairs = _close_pairs(apart, reps, p) if last else _one_pair(apart, p)
-        more = verify(pairs)
+        more = linked_in_groups(apart, roots) if last else verify(_one_pair(apart, p))
         links, old = land(links.unionByName(more)), links
         roots = components(links)
-        del pairs
         discard(apart, more, old)
     return JaccardResult(member, links, roots)
 
@@ -500,35 +513,28 @@ def pairs_in_tile(group: np.ndarray, n: np.ndarray, root: np.ndarray, marks: lis
             while len(mark) > size:
                 mark = mark[:len(mark) // 2] ^ mark[len(mark) // 2:]
             table[r] = mark
-        own = np.flatnonzero(most == size)
-        for at in range(0, len(own), 1 << 16):
-            some = own[at:at + (1 << 16)]
+        own, step = np.flatnonzero(most == size), max(1 << 10, (1 << 22) // max(size, 1))
+        for at in range(0, len(own), step):
+            some = own[at:at + step]
             far[some] = np.bitwise_count(table[place[i[some]]] ^ table[place[j[some]]]).sum(1)
     near = far * (up + down) <= (n[i] + n[j]) * (down - up)
     return i[near], j[near]
 
 
-def _close(p: JaccardParams):
-    names = ["tile", "key", "n", "root", "mark", "left", "right"]
-
-    def compared(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-        tile, key, n, root, marks, left, right = [rows.column(c).to_pylist() if c == 4 else rows.column(c).to_numpy(zero_copy_only=False)
-                                                  for c in range(7)]
-        i, j = pairs_in_tile(tile, n.astype(np.int64), root, marks, left, right, p)
-        return np.minimum(key[i], key[j]), np.maximum(key[i], key[j])
+def _top(above: dict[int, int], x: int) -> int:
+    """The top of the tree of x, whose path is shortened on the way."""
+    while (y := above.get(x, x)) != x:
+        above[x] = z = above.get(y, y)
+        x = z
+    return x
 
-    def once(found: list) -> pa.RecordBatch:
-        """The pairs without repeats: two classes often meet in many entries."""
-        u, v = (np.concatenate(c) for c in zip(*found, strict=True))
-        order = np.lexsort((v, u))
-        u, v = u[order], v[order]
-        first = np.append(True, (u[1:] != u[:-1]) | (v[1:] != v[:-1]))[:len(u)]
-        return pa.RecordBatch.from_arrays([pa.array(u[first]), pa.array(v[first])], names=["u", "v"])
 
+def _whole_tiles(batches: Iterator[pa.RecordBatch], p: JaccardParams) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by tile as runs of whole tiles of about ``shared_rows`` rows, or one larger tile."""
     def parts(held: list[pa.RecordBatch], all_of_it: bool) -> tuple[list[pa.RecordBatch], pa.RecordBatch]:
-        """Runs of whole tiles of about ``shared_rows`` rows, and the last tile, which may go on."""
+        """The runs, and the last tile, which may go on."""
         rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-        tile = rows.column(0).to_numpy()
+        tile = rows.column("tile").to_numpy()
         edges = np.flatnonzero(np.append(True, tile[1:] != tile[:-1]))
         edges = np.append(edges, len(tile)) if all_of_it else edges
         out, at = [], 0
@@ -539,37 +545,114 @@ def _close(p: JaccardParams):
             at = end
         return out, rows.slice(int(edges[-1]))
 
+    held, rows, size = [], 0, 0
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        held.append(batch)
+        rows += batch.num_rows
+        size += batch.nbytes
+        if rows >= 4 * p.hot_rows or size >= 32 << 20:
+            done, last = parts(held, False)
+            held, rows, size = [last], last.num_rows, last.nbytes
+            yield from done
+    if rows:
+        yield from parts(held, True)[0]
+
+
+def _close(p: JaccardParams):
+    """Over tiles of classes with their marks: a forest (u, v) that spans the pairs not ruled out."""
+    names = ["tile", "key", "n", "root", "mark", "left", "right"]
+
+    def compared(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        tile, key, n, root, marks, left, right = [rows.column(c).to_pylist() if c == "mark" else rows.column(c).to_numpy(zero_copy_only=False)
+                                                  for c in names]
+        i, j = pairs_in_tile(tile, n.astype(np.int64), root, marks, left, right, p)
+        return np.minimum(key[i], key[j]), np.maximum(key[i], key[j])
+
+    def forest(found: list, above: dict[int, int]) -> pa.RecordBatch:
+        """The pairs that join two trees; two classes often meet in many entries."""
+        u, v = (np.concatenate(c) for c in zip(*found, strict=True))
+        order = np.lexsort((v, u))
+        u, v = u[order], v[order]
+        first = np.append(True, (u[1:] != u[:-1]) | (v[1:] != v[:-1]))[:len(u)]
+        u, v = u[first], v[first]
+        joins = np.zeros(len(u), bool)
+        for at, (x, y) in enumerate(zip(u.tolist(), v.tolist(), strict=True)):
+            x, y = _top(above, x), _top(above, y)
+            if x != y:
+                above[y], joins[at] = x, True
+        return pa.RecordBatch.from_arrays([pa.array(u[joins]), pa.array(v[joins])], names=["u", "v"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, rows, found, pairs = [], 0, [], 0
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            held.append(batch.select(names))
-            rows += batch.num_rows
-            if rows >= 4 * p.hot_rows:
-                done, last = parts(held, False)
-                held, rows = [last], last.num_rows
-                for x in map(compared, done):
-                    found.append(x)
-                    pairs += len(x[0])
-                    if pairs >= 1_000_000:
-                        yield once(found)
-                        found, pairs = [], 0
-        if rows:
-            found += map(compared, parts(held, True)[0])
+        above: dict[int, int] = {}
+        found, pairs = [], 0
+        for rows in _whole_tiles((b.select(names) for b in batches), p):
+            found.append(compared(rows))
+            pairs += len(found[-1][0])
+            if pairs >= 1_000_000:
+                yield forest(found, above)
+                found, pairs = [], 0
         if found:
-            yield once(found)
+            yield forest(found, above)
     return run
 
 
-def _close_pairs(apart: DataFrame, reps: DataFrame, p: JaccardParams) -> DataFrame:
-    """The pairs of classes of different components that meet in an entry and are not ruled out by their
-    sizes and marks."""
-    marks = reps.select("key", "sketch").mapInArrow(_marks, "key long, mark binary")
-    rows = apart.join(marks, "key").withColumn("parts", F.ceil(F.col("size") / p.hot_rows).cast("int"))
+def _dealt(rows: DataFrame, group: str, *columns: str) -> DataFrame:
+    """The rows of each group, dealt into ``parts`` by key; each two parts meet in a tile."""
     rows = rows.withColumn("part", F.pmod(F.xxhash64("key", F.lit(5)), F.col("parts")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     lo, hi = F.least("part", "other"), F.greatest("part", "other")
-    tile = F.when(F.col("parts") == 1, F.col("entry")).otherwise(F.xxhash64("entry", lo, hi))
-    rows = rows.select(tile.alias("tile"), "key", "n", "root", "mark", (F.col("part") == lo).alias("left"), (F.col("part") == hi).alias("right"))
-    return rows.repartition("tile").sortWithinPartitions("tile").mapInArrow(_close(p), "u long, v long").distinct()
+    tile = F.when(F.col("parts") == 1, F.col(group)).otherwise(F.xxhash64(group, lo, hi))
+    return rows.select(tile.alias("tile"), *columns, (F.col("part") == lo).alias("left"), (F.col("part") == hi).alias("right"))
+
+
+def _close_forest(apart: DataFrame, reps: DataFrame, p: JaccardParams) -> DataFrame:
+    """Pairs (u, v) that connect all classes of different components that meet in an entry and are not ruled
+    out by their sizes and marks; fewer from a task than it has classes."""
+    marks = reps.select("key", "sketch").mapInArrow(_marks, "key long, mark binary")
+    rows = apart.join(marks, "key").withColumn("parts", F.ceil(F.col("size") / p.hot_rows).cast("int"))
+    rows = _dealt(rows, "entry", "key", "n", "root", "mark")
+    return rows.repartition("tile").sortWithinPartitions("tile").mapInArrow(_close(p), "u long, v long")
+
+
+# ---- links within a group, by whole sets ---------------------------------------------------------
+
+def _linked_tiles(p: JaccardParams):
+    """Over tiles of classes with their sets: links (u, v) that span the components linked there."""
+    up, down = p.threshold.numerator, p.threshold.denominator
+
+    def links(rows: pa.RecordBatch) -> pa.RecordBatch:
+        tile, key, root, left, right = [rows.column(c).to_numpy(zero_copy_only=False) for c in ("tile", "key", "root", "left", "right")]
+        sets = [np.frombuffer(x.as_buffer(), U64) for x in rows.column("set")]
+        n = np.array([len(s) for s in sets], np.int64)
+        i, j = pairs_in_tile(tile, n, root, [sketch(s).tobytes() for s in sets], left, right, p)
+        above: dict[int, int] = {}
+        tops, out = root.tolist(), []
+        for a, b in zip(i.tolist(), j.tolist(), strict=True):
+            x, y = _top(above, tops[a]), _top(above, tops[b])
+            if x == y:
+                continue  # a link between these components is known
+            both = np.concatenate([sets[a], sets[b]])
+            both.sort(kind="stable")
+            common = int((both[1:] == both[:-1]).sum())
+            if common * down >= up * (len(both) - common):
+                above[y] = x
+                out.append((a, b))
+        a, b = np.array(out, np.int64).reshape(-1, 2).T
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(key[a], key[b])), pa.array(np.maximum(key[a], key[b]))], names=["u", "v"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _whole_tiles(batches, p):
+            yield links(rows)
+    return run
+
+
+def _links_of_groups(groups: DataFrame, reps: DataFrame, roots: DataFrame, sets: DataFrame, p: JaccardParams) -> DataFrame:
+    """Verified links that span the components linked within each group of classes."""
+    parts = F.ceil(F.greatest(F.count("*") / p.hot_rows, F.sum("n") / p.part_shingles)).cast("int")
+    sizes = groups.join(reps.select("key", "n"), "key").groupBy("group").agg(parts.alias("parts"))
+    rows = (groups.join(sizes, "group").join(roots.withColumnRenamed("node", "key"), "key", "left")
+            .withColumn("root", F.coalesce("root", "key")).join(sets, "key"))
+    rows = _dealt(rows, "group", "key", "root", "set")
+    return rows.repartition("tile").sortWithinPartitions("tile").mapInArrow(_linked_tiles(p), "u long, v long")

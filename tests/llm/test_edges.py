@@ -7,6 +7,7 @@ import re
 from dataclasses import replace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -163,6 +164,37 @@ def test_jaccard_against_all_pairs(spark, frequent, hot):
     assert got == brute.components(docs)
 
 
+def _tile_rows(tiles, n, sets):
+    """Each tile holds all of n classes, which are components of their own."""
+    marks = [jaccard_join.sketch(s) for s in sets]
+    cols = [[t for t in range(tiles) for _ in range(n)], [k for _ in range(tiles) for k in range(n)]]
+    each = lambda xs: [xs[k] for k in cols[1]]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(each([len(s) for s in sets]), pa.int32()),
+         pa.array(cols[1], pa.int64()), pa.array(each([m.tobytes() for m in marks]), pa.binary()),
+         pa.array([True] * tiles * n), pa.array([True] * tiles * n), pa.array(each([s.tobytes() for s in sets]), pa.binary())],
+        names=["tile", "key", "n", "root", "mark", "left", "right", "set"])
+
+
+def test_jaccard_rows_of_far_copies():
+    """150 classes that meet in 20 entries, none of which the marks rule out: a forest, not their pairs."""
+    p, rng = jaccard_join.JaccardParams(), np.random.default_rng(3)
+    base = rng.integers(1, 1 << 63, 400).astype(np.uint64)
+    sets = []
+    for k in range(150):  # 82 % of a set is in all: 0.69 of two sets' union, but for pairs k, k + 1 of one origin
+        own = np.random.default_rng(100 + k // 2).integers(1, 1 << 63, 88).astype(np.uint64)
+        own[:k % 2 * 20] = rng.integers(1, 1 << 63, k % 2 * 20)
+        sets.append(np.sort(np.concatenate([base, own])))
+    same = [sets[0]] * 150  # equal marks: nothing is ruled out
+    rows = _tile_rows(20, 150, same)
+    batches = [rows.slice(at, 700) for at in range(0, len(rows), 700)]
+    out = pa.Table.from_batches(list(jaccard_join._close(p)(iter(batches)))).to_pylist()
+    assert len(out) == 149 and {x for r in out for x in r.values()} == set(range(150))
+    one = _tile_rows(1, 150, sets)
+    linked = pa.Table.from_batches(list(jaccard_join._linked_tiles(p)(iter([one])))).to_pylist()
+    assert sorted((r["u"], r["v"]) for r in linked) == [(k, k + 1) for k in range(0, 150, 2)]
+
+
 def test_jaccard_of_copies_with_many_edits(spark):
     """Hundreds of copies of one text, most of them too far from each other, of unequal lengths."""
     rng = random.Random(8)
