@@ -5,10 +5,11 @@ import random
 from decimal import Decimal
 
 import pytest
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from shipwise.operators.allocate import allocate_best
-from shipwise.operators.core import CoreParams, improve, solve_core
+from shipwise.operators.core import CoreParams, improve, solve_core, spread_batches
 
 SCHEMA = "batch_id string, row_key string, upgrade_cost decimal(20,4), discount_cost decimal(20,4), base_expected_loss double"
 
@@ -100,3 +101,12 @@ def test_nothing_open(spark):
     bdf = spark.createDataFrame([("b", 5.0)], "batch_id string, budget double")
     dec, rep = improve(*allocate_best(orders, bdf))
     assert rep.first().optimal and dec.first().decision == "upgrade" and rep.filter(F.col("gap") > 0).count() == 0
+
+
+def test_batches_do_not_share_a_task(spark):
+    """Cores are small, so a plain grouping would put the programs of all batches into one task."""
+    rows = spark.range(50).select(F.concat(F.lit("b"), F.col("id") % 25).alias("batch_id"))
+    rows = rows.groupBy("batch_id").count()  # as the cores, by batch already
+    ids = spread_batches(rows, "batch_id", 25).groupBy("batch_id").applyInPandas(
+        lambda x: x.head(1).assign(task=TaskContext.get().partitionId()), "batch_id string, task int").collect()
+    assert len(ids) == 25 and len({r["task"] for r in ids}) >= 6
