@@ -106,7 +106,7 @@ def test_nothing_open(spark):
 def test_batches_do_not_share_a_task(spark):
     """Cores are small, so a plain grouping would put the programs of all batches into one task."""
     rows = spark.range(50).select(F.concat(F.lit("b"), F.col("id") % 25).alias("batch_id"))
-    rows = rows.groupBy("batch_id").count()  # as the cores, by batch already
+    rows = rows.groupBy("batch_id").count().select("batch_id")  # as the cores, by batch already
     ids = spread_batches(rows, "batch_id", 25).groupBy("batch_id").applyInPandas(
         lambda x: x.head(1).assign(task=TaskContext.get().partitionId()), "batch_id string, task int").collect()
     assert len(ids) == 25 and len({r["task"] for r in ids}) >= 6
