@@ -39,6 +39,8 @@ BATCH_BYTES = 2 << 20
 #: New pre-tokens merged in one queue, in bytes (at least one whole pre-token): its lists take some
 #: 100 bytes for each, which should stay in a core's cache.
 QUEUE_BYTES = 1 << 15
+#: Pieces, and pre-tokens, that a worker remembers: some 250 bytes each.
+REMEMBER = 450_000
 
 
 def read_ranks(raw: bytes) -> dict[bytes, int]:
@@ -91,7 +93,7 @@ class RankQueue:
 class ByteBpe:
     """Encoder and decoder of one vocabulary; ``remember`` bounds each of its tables."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, remember: int = 450_000) -> None:
+    def __init__(self, ranks: dict[bytes, int], pattern: str, remember: int = REMEMBER) -> None:
         self.ranks = ranks
         self.bytes_of = {i: b for b, i in ranks.items()}
         self.single = [ranks[bytes([b])] for b in range(256)]
@@ -262,18 +264,19 @@ class ByteBpe:
 _CODERS: dict[str, ByteBpe] = {}
 
 
-def coder(raw: bytes, pattern: str) -> ByteBpe:
+def coder(raw: bytes, pattern: str, remember: int = REMEMBER) -> ByteBpe:
     """One coder for each vocabulary and Python worker, so its tables serve later tasks too."""
     name = hashlib.sha256(raw + pattern.encode()).hexdigest()
     if name not in _CODERS:
         _CODERS[name] = ByteBpe(read_ranks(raw), pattern)
+    _CODERS[name].remember = remember
     return _CODERS[name]
 
 
-def _code(vocabulary, pattern: str, ids: bool, decoded: bool):
+def _code(vocabulary, pattern: str, ids: bool, decoded: bool, remember: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release_memory()
-        c = coder(vocabulary.value, pattern)
+        c = coder(vocabulary.value, pattern, remember)
         for batch in batches:
             _, offsets = string_buffers(batch.column("text"))
             for rows in blocks(offsets, BATCH_BYTES):
@@ -300,9 +303,9 @@ def _code(vocabulary, pattern: str, ids: bool, decoded: bool):
 
 
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
-           keep: tuple[str, ...] = (), ids: bool = False, decoded: bool = False) -> DataFrame:
+           keep: tuple[str, ...] = (), ids: bool = False, decoded: bool = False, remember: int = REMEMBER) -> DataFrame:
     """id, kept columns, n_tokens, ids_sha256, decoded_sha256 and, if asked for, ids and decoded.
-    The vocabulary at ``path`` (about 1 MB) is read by the driver and broadcast."""
+    ``remember`` bounds a worker's tables of known pieces; less takes less memory and more time. The vocabulary at ``path`` (about 1 MB) is read by the driver and broadcast."""
     with open(path, "rb") as f:
         vocabulary = docs.sparkSession.sparkContext.broadcast(f.read())
     names, fields = kept(docs, keep)
@@ -311,4 +314,4 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     schema = schema.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
     schema = schema.add("ids", T.ArrayType(T.IntegerType())) if ids else schema
     schema = schema.add("decoded", "binary") if decoded else schema
-    return rows.mapInArrow(_code(vocabulary, pattern, ids, decoded), schema)
+    return rows.mapInArrow(_code(vocabulary, pattern, ids, decoded, remember), schema)

@@ -125,6 +125,19 @@ def test_piece_counter_forgets():
         assert c.count_all([t]) == [len(lib.encode(t, add_special_tokens=False))]
 
 
+def test_bound_of_known_pieces():
+    """The bound given for a query holds in a worker's coder, whose tables came from an earlier query too."""
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
+        raw = f.read()
+    texts = [f"zq{i} qz{i}" for i in range(3000)]
+    want = byte_bpe.coder(raw, public_tokenizers.PATTERN).encode_texts(texts)
+    bounded = byte_bpe.coder(raw, public_tokenizers.PATTERN, remember=100)
+    assert [bounded.encode_texts([t])[0] for t in texts] == want
+    assert len(bounded.pieces) <= 100 and len(bounded.tokens) <= 200
+    byte_bpe.release_memory()
+    byte_bpe._CODERS.clear()
+
+
 def test_jaccard(odd, none):
     got = jaccard_join.jaccard_components(odd).documents()
     assert set(got.columns) == {"id", "n_shingles", "component_id"} and got.count() == odd.count()
