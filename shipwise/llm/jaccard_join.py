@@ -234,24 +234,30 @@ def _entries(out: list) -> pa.RecordBatch:
 
 # ---- entries that two classes share --------------------------------------------------------------
 
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Over rows sorted by entry: drop the unsalted entries of one row.  One row is carried from
+def _shared(p: JaccardParams):
+    """Over rows sorted by entry and size: drop the rows of unsalted entries that no other row of the
+    entry is near enough to in size; the next smaller and larger ones tell.  One row is carried from
     batch to batch, so a bucket of any size streams through."""
-    held: list[np.ndarray] | None = None  # the last row, not yet decided
-    tied = False  # whether it equals the row before it
-    for batch in batches:
-        cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
-        if len(cols[0]) == 0:
-            continue
+    up, down = p.threshold.numerator, p.threshold.denominator
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] | None = None  # the last row, not yet decided
+        tied = False  # whether it fits the row before it
+        for batch in batches:
+            cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
+            if len(cols[0]) == 0:
+                continue
+            if held is not None:
+                cols = [np.concatenate([a, b]) for a, b in zip(held, cols, strict=True)]
+            n = cols[3].astype(np.int64)
+            fits = (cols[0][1:] == cols[0][:-1]) & (n[:-1] * (up + down) >= (n[:-1] + n[1:]) * up)
+            keep = (cols[1] >= 0) | np.append(tied, fits) | np.append(fits, False)
+            yield _table([c[:-1] for c in cols], keep[:-1])
+            tied = bool(fits[-1]) if len(fits) else tied
+            held = [c[-1:] for c in cols]
         if held is not None:
-            cols = [np.concatenate([a, b]) for a, b in zip(held, cols, strict=True)]
-        same = cols[0][1:] == cols[0][:-1]
-        keep = (cols[1] >= 0) | np.append(tied, same) | np.append(same, False)
-        yield _table([c[:-1] for c in cols], keep[:-1])
-        tied = bool(same[-1]) if len(same) else tied
-        held = [c[-1:] for c in cols]
-    if held is not None:
-        yield _table(held, (held[1] >= 0) | tied)
+            yield _table(held, (held[1] >= 0) | tied)
+    return run
 
 
 def _table(cols: list, mask: np.ndarray) -> pa.RecordBatch:
@@ -376,8 +382,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         others = with_class(rows.join(bounded(mixed), "id", "left_semi"), params=p).withColumnRenamed("class_", "key")
         firsts = firsts.unionByName(others.join(gone, ["id", "key"], "left_anti").dropDuplicates(["id", "key"]).drop("key"))
     entries = firsts.select("text").mapInArrow(_index(p, frequent), "entry long, salt int, key long, n int")
-    every = land(entries.repartition("entry", "salt").sortWithinPartitions("entry")
-                 .mapInArrow(_shared, "entry long, key long, n int"))
+    every = land(entries.repartition("entry", "salt").sortWithinPartitions("entry", "n")
+                 .mapInArrow(_shared(p), "entry long, key long, n int"))
     met = every.groupBy("entry").agg(
         F.min("key").alias("lo"), F.max("key").alias("hi"), F.min(F.struct("n", "key")).alias("pivot"), F.count("*").alias("size"),
         *[F.bit_xor(F.xxhash64("key", F.lit(seed))).alias(f"mark{seed}") for seed in (1, 2)])
@@ -477,15 +483,19 @@ def _one_pair(apart: DataFrame, p: JaccardParams) -> DataFrame:
 MARK_LONGS = 64
 
 
+def mark_of(mark: np.ndarray) -> np.ndarray:
+    """The sketch folded to ``MARK_LONGS`` longs, or to a quarter where that is more: a bit for each shingle
+    at least, as fewer than half of that would differ in too few places to rule out any pair."""
+    most = max(MARK_LONGS, len(mark) // 4)
+    while len(mark) > most:
+        mark = mark[:len(mark) // 2] ^ mark[len(mark) // 2:]
+    return mark
+
+
 def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, mark) of (key, sketch): the sketch folded to ``MARK_LONGS`` longs at most."""
+    """(key, mark) of (key, sketch)."""
     for batch in batches:
-        out = []
-        for x in batch.column("sketch"):
-            mark = x.values.to_numpy()
-            while len(mark) > MARK_LONGS:
-                mark = mark[:len(mark) // 2] ^ mark[len(mark) // 2:]
-            out.append(mark.tobytes())
+        out = [mark_of(x.values.to_numpy()).tobytes() for x in batch.column("sketch")]
         yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(out, pa.binary())], names=["key", "mark"])
 
 

@@ -208,6 +208,32 @@ def test_jaccard_rows_of_far_copies():
     assert sorted((r["u"], r["v"]) for r in linked) == [(k, k + 1) for k in range(0, 150, 2)]
 
 
+def test_jaccard_marks_tell_large_sets_apart():
+    """Unrelated sets of up to 20,000 shingles are ruled out by their marks, near copies are not."""
+    p, rng = jaccard_join.JaccardParams(), np.random.default_rng(5)
+    sets = [np.sort(rng.integers(1, 1 << 63, n).astype(np.uint64)) for n in (8_000, 8_300, 9_000, 9_500, 15_000, 16_300, 16_500, 20_000)]
+    near = [np.sort(np.concatenate([s[:len(s) - len(s) // 8], rng.integers(1, 1 << 63, len(s) // 8).astype(np.uint64)])) for s in sets]
+    sets += near
+    batch = pa.RecordBatch.from_arrays([pa.array(range(16), pa.int64()), pa.array([jaccard_join.sketch(s) for s in sets], pa.list_(pa.int64()))],
+                                       names=["key", "sketch"])
+    marks = next(jaccard_join._marks(iter([batch]))).column("mark").to_pylist()
+    n, every = np.array([len(s) for s in sets]), np.ones(16, bool)
+    i, j = jaccard_join.pairs_in_tile(np.zeros(16, np.int64), n, np.arange(16), marks, every, every, p)
+    assert sorted(zip(i.tolist(), j.tolist())) == [(k, k + 8) for k in range(8)]
+
+
+def test_jaccard_entries_of_unequal_sizes():
+    """Rows of an entry whose sizes fit no other row's go; salted rows, and those over a batch's end, stay."""
+    rows = [(1, -1, 10, 30), (1, -1, 11, 40), (1, -1, 12, 60), (2, -1, 13, 60), (3, 0, 14, 5), (3, 0, 15, 500),
+            (4, -1, 16, 9), (4, -1, 17, 100), (4, -1, 18, 133), (4, -1, 19, 134)]
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.int32()]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=["entry", "salt", "key", "n"])
+    for step in (1, 2, 3, 10):
+        batches = [batch.slice(at, step) for at in range(0, len(rows), step)]
+        out = pa.Table.from_batches(list(jaccard_join._shared(jaccard_join.JaccardParams())(iter(batches))))
+        assert out.column("key").to_pylist() == [10, 11, 14, 15, 17, 18, 19]
+
+
 def test_jaccard_of_copies_with_many_edits(spark):
     """Hundreds of copies of one text, most of them too far from each other, of unequal lengths."""
     rng = random.Random(8)
