@@ -31,7 +31,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from shipwise.llm.tables import kept, pick, release_memory
+from shipwise.llm.tables import kept, lean, pick, release_memory  # noqa: F401
 from shipwise.llm.words import blocks, string_buffers
 
 #: Text encoded at a time, in bytes (at least one whole text).
@@ -273,13 +273,12 @@ def coder(raw: bytes, pattern: str, remember: int = REMEMBER) -> ByteBpe:
     return _CODERS[name]
 
 
-def _code(vocabulary, pattern: str, ids: bool, decoded: bool, remember: int):
+def _code(vocabulary, pattern: str, ids: bool, decoded: bool, remember: int, batch_bytes: int = BATCH_BYTES):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release_memory()
         c = coder(vocabulary.value, pattern, remember)
         for batch in batches:
             _, offsets = string_buffers(batch.column("text"))
-            for rows in blocks(offsets, BATCH_BYTES):
+            for rows in blocks(offsets, batch_bytes):
                 part = batch.slice(rows.start, len(rows))
                 out: dict[str, list] = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": [], "ids": [], "decoded": []}
                 for spelled in c.encode_texts([text or "" for text in part.column("text").to_pylist()]):
@@ -303,9 +302,11 @@ def _code(vocabulary, pattern: str, ids: bool, decoded: bool, remember: int):
 
 
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
-           keep: tuple[str, ...] = (), ids: bool = False, decoded: bool = False, remember: int = REMEMBER) -> DataFrame:
+           keep: tuple[str, ...] = (), ids: bool = False, decoded: bool = False, remember: int = REMEMBER,
+           batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """id, kept columns, n_tokens, ids_sha256, decoded_sha256 and, if asked for, ids and decoded.
-    ``remember`` bounds a worker's tables of known pieces; less takes less memory and more time. The vocabulary at ``path`` (about 1 MB) is read by the driver and broadcast."""
+    ``remember`` bounds a worker's tables of known pieces; less takes less memory and more time,
+    as do fewer ``batch_bytes`` of text encoded at a time. The vocabulary at ``path`` (about 1 MB) is read by the driver and broadcast."""
     with open(path, "rb") as f:
         vocabulary = docs.sparkSession.sparkContext.broadcast(f.read())
     names, fields = kept(docs, keep)
@@ -314,4 +315,4 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     schema = schema.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
     schema = schema.add("ids", T.ArrayType(T.IntegerType())) if ids else schema
     schema = schema.add("decoded", "binary") if decoded else schema
-    return rows.mapInArrow(_code(vocabulary, pattern, ids, decoded, remember), schema)
+    return rows.mapInArrow(lean(_code(vocabulary, pattern, ids, decoded, remember, batch_bytes), tables=True), schema)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shipwise.llm.tables import kept, pick
+from shipwise.llm.tables import kept, lean, pick
 from shipwise.llm.words import ALNUM, U64, Words, each_block, windows
 
 
@@ -173,7 +173,7 @@ def scan_documents(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", te
     for k in range(slices):
         part = bench.where(F.pmod(F.xxhash64("text"), F.lit(slices)) == k).toArrow()
         windows_of = build_benchmark(part.column("id").to_pylist(), part.column("text").to_pylist(), params.width)
-        out = out.mapInArrow(_scan(spark.sparkContext.broadcast(windows_of)), schema)
+        out = out.mapInArrow(lean(_scan(spark.sparkContext.broadcast(windows_of))), schema)
     return out
 
 

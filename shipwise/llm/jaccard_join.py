@@ -58,7 +58,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shipwise.llm.components import components
-from shipwise.llm.tables import bounded, discard, land, pick, release_worker_tables
+from shipwise.llm.tables import bounded, discard, land, lean, pick
 from shipwise.llm.words import NONSPACE, U64, each_block, mix, shingle_sets
 
 
@@ -106,9 +106,13 @@ def _profile(p: JaccardParams):
     def repeated(held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         if not held:
             return np.zeros(0, U64), np.zeros(0, np.int64)
-        values, counts = np.unique(np.concatenate(held), return_counts=True)
-        keep = counts >= p.block_df
-        return values[keep], counts[keep]
+        values = np.concatenate(held)
+        held.clear()
+        values.sort()
+        # sorted, a value is there block_df times if the one so many places on is the same
+        often = values[p.block_df - 1:] == values[:max(0, len(values) - p.block_df + 1)]
+        first = np.flatnonzero(often & np.append(True, values[1:] != values[:-1])[:len(often)])
+        return values[first], np.searchsorted(values, values[first], "right") - first
 
     def rows(ids, keys, sizes, kind, sketches=None):
         n = len(keys)
@@ -118,7 +122,6 @@ def _profile(p: JaccardParams):
             names=["id", "key", "n", "kind", "sketch"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release_worker_tables()
         held, size, seen = [], 0, set()
         for batch in batches:
             keys, sizes, sketches = [], [], []
@@ -204,7 +207,6 @@ def prefix_entries(s: np.ndarray, token: np.ndarray, place: np.ndarray, p: Jacca
 
 def _index(p: JaccardParams, frequent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release_worker_tables()
         token, place = frequent.value
         for batch in batches:
             out, held = [], 0
@@ -298,7 +300,7 @@ def verified(pairs: DataFrame, sets: DataFrame, p: JaccardParams) -> DataFrame:
     """The pairs (u, v) whose whole sets are similar enough."""
     wide = (pairs.join(sets.select(F.col("key").alias("u"), F.col("set").alias("x")), "u")
             .join(sets.select(F.col("key").alias("v"), F.col("set").alias("y")), "v"))
-    return wide.select("u", "v", "x", "y").mapInArrow(_linked(p), "u long, v long")
+    return wide.select("u", "v", "x", "y").mapInArrow(lean(_linked(p)), "u long, v long")
 
 
 def _not_too_far(pairs: DataFrame, reps: DataFrame, p: JaccardParams) -> DataFrame:
@@ -357,7 +359,7 @@ def with_class(rows: DataFrame, text_col: str = "text", params: JaccardParams =
             keys = [set_key(s) for words in each_block(batch.column(place), NONSPACE) for s in shingle_sets(words, p.width)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.int64())], names=[*batch.schema.names, "class_"])
 
-    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("class_", T.LongType())]))
+    return rows.mapInArrow(lean(run), T.StructType([*rows.schema.fields, T.StructField("class_", T.LongType())]))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -365,7 +367,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     p = params
     spark = docs.sparkSession
     rows = pick(docs, id=id_col, text=text_col).withColumn("id", F.col("id").cast("long"))
-    profile = land(rows.select("id", "text").mapInArrow(_profile(p), "id long, key long, n long, kind int, sketch array<long>"))
+    profile = land(rows.select("id", "text").mapInArrow(lean(_profile(p)), "id long, key long, n long, kind int, sketch array<long>"))
     member = profile.where("kind = 0").select("id", "key", "n")
     frequent = spark.sparkContext.broadcast(_frequent(profile, p))
 
@@ -381,9 +383,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     if not mixed.isEmpty():
         others = with_class(rows.join(bounded(mixed), "id", "left_semi"), params=p).withColumnRenamed("class_", "key")
         firsts = firsts.unionByName(others.join(gone, ["id", "key"], "left_anti").dropDuplicates(["id", "key"]).drop("key"))
-    entries = firsts.select("text").mapInArrow(_index(p, frequent), "entry long, salt int, key long, n int")
+    entries = firsts.select("text").mapInArrow(lean(_index(p, frequent)), "entry long, salt int, key long, n int")
     every = land(entries.repartition("entry", "salt").sortWithinPartitions("entry", "n")
-                 .mapInArrow(_shared(p), "entry long, key long, n int"))
+                 .mapInArrow(lean(_shared(p)), "entry long, key long, n int"))
     met = every.groupBy("entry").agg(
         F.min("key").alias("lo"), F.max("key").alias("hi"), F.min(F.struct("n", "key")).alias("pivot"), F.count("*").alias("size"),
         *[F.bit_xor(F.xxhash64("key", F.lit(seed))).alias(f"mark{seed}") for seed in (1, 2)])
@@ -410,7 +412,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         """The whole sets of the classes; and of others that have the same id."""
         ids = land(reps.join(keys, "key", "left_semi").select("id"))
         wanted = rows.join(bounded(ids), rows["id"].eqNullSafe(ids["id"]), "left_semi")
-        sets = land(wanted.select("text").mapInArrow(_sets(p), "key long, set binary").dropDuplicates(["key"]))
+        sets = land(wanted.select("text").mapInArrow(lean(_sets(p)), "key long, set binary").dropDuplicates(["key"]))
         discard(ids)
         return sets
 
@@ -481,6 +483,8 @@ def _one_pair(apart: DataFrame, p: JaccardParams) -> DataFrame:
 # ---- pairs within an entry, by sketches ----------------------------------------------------------
 
 MARK_LONGS = 64
+#: Longs of marks compared at a time: two tables of so many, which should stay in a core's cache.
+COMPARED_LONGS = 1 << 16
 
 
 def mark_of(mark: np.ndarray) -> np.ndarray:
@@ -523,7 +527,7 @@ def pairs_in_tile(group: np.ndarray, n: np.ndarray, root: np.ndarray, marks: lis
             while len(mark) > size:
                 mark = mark[:len(mark) // 2] ^ mark[len(mark) // 2:]
             table[r] = mark
-        own, step = np.flatnonzero(most == size), max(1 << 10, (1 << 22) // max(size, 1))
+        own, step = np.flatnonzero(most == size), max(1, COMPARED_LONGS // max(size, 1))
         for at in range(0, len(own), step):
             some = own[at:at + step]
             far[some] = np.bitwise_count(table[place[i[some]]] ^ table[place[j[some]]]).sum(1)
@@ -562,7 +566,7 @@ def _whole_tiles(batches: Iterator[pa.RecordBatch], p: JaccardParams) -> Iterato
         held.append(batch)
         rows += batch.num_rows
         size += batch.nbytes
-        if rows >= 4 * p.hot_rows or size >= 32 << 20:
+        if rows >= 4 * p.hot_rows or size >= 16 << 20:
             done, last = parts(held, False)
             held, rows, size = [last], last.num_rows, last.nbytes
             yield from done
@@ -620,10 +624,10 @@ def _dealt(rows: DataFrame, group: str, *columns: str) -> DataFrame:
 def _close_forest(apart: DataFrame, reps: DataFrame, p: JaccardParams) -> DataFrame:
     """Pairs (u, v) that connect all classes of different components that meet in an entry and are not ruled
     out by their sizes and marks; fewer from a task than it has classes."""
-    marks = reps.select("key", "sketch").mapInArrow(_marks, "key long, mark binary")
+    marks = reps.select("key", "sketch").mapInArrow(lean(_marks), "key long, mark binary")
     rows = apart.join(marks, "key").withColumn("parts", F.ceil(F.col("size") / p.hot_rows).cast("int"))
     rows = _dealt(rows, "entry", "key", "n", "root", "mark")
-    return rows.repartition("tile").sortWithinPartitions("tile").mapInArrow(_close(p), "u long, v long")
+    return rows.repartition("tile").sortWithinPartitions("tile").mapInArrow(lean(_close(p)), "u long, v long")
 
 
 # ---- links within a group, by whole sets ---------------------------------------------------------
@@ -665,4 +669,4 @@ def _links_of_groups(groups: DataFrame, reps: DataFrame, roots: DataFrame, sets:
     rows = (groups.join(sizes, "group").join(roots.withColumnRenamed("node", "key"), "key", "left")
             .withColumn("root", F.coalesce("root", "key")).join(sets, "key"))
     rows = _dealt(rows, "group", "key", "root", "set")
-    return rows.repartition("tile").sortWithinPartitions("tile").mapInArrow(_linked_tiles(p), "u long, v long")
+    return rows.repartition("tile").sortWithinPartitions("tile").mapInArrow(lean(_linked_tiles(p)), "u long, v long")

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shipwise.llm.tables import kept, land, pick, release_worker_tables
+from shipwise.llm.tables import kept, land, lean, pick
 from shipwise.llm.words import LOWER, blocks, string_buffers
 
 NEUTRAL = LOWER.copy()
@@ -88,7 +88,6 @@ def _learn(dims: int):
     schema = ["lang", "n", "buckets", "counts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release_worker_tables()
         df, n = np.zeros(dims, dtype=np.int64), 0
         for batch in batches:
             langs, taken = batch.column("lang"), batch.column("taken").to_numpy(zero_copy_only=False)
@@ -154,7 +153,7 @@ def fit(docs: DataFrame, learn: Column, text_col: str = "text", lang_col: str =
         share = F.when(F.col("lang") == lang, min(1.0, p.sample / n)).otherwise(share)
     taken = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit(17)), F.lit(1_000_000)) < share * 1_000_000
     found = land(rows.select("text", "lang", taken.alias("taken")).mapInArrow(
-        _learn(p.dims), "lang string, n long, buckets array<long>, counts array<long>"))
+        lean(_learn(p.dims)), "lang string, n long, buckets array<long>, counts array<long>"))
     total = found.where("lang is null")
     n = total.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     df = np.zeros(p.dims)
@@ -200,7 +199,6 @@ def fit(docs: DataFrame, learn: Column, text_col: str = "text", lang_col: str =
 
 def _predict(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release_worker_tables()
         m = model.value
         names = np.array([*m.langs, "und"], dtype=object)
         for batch in batches:
@@ -229,7 +227,7 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_
         "letters", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
     schema = T.StructType([f for f in rows.schema.fields if f.name != "letters"]).add(
         "lang_pred", "string").add("score", "double").add("rejected", "boolean")
-    return rows.mapInArrow(_predict(docs.sparkSession.sparkContext.broadcast(model)), schema)
+    return rows.mapInArrow(lean(_predict(docs.sparkSession.sparkContext.broadcast(model))), schema)
 
 
 def crc_part(id_col: str, parts: int) -> Column:
