@@ -89,3 +89,29 @@ def test_csv_on_the_way_and_wide_landed_rows_are_compressed(spark, tmp_dir):
     assert back.rows.select("row_key", "price").exceptAll(df).isEmpty() and back.rows.count() == 100
     assert all(".zstd." in f for f in back.rows.inputFiles())
     assert materialize(df, "zstd").count() == 100
+
+
+def test_a_file_of_many_row_groups_is_not_spread(spark, tmp_dir):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from shipwise.sources.tables import spread
+    rows = pa.table({"id": list(range(3200))})
+    for groups in (4, 32):
+        pq.write_table(rows, f"{tmp_dir}/g {groups}.parquet", row_group_size=3200 // groups)
+    assert "RoundRobinPartitioning" in _plan(spread(spark.read.parquet(f"{tmp_dir}/g 4.parquet")))
+    assert "RoundRobinPartitioning" not in _plan(spread(spark.read.parquet(f"{tmp_dir}/g 32.parquet")))
+
+
+def test_narrow_values_go_through_the_joins(spark):
+    plan = c.shipments(spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
+    assert "__u1" not in plan
+
+
+def test_exported_csv_is_removed_once_it_is_landed(spark):
+    from shipwise.session import ensure_checkpoint_dir
+    base = ensure_checkpoint_dir(spark).rstrip("/") + "/csv"
+    p = spark._jvm.org.apache.hadoop.fs.Path(base)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    before = len(fs.listStatus(p)) if fs.exists(p) else 0
+    assert c.q_csv_shipments(spark, SF001).count() == 6000
+    assert not fs.exists(p) or len(fs.listStatus(p)) == before
