@@ -102,6 +102,17 @@ def test_a_file_of_many_row_groups_is_not_spread(spark, tmp_dir):
     assert "RoundRobinPartitioning" not in _plan(spread(spark.read.parquet(f"{tmp_dir}/g 32.parquet")))
 
 
+def test_closed_loop_by_key_joins_the_tables_once(spark):
+    """What is left to run reads landed rows only: the joins behind the prescriptions are not run again for the outcomes."""
+    plan = _plan(c.q_closed_loop_by_key(spark, SF001))
+    assert "FileScan" in plan and "lineitem.parquet" not in plan
+
+
+def test_landed_split_rows_hold_no_hash(spark):
+    split = c.split(spark, SF001, "row_key", "late_delivery_risk", folds=False)
+    assert spark.read.parquet(*split.inputFiles()).columns == ["row_key", "late_delivery_risk"]
+
+
 def test_narrow_values_go_through_the_joins(spark):
     plan = c.shipments(spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
     assert "__u1" not in plan
